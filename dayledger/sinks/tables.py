@@ -6,6 +6,8 @@ rebalanced first: files of about the advisory size, and no single task for a lar
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,11 +68,12 @@ def write_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None =
 def write_partitions(df: DataFrame, spec: TableSpec, path: str | None = None) -> None:
     """Replace the days that occur in the data; other days stay."""
     rows = rebalance(conform(df, _with_ds(spec.schema)), "ds")
-    writer = _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if path:
+        writer = _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("ds").save(path)
     else:
-        writer.insertInto(spec.name)
+        with _dynamic_overwrite(df.sparkSession):
+            rows.write.insertInto(spec.name, overwrite=True)
 
 
 def append_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None = None) -> None:
@@ -86,6 +89,18 @@ def append_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None =
         )
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """`insertInto` ignores the writer's option; without the setting it would clear every day."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_path(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The days written under a path; the given schema keeps `ds` a string."""
     return spark.read.schema(_with_ds(spec.schema)).format(spec.fmt).load(path)
