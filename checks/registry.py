@@ -24,7 +24,9 @@ class Tables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, df)  # the footer is read once per query
+        return df
 
     @property
     def daily(self) -> DataFrame:

@@ -13,13 +13,14 @@ from dayledger.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, spread_join
 
 
 def semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left rows whose key occurs on the right, each once."""
-    return left.join(right.select(*on), list(on), "left_semi")
+    """Left rows whose key occurs on the right, each once. The right keys are made distinct where
+    they are read, so copies of a key do not meet in one task."""
+    return left.join(right.select(*on).distinct(), list(on), "left_semi")
 
 
 def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left rows whose key does not occur on the right; a NULL key never occurs."""
-    return left.join(right.select(*on), list(on), "left_anti")
+    return left.join(right.select(*on).distinct(), list(on), "left_anti")
 
 
 def join_when(left: DataFrame, right: DataFrame, on: Sequence[str], when: Column) -> DataFrame:

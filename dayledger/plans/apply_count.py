@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import category_filter, eq, not_in_list, same_month
-from dayledger.operators import checked_broadcast, count_distinct_by, dedup, semi
+from dayledger.operators import count_distinct_by, dedup, fits, semi
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, increment, month_to_date, snapshot
 
@@ -62,11 +62,12 @@ def apply_count(
             ["prodcat1_name", "prodcat2_name", "prodcat3_name"], COUNTED_CATEGORIES))
         .select("brandgood_id", "brandgood_name", "user_id")
     )
+    small = fits(designs)
     if prefilter:
         designs = semi(designs, accounts, ["org_id"])
         models = semi(models, accounts, ["user_id"])
-    used = dedup(
-        relation.select("design_id", "brandgood_id").join(checked_broadcast(designs), "design_id"))
+    pairs = relation.select("design_id", "brandgood_id")
+    used = dedup(pairs.join(F.broadcast(designs) if small else designs, "design_id"))
     counted = used.join(models, "brandgood_id").join(accounts, ["user_id", "org_id"])
     return count_distinct_by(
         counted, ["org_id", "level1_node_name", "level2_node_name", "brandgood_name"],

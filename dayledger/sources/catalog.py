@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +37,11 @@ def text_ds(df: DataFrame) -> DataFrame:
     return df
 
 
-def constant_row(spark: SparkSession, **cols: Any) -> DataFrame:
-    """One row of constants; a value may be a Column, to give it a type."""
-    return spark.range(1).select(
-        *[(v if not isinstance(v, (str, int, float, bool)) else F.lit(v)).alias(k)
-          for k, v in cols.items()]
-    )
+def constant_row(spark: SparkSession, **cols: str | int | bool) -> DataFrame:
+    """One row of constants, whole numbers as BIGINT. An inline table rather than literals in a
+    select: a literal would be folded out of a join's key and leave a nested loop."""
+    values = [
+        f"CAST(:{name} AS BIGINT)" if type(value) is int else f":{name}" for name, value in cols.items()
+    ]
+    names = ", ".join(f"`{name}`" for name in cols)
+    return spark.sql(f"SELECT * FROM VALUES ({', '.join(values)}) AS t({names})", args=cols)

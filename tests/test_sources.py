@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import got, plan
 from dayledger import RunDate
@@ -61,6 +60,9 @@ def test_path_scan_reads_only_its_partitions(spark, days, tmp_path):
     assert df.inputFiles() and all("ds=202402" in f for f in snapshot(df, "20240229").inputFiles())
 
 
-def test_constant_row(spark):
-    row = constant_row(spark, id=0, name="unknown", cnt=F.lit(1).cast("bigint"))
-    assert got(row) == [(0, "unknown", 1)] and row.schema["cnt"].dataType.simpleString() == "bigint"
+def test_constant_row(spark, frame):
+    row = constant_row(spark, id=0, name="it's unknown", known=False)
+    assert got(row) == [(0, "it's unknown", False)] and row.schema["id"].dataType.simpleString() == "bigint"
+    joined = frame("id bigint", (0,), (1,), (None,)).join(row, "id", "left")
+    assert got(joined, "id", "name") == [(None, None), (0, "it's unknown"), (1, None)]
+    assert "NestedLoop" not in plan(joined)
