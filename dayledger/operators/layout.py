@@ -20,7 +20,7 @@ def by_column(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 def rebalance(df: DataFrame, *cols: str) -> DataFrame:
     """Parts of about the advisory size, near each other by `cols` but split where one is too
-    large. What the sinks use before a write."""
+    large, so a hot value does no harm."""
     return df.hint("rebalance", *cols)
 
 

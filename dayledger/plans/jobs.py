@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 
@@ -17,31 +19,38 @@ from dayledger.rundate import RunDate
 from dayledger.sinks import TableSpec, append_partition, ensure_table, staged, write_partition
 from dayledger.sources import Catalog
 
-Job = Callable[[Catalog, RunDate], DataFrame]
 
-JOBS: dict[str, tuple[Job, TableSpec]] = {
-    "monthly_apply_count": (monthly_apply_count, schemas.APPLY_COUNT),
-    "daily_apply_count": (daily_apply_count, schemas.APPLY_COUNT),
-    "account_apply_detail": (account_apply_detail, schemas.APPLY_DETAIL),
-    "account_apply_detail_plain": (account_apply_detail_plain, schemas.APPLY_DETAIL),
-    "render_flags": (render_flags, schemas.RENDER_FLAGS),
-    "order_material_detail": (om.order_material_detail, schemas.ORDER_MATERIAL),
-    "order_material_onepass": (om.order_material_onepass, schemas.ORDER_MATERIAL),
-    "order_material_fallback": (om.order_material_fallback, schemas.ORDER_MATERIAL),
-    "order_material_three_level": (om.order_material_three_level, schemas.ORDER_MATERIAL),
-    "order_material_defaults": (om.order_material_defaults, schemas.ORDER_MATERIAL),
-    "order_material_nulls": (om.order_material_nulls, schemas.ORDER_MATERIAL),
-    "order_material_detail_source": (om.order_material_detail_source, schemas.ORDER_MATERIAL),
-    "order_material_staged": (om.order_material_staged, schemas.ORDER_MATERIAL),
-    "reward_merge": (reward_merge, schemas.REWARD_LOG),
-    "relation_tags": (relation_tags, schemas.RELATION_TAGS),
-}
+@dataclass(frozen=True)
+class Job:
+    """How to build a job and lay out its table. With `staged` its core is written out first,
+    because it is read several times, and the build gets those options."""
+
+    build: Callable[..., DataFrame]
+    spec: TableSpec
+    cluster_by: tuple[str, ...] | None = None
+    staged: Mapping[str, Any] | None = None
+
+
+def _order_material(build: Callable[..., DataFrame], staged: Mapping[str, Any] | None = None) -> Job:
+    return Job(build, schemas.ORDER_MATERIAL, cluster_by=("design_id",), staged=staged)
 
-# Jobs that read their core several times, so it is staged once.
-STAGED = {
-    "order_material_staged": {},
-    "order_material_fallback": {"prefilter": True},
-    "order_material_three_level": {"prefilter": True},
+
+JOBS: dict[str, Job] = {
+    "monthly_apply_count": Job(monthly_apply_count, schemas.APPLY_COUNT),
+    "daily_apply_count": Job(daily_apply_count, schemas.APPLY_COUNT),
+    "account_apply_detail": Job(account_apply_detail, schemas.APPLY_DETAIL, cluster_by=()),
+    "account_apply_detail_plain": Job(account_apply_detail_plain, schemas.APPLY_DETAIL, cluster_by=()),
+    "render_flags": Job(render_flags, schemas.RENDER_FLAGS),
+    "order_material_detail": Job(om.order_material_detail, schemas.ORDER_MATERIAL),
+    "order_material_onepass": _order_material(om.order_material_onepass),
+    "order_material_fallback": _order_material(om.order_material_fallback, {"prefilter": True}),
+    "order_material_three_level": _order_material(om.order_material_three_level, {"prefilter": True}),
+    "order_material_defaults": _order_material(om.order_material_defaults),
+    "order_material_nulls": _order_material(om.order_material_nulls),
+    "order_material_detail_source": _order_material(om.order_material_detail_source),
+    "order_material_staged": _order_material(om.order_material_staged, {}),
+    "reward_merge": Job(reward_merge, schemas.REWARD_LOG),
+    "relation_tags": Job(relation_tags, schemas.RELATION_TAGS),
 }
 
 
@@ -55,13 +64,13 @@ def run_job(
 ) -> None:
     """Build one day of a job and write it: to the table of `spec`, made if absent, or under
     `path`. `append` adds to the day instead of replacing it."""
-    build, default = JOBS[name]
-    spec = spec or default
+    job = JOBS[name]
+    spec = spec or job.spec
     if path is None:
         ensure_table(catalog.spark, spec)
     write = append_partition if append else write_partition
-    if name in STAGED:
-        with staged(om.order_core(catalog, run), f"{name}-core") as core:
-            write(build(catalog, run, core=core, **STAGED[name]), spec, run.ds, path)
+    if job.staged is None:
+        write(job.build(catalog, run), spec, run.ds, path, job.cluster_by)
     else:
-        write(build(catalog, run), spec, run.ds, path)
+        with staged(om.order_core(catalog, run), f"{name}-core") as core:
+            write(job.build(catalog, run, core=core, **job.staged), spec, run.ds, path, job.cluster_by)

@@ -1,12 +1,14 @@
 """Partitioned target tables and the ways to write their days.
 
-Every writer takes a table (`spec.name`) or, with `path`, a directory with `ds=` folders. Rows are
-rebalanced first: files of about the advisory size, and no single task for a large day.
+Every writer takes a table (`spec.name`) or, with `path`, a directory with `ds=` folders. One day is
+written as the plan leaves it, since adaptive execution already sizes the parts of a last shuffle;
+`cluster_by` asks for one more shuffle, to files of about the advisory size, near each other by
+those columns (by none: just even files). Days are never gathered in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
@@ -52,10 +54,16 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = No
     )
 
 
-def write_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None = None) -> None:
+def write_partition(
+    df: DataFrame,
+    spec: TableSpec,
+    ds: str,
+    path: str | None = None,
+    cluster_by: Sequence[str] | None = None,
+) -> None:
     """Replace one day, even by nothing; other days stay. Running it again changes nothing."""
     day = RunDate.parse(ds).ds
-    rows = rebalance(conform(df, spec.schema))
+    rows = _laid_out(df, spec, cluster_by)
     if path:
         _writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}")
     else:
@@ -66,7 +74,8 @@ def write_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None =
 
 
 def write_partitions(df: DataFrame, spec: TableSpec, path: str | None = None) -> None:
-    """Replace the days that occur in the data; other days stay."""
+    """Replace the days that occur in the data; other days stay. Rows are gathered by day, a large
+    day over many tasks, so that not every task writes a file per day."""
     rows = rebalance(conform(df, _with_ds(spec.schema)), "ds")
     if path:
         writer = _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -76,10 +85,16 @@ def write_partitions(df: DataFrame, spec: TableSpec, path: str | None = None) ->
             rows.write.insertInto(spec.name, overwrite=True)
 
 
-def append_partition(df: DataFrame, spec: TableSpec, ds: str, path: str | None = None) -> None:
+def append_partition(
+    df: DataFrame,
+    spec: TableSpec,
+    ds: str,
+    path: str | None = None,
+    cluster_by: Sequence[str] | None = None,
+) -> None:
     """Add rows to one day. Running it again adds them again: prefer `write_partition`."""
     day = RunDate.parse(ds).ds
-    rows = rebalance(conform(df, spec.schema))
+    rows = _laid_out(df, spec, cluster_by)
     if path:
         _writer(rows, spec).mode("append").save(f"{path}/ds={day}")
     else:
@@ -106,6 +121,11 @@ def read_path(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return spark.read.schema(_with_ds(spec.schema)).format(spec.fmt).load(path)
 
 
+def _laid_out(df: DataFrame, spec: TableSpec, cluster_by: Sequence[str] | None) -> DataFrame:
+    rows = conform(df, spec.schema)
+    return rows if cluster_by is None else rebalance(rows, *cluster_by)
+
+
 def _with_ds(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("ds", T.StringType())])
 

@@ -386,7 +386,7 @@ def test_repeated_dimension_rows_multiply(tag_tables):
 
 @pytest.mark.parametrize("name", [n for n in JOBS if n.startswith("order_material")])
 def test_run_job_writes_a_day_and_can_be_run_again(order_tables, tmp_path, name):
-    spec = JOBS[name][1]
+    spec = JOBS[name].spec
     path = str(tmp_path / name)
     for _ in range(2):
         run_job(name, order_tables, RUN, path=path)
@@ -398,7 +398,7 @@ def test_run_job_writes_a_day_and_can_be_run_again(order_tables, tmp_path, name)
 
 
 def test_run_job_into_a_table(apply_tables, spark):
-    spec = JOBS["monthly_apply_count"][1].named("monthly_made")
+    spec = JOBS["monthly_apply_count"].spec.named("monthly_made")
     run_job("monthly_apply_count", apply_tables, RUN, spec=spec)
     assert got(spark.table("monthly_made")) == [(10, "a", None, "chair", 1, DS), (10, "a", "b", "chair", 2, DS)]
     spark.sql("DROP TABLE monthly_made")
