@@ -8,7 +8,15 @@ from dayledger.operators.audit import (
     audit_trend,
     duplicate_keys,
 )
-from dayledger.operators.joins import anti, fallback_join, join_when, lookup, salted_join, semi
+from dayledger.operators.joins import (
+    anti,
+    fallback_join,
+    join_when,
+    left_join,
+    lookup,
+    salted_join,
+    semi,
+)
 from dayledger.operators.layout import by_column, narrow, persisted, rebalance, to_n
 from dayledger.operators.merge import merge_increment
 from dayledger.operators.records import (
@@ -26,6 +34,6 @@ __all__ = [
     "anti", "audit_nulls", "audit_partitions", "audit_result", "audit_skew", "audit_sources",
     "audit_trend", "by_column", "checked_broadcast", "count_distinct_by", "count_rows", "dedup",
     "duplicate_keys", "fallback_join", "first_per_key", "fits", "hot_keys", "join_when",
-    "latest_per_key", "lookup", "mark", "measured_bytes", "merge_increment", "narrow", "persisted",
+    "latest_per_key", "left_join", "lookup", "mark", "measured_bytes", "merge_increment", "narrow", "persisted",
     "rebalance", "salted_join", "seen_on", "semi", "snapshot_diff", "spread_join", "to_n", "top_n",
 ]

@@ -24,7 +24,8 @@ def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def join_when(left: DataFrame, right: DataFrame, on: Sequence[str], when: Column) -> DataFrame:
-    """Left join in which only left rows that meet `when` may match. The others stay, with NULLs."""
+    """Left join in which only left rows that meet `when` may match. The others stay, with NULLs.
+    For a right side of lookup size: `left_join` takes the same `when` and spreads hot keys."""
     return spread_join(left, right, on, "left", when=when)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.functions.expressions import flag
-from dayledger.operators.skew import is_hot
+from dayledger.operators.skew import hot_keys, is_hot, spread_join
 from dayledger.rundate import RunDate
 
 
@@ -19,15 +19,16 @@ def first_per_key(
     *,
     ties: bool = False,
     tiebreak: Sequence[str] = (),
-    hot: Sequence[tuple] = (),
+    hot: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """The first row per key in ascending `order`, NULL first.
 
     Without `ties` exactly one row per key stays, and `tiebreak` must order equal rows. Spark cuts
     each task's rows to one per key before the shuffle, so a hot key costs nothing.
 
-    With `ties` all rows equal to the first stay. Those of one key meet in one task, so give the
-    `hot` keys (from `hot_keys`): their first values, one per key, are broadcast instead.
+    With `ties` all rows equal to the first stay, and those of one key would meet in one task. So
+    the `hot` keys, looked for unless given, take another way: their first values, one per key,
+    are broadcast and compared where the rows are read.
     """
     if not ties and not tiebreak:
         raise ValueError("a single first row needs a tiebreak")
@@ -35,6 +36,7 @@ def first_per_key(
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in by])
     if not ties:
         return _only(df, F.row_number().over(window))
+    hot = hot_keys(df, keys) if hot is None else hot
     if not hot:
         return _only(df, F.rank().over(window))
     held = flag(is_hot(keys, hot))
@@ -80,7 +82,8 @@ def mark(
     """
     found = right.select(*on).dropna()
     found = (found.distinct() if dedup else found).withColumn(name, F.lit(True))
-    return left.join(found, list(on), "left").withColumn(name, flag(F.col(name)))
+    hot = [] if dedup else hot_keys(found, on)
+    return spread_join(left, found, on, "left", hot_right=hot).withColumn(name, flag(F.col(f"`{name}`")))
 
 
 def seen_on(df: DataFrame, keys: Sequence[str], days: dict[str, str]) -> DataFrame:

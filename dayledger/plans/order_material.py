@@ -11,11 +11,9 @@ from dayledger.operators import (
     fallback_join,
     first_per_key,
     fits,
-    hot_keys,
+    left_join,
     semi,
-    spread_join,
 )
-from dayledger.operators.joins import left_join
 from dayledger.plans.schemas import ORDER_MATERIAL
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, constant_row, snapshot, trailing_days
@@ -53,8 +51,7 @@ def order_core(
     submissions = snapshot(catalog.table("order_design"), run.ds).where(
         eq("deleted", False)).select("design_id", "order_id", "created")
     if ties:
-        first = first_per_key(submissions, ["design_id"], ["created"], ties=True,
-                              hot=hot_keys(submissions, ["design_id"]))
+        first = first_per_key(submissions, ["design_id"], ["created"], ties=True)
     else:
         first = first_per_key(submissions, ["design_id"], ["created"], tiebreak=["order_id"])
     orders = (
@@ -195,5 +192,5 @@ def _with_materials(core: DataFrame, relation: DataFrame, names: DataFrame) -> D
 
 def _named(out: DataFrame, names: DataFrame) -> DataFrame:
     """Add names. Designs without a material have a NULL key, and there may be many of them."""
-    named = spread_join(out.drop("ds"), names.drop("ds"), ["brandgood_id"], "left", spread_nulls=True)
+    named = left_join(out.drop("ds"), names.drop("ds"), ["brandgood_id"], spread_nulls=True)
     return named.select(*[c for c in OUTPUT if c in named.columns])

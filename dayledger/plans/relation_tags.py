@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import child_or_parent, eq, first_rule, in_list, label, to_bigint
-from dayledger.operators import checked_broadcast, join_when, snapshot_diff
-from dayledger.operators.joins import left_join
+from dayledger.operators import checked_broadcast, join_when, left_join, snapshot_diff
 from dayledger.plans.schemas import RELATION_TAGS
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot

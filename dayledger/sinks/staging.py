@@ -9,6 +9,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_dirs: dict[str, str] = {}  # by application
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, named by `spark.checkpoint.dir`. Where that is unset, a local
@@ -18,9 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="dayledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="dayledger-")
+    return _local_dirs[app]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

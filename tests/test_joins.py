@@ -62,6 +62,13 @@ def test_fallback(levels, prefilter, max_bytes):
         (3, "b", "three", 3), (4, "b", None, None)]
 
 
+def test_fallback_keeps_every_base_row(levels):
+    base, sources = levels
+    for n in range(1, len(sources) + 1):
+        out = fallback_join(base, sources[:n], ["k"], ["v"])
+        assert got(out.select("k", "b").distinct()) == got(base.distinct())
+
+
 def test_fallback_latest_only(levels):
     base, sources = levels
     out = fallback_join(base, sources, ["k"], ["v"], latest_only=True, spread_nulls=True)
@@ -99,6 +106,12 @@ def test_spread_join_gives_the_plain_joins_rows(frame, left, right):
                           spread_nulls=True, ways=3)
         plain = l.join(other, keys, how)
         assert got(out, *plain.columns) == got(plain)
+    present = sorted({(k,) for k, _ in right if k is not None})
+    when = F.col("x") % 2 == 0
+    out = spread_join(l, r.drop("j"), ["k"], "left", when=when, hot_left=[(1,)], hot_right=present[:2], ways=3)
+    kept = l.where(when).join(r.drop("j"), "k", "left").unionByName(
+        l.where(~when).withColumn("y", F.lit(None).cast("int")))
+    assert got(out, "k", "j", "x", "y") == got(kept, "k", "j", "x", "y")
 
 
 def test_spread_left_join_with_a_condition(frame):

@@ -130,6 +130,16 @@ def test_merge(log, max_bytes):
         (None, "old", False), (1, "b", False), (2, "old", False), (3, "new", True)]
 
 
+def test_merge_invariants(spark):
+    snapshot = spark.range(500).selectExpr("id", "0 AS v")
+    increment = spark.range(3000).selectExpr("pmod(hash(id), 700) AS id", "id AS v")
+    out = merge_increment(snapshot, increment, ["id"], ["v"], ["v"])
+    ids = {i for (i,) in got(increment.distinct(), "id")}
+    assert out.count() == out.select("id").distinct().count() == len(ids | set(range(500)))
+    assert out.where("v = 0").count() >= 500 - len(ids & set(range(500)))
+    assert got(out.where("v > 0")) == got(increment.groupBy("id").agg({"v": "max"}).where("`max(v)` > 0"))
+
+
 def test_merge_with_an_empty_increment(log):
     snapshot, increment = log
     out = merge_increment(snapshot, increment.where("id < 0"), ["id"], ["at"], ["v"])

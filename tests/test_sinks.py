@@ -115,6 +115,22 @@ def test_drop_expired(spark, frame):
     spark.sql("DROP TABLE aging")
 
 
+class _Session:
+    """Just what `shared_dir` looks at."""
+
+    def __init__(self, master, named=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+
+
+def test_shared_folder():
+    assert shared_dir(_Session("spark://host", "hdfs:///shared/")) == "hdfs:///shared"
+    local = shared_dir(_Session("local[4]"))
+    assert os.path.isdir(local) and shared_dir(_Session("local[4]")) == local
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session("spark://host"))
+
+
 def test_staged_result_is_removed_at_the_end(spark, frame):
     df = frame("id int", (1,), (2,))
     with staged(df, "half") as half:
