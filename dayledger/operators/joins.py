@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from dayledger.operators.records import newest_partition
 from dayledger.operators.sizing import BROADCAST_LIMIT, fits
-from dayledger.operators.skew import HOT_ROWS, HOT_SHARE, hot_keys, spread_join
+from dayledger.operators.skew import (
+    HOT_ROWS,
+    HOT_SHARE,
+    hot_keys,
+    hot_keys_each,
+    spread_join,
+)
 
 
 def semi(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -47,10 +53,18 @@ def salted_join(
     )
 
 
-def left_join(left: DataFrame, right: DataFrame, on: Sequence[str], **kwargs) -> DataFrame:
-    """Left join to a large relation: hot right keys are spread by hand, hot left keys by adaptive
-    execution."""
-    return spread_join(left, right, on, "left", hot_right=hot_keys(right, on), **kwargs)
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    *,
+    when: Column | None = None,
+    spread_nulls: bool = False,
+) -> DataFrame:
+    """Left join to a large relation: hot right keys are looked for and spread by hand, hot left
+    keys by adaptive execution."""
+    return spread_join(left, right, on, "left", when=when, hot_right=hot_keys(right, on),
+                       spread_nulls=spread_nulls)
 
 
 def lookup(
@@ -100,18 +114,20 @@ def fallback_join(
         **{c: F.lit(None).cast(sources[0].schema[c].dataType) for c in cols},
         "_level": F.lit(None).cast("int"),
     })
+    new = {c: f"_new_{c}" for c in cols}
+    matches = []
     for rank, source in enumerate(sources, start=1):
         if latest_only:
             source = newest_partition(source, keys)
         if wanted is not None:
             source = source.join(wanted, keys, "left_semi")
-        new = {c: f"_new_{c}" for c in cols}
-        match = source.select(
+        matches.append(source.select(
             *keys, *[F.col(c).alias(n) for c, n in new.items()], F.lit(rank).alias("_rank")
-        ).dropna(subset=keys)
-        unmatched = F.col("_level").isNull()
-        out = left_join(out, match, keys, when=unmatched if rank > 1 else None,
-                        spread_nulls=spread_nulls)
+        ).dropna(subset=keys))
+    for rank, (match, hot) in enumerate(zip(matches, hot_keys_each(matches, keys)), start=1):
+        unmatched = F.col("_level").isNull() if rank > 1 else None
+        out = spread_join(out, match, keys, "left", when=unmatched, hot_right=hot,
+                          spread_nulls=spread_nulls)
         out = out.withColumns({
             **{c: F.coalesce(F.col(c), F.col(n)) for c, n in new.items()},
             "_level": F.coalesce("_level", "_rank"),

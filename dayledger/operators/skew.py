@@ -28,24 +28,35 @@ def hot_keys(
     """Key values that hold at least `share` of the rows with a key, and at least `min_rows`. At
     most 1 / share values can.
 
-    A frequent-items sketch over the key columns finds candidates without a shuffle. Only if it
-    finds any are they counted exactly, so every value returned is one that occurs.
+    A frequent-items sketch over the key columns finds candidates without a shuffle of the rows.
+    Only if it finds any are they counted exactly, so every value returned is one that occurs.
     """
-    keyed = df.select(*keys).dropna()
+    return hot_keys_each([df], keys, share, min_rows)[0]
+
+
+def hot_keys_each(
+    dfs: Sequence[DataFrame], keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> list[list[tuple]]:
+    """`hot_keys` of several relations; one job sketches them all."""
     most = ceil(1 / share)
     digest = F.xxhash64(*keys)
-    found = keyed.agg(
+    keyed = [df.select(*keys).dropna() for df in dfs]
+    sketched = reduce(DataFrame.unionByName, [
+        df.select(F.lit(i).alias("i"), digest.alias("digest")) for i, df in enumerate(keyed)
+    ]).groupBy("i").agg(
         F.count(F.lit(1)).alias("n"),
-        F.call_function("approx_top_k", digest, F.lit(most), F.lit(16 * most)).alias("top"),
-    ).first()
-    least = max(min_rows, ceil(found["n"] * share))
-    digests = [item["item"] for item in found["top"] or [] if item["count"] >= least]
-    if not digests:
-        return []
-    exact = keyed.where(digest.isin(digests)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sorted(
-        tuple(row[k] for k in keys) for row in exact.where(F.col("n") >= least).collect()
+        F.call_function("approx_top_k", F.col("digest"), F.lit(most), F.lit(16 * most)).alias("top"),
     )
+    hot: list[list[tuple]] = [[] for _ in dfs]
+    for row in sketched.collect():  # a row per relation
+        least = max(min_rows, ceil(row["n"] * share))
+        digests = [item["item"] for item in row["top"] if item["count"] >= least]
+        if digests:
+            counts = keyed[row["i"]].where(digest.isin(digests)).groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("n"))
+            hot[row["i"]] = sorted(
+                tuple(r[k] for k in keys) for r in counts.where(F.col("n") >= least).collect())
+    return hot
 
 
 def spread_join(
