@@ -20,6 +20,7 @@ from dayledger.functions.expressions import flag
 
 HOT_SHARE = 0.001
 HOT_ROWS = 100_000
+MERGE_GROUPS = 1024
 
 
 def hot_keys(
@@ -37,16 +38,25 @@ def hot_keys(
 def hot_keys_each(
     dfs: Sequence[DataFrame], keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> list[list[tuple]]:
-    """`hot_keys` of several relations; one job sketches them all."""
+    """`hot_keys` of several relations; one job sketches them all. The tasks' sketches are merged
+    in groups and the groups' then, so that no task merges one of every task."""
     most = ceil(1 / share)
+    tracked = F.lit(8 * most)
     digest = F.xxhash64(*keys)
     keyed = [df.select(*keys).dropna() for df in dfs]
-    sketched = reduce(DataFrame.unionByName, [
+    grouped = reduce(DataFrame.unionByName, [
         df.select(F.lit(i).alias("i"), digest.alias("digest")) for i, df in enumerate(keyed)
-    ]).groupBy("i").agg(
+    ]).withColumn("part", F.spark_partition_id() % MERGE_GROUPS).groupBy("i", "part").agg(
         F.count(F.lit(1)).alias("n"),
-        F.call_function("approx_top_k", F.col("digest"), F.lit(most), F.lit(16 * most)).alias("top"),
+        F.call_function("approx_top_k_accumulate", F.col("digest"), tracked).alias("sketch"),
     )
+    merged = grouped.groupBy("i").agg(
+        F.sum("n").alias("n"),
+        F.call_function("approx_top_k_combine", F.col("sketch"), tracked).alias("sketch"),
+    )
+    sketched = merged.select(
+        "i", "n",
+        F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most)).alias("top"))
     hot: list[list[tuple]] = [[] for _ in dfs]
     for row in sketched.collect():  # a row per relation
         least = max(min_rows, ceil(row["n"] * share))

@@ -11,8 +11,10 @@ from dayledger.operators import (
     fallback_join,
     first_per_key,
     fits,
+    hot_keys,
     left_join,
     semi,
+    spread_join,
 )
 from dayledger.plans.schemas import ORDER_MATERIAL
 from dayledger.rundate import RunDate
@@ -64,9 +66,11 @@ def order_core(
     )
     audits = snapshot(catalog.table("order_item"), run.ds).where(
         eq("item_key", AUDIT_ITEM)).select("order_id", "value")
+    hot = hot_keys(audits, ["order_id"])
     if distinct:  # the result is distinct, so its parts may be, and copies never meet the join
         audits = dedup(audits)
-    core = left_join(first.join(orders, "order_id"), audits, ["order_id"]).select(*CORE)
+    live = first.join(orders, "order_id")
+    core = spread_join(live, audits, ["order_id"], "left", hot_right=hot).select(*CORE)
     return dedup(core) if distinct else core
 
 
