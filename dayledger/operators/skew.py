@@ -88,6 +88,9 @@ def spread_join(
     every slot. `spread_nulls` deals out the left rows with a NULL key as well, which a left or
     anti join keeps. The hot keys must come from `hot_keys` on the same side: a left join drops
     the unmatched copies of a left row because a hot right key is known to have a match.
+
+    Copies are few beside the result: a row that is copied `ways` times (the session's shuffle
+    partitions, unless given) meets every row of the hot key, of which there are many more.
     """
     keys = list(on)
     if how in ("left_semi", "left_anti"):

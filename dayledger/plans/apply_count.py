@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import category_filter, eq, not_in_list, same_month
-from dayledger.operators import count_distinct_by, dedup, fits, semi
+from dayledger.operators import BROADCAST_LIMIT, count_distinct_by, dedup, fits, semi
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, increment, month_to_date, snapshot
 
@@ -21,20 +21,24 @@ COUNTED_CATEGORIES = (
 ADDED = 1
 
 
-def monthly_apply_count(catalog: Catalog, run: RunDate, prefilter: bool = True) -> DataFrame:
-    """Relations from the increments of the month to date."""
-    relation = month_to_date(catalog.table("bridge_increment"), run)
-    return apply_count(catalog, run, relation, prefilter)
+def monthly_apply_count(catalog: Catalog, run: RunDate, **options) -> DataFrame:
+    """Relations from the increments of the month to date. Options are those of `apply_count`."""
+    return apply_count(catalog, run, month_to_date(catalog.table("bridge_increment"), run), **options)
 
 
-def daily_apply_count(catalog: Catalog, run: RunDate, prefilter: bool = True) -> DataFrame:
-    """Relations added on the run day alone."""
+def daily_apply_count(catalog: Catalog, run: RunDate, **options) -> DataFrame:
+    """Relations added on the run day alone. Options are those of `apply_count`."""
     relation = increment(catalog.table("bridge_increment"), run.ds, ADDED)
-    return apply_count(catalog, run, relation, prefilter)
+    return apply_count(catalog, run, relation, **options)
 
 
 def apply_count(
-    catalog: Catalog, run: RunDate, relation: DataFrame, prefilter: bool = True
+    catalog: Catalog,
+    run: RunDate,
+    relation: DataFrame,
+    *,
+    prefilter: bool = True,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Distinct designs of the run month per organisation, store levels and name of a private,
     listed model whose owner has a live account in the same organisation.
@@ -62,7 +66,7 @@ def apply_count(
             ["prodcat1_name", "prodcat2_name", "prodcat3_name"], COUNTED_CATEGORIES))
         .select("brandgood_id", "brandgood_name", "user_id")
     )
-    small = fits(designs)
+    small = fits(designs, max_bytes)
     if prefilter:
         designs = semi(designs, accounts, ["org_id"])
         models = semi(models, accounts, ["user_id"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import eq, in_list
-from dayledger.operators import checked_broadcast, dedup, lookup
+from dayledger.operators import BROADCAST_LIMIT, checked_broadcast, dedup, lookup
 from dayledger.plans.schemas import ACCOUNT_MATERIAL_COLUMNS, APPLY_DETAIL
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot
@@ -20,7 +20,10 @@ MATERIAL = [name for name, *_ in ACCOUNT_MATERIAL_COLUMNS]
 
 
 def account_apply_detail(
-    catalog: Catalog, run: RunDate, accounts: Sequence[int] = ROOT_ACCOUNTS
+    catalog: Catalog,
+    run: RunDate,
+    accounts: Sequence[int] = ROOT_ACCOUNTS,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Cuts the relations to listed materials and designs before anything else.
 
@@ -30,24 +33,27 @@ def account_apply_detail(
     """
     materials = _materials(catalog, run).where(in_list("root_account_id", accounts))
     designs = _designs(catalog, run, accounts)
-    material_ids = checked_broadcast(materials.select("brandgood_id"))
-    design_ids = checked_broadcast(designs.select("design_id"))
+    material_ids = checked_broadcast(materials.select("brandgood_id"), max_bytes)
+    design_ids = checked_broadcast(designs.select("design_id"), max_bytes)
     relation = (
         _relation(catalog, run)
         .join(material_ids, "brandgood_id", "left_semi")
         .join(design_ids, "design_id", "left_semi")
     )
     kept = dedup(relation).join(design_ids, "design_id")
-    return _detail(catalog, run, kept, materials, designs)
+    return _detail(catalog, run, kept, materials, designs, max_bytes)
 
 
 def account_apply_detail_plain(
-    catalog: Catalog, run: RunDate, accounts: Sequence[int] = ROOT_ACCOUNTS
+    catalog: Catalog,
+    run: RunDate,
+    accounts: Sequence[int] = ROOT_ACCOUNTS,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The same rows, given unique design ids, from all relations and materials: the design's
     account alone decides. Shuffles every relation, so it is the variant to check the other by."""
     return _detail(catalog, run, dedup(_relation(catalog, run)), _materials(catalog, run),
-                   _designs(catalog, run, accounts))
+                   _designs(catalog, run, accounts), max_bytes)
 
 
 def _materials(catalog: Catalog, run: RunDate) -> DataFrame:
@@ -82,7 +88,12 @@ def _designs(catalog: Catalog, run: RunDate, accounts: Sequence[int]) -> DataFra
 
 
 def _detail(
-    catalog: Catalog, run: RunDate, relation: DataFrame, materials: DataFrame, designs: DataFrame
+    catalog: Catalog,
+    run: RunDate,
+    relation: DataFrame,
+    materials: DataFrame,
+    designs: DataFrame,
+    max_bytes: int,
 ) -> DataFrame:
     """Only relations with a design and a material of one root account give a row, so all joins
     but the names are inner joins, and the account is part of the join key."""
@@ -91,6 +102,7 @@ def _detail(
         joined, snapshot(catalog.table("area"), run.ds), "area_id", "name",
         {"comm_logic_area_id": "design_community_city_name",
          "comm_logic_province_id": "design_community_province_name"},
+        max_bytes,
     )
     return named.withColumn(
         "relation_design_id", F.coalesce("design_id", F.lit(-1))

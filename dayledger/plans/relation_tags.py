@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import child_or_parent, eq, first_rule, in_list, label, to_bigint
-from dayledger.operators import checked_broadcast, join_when, left_join, snapshot_diff
+from dayledger.operators import (
+    BROADCAST_LIMIT,
+    checked_broadcast,
+    join_when,
+    left_join,
+    snapshot_diff,
+)
 from dayledger.plans.schemas import RELATION_TAGS
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot
@@ -17,7 +23,9 @@ USAGE = {0: "自建", (1, 2, 3): "授权"}
 OTHER_USAGE = "公库"
 
 
-def relation_tags(catalog: Catalog, run: RunDate, dedup: bool = True) -> DataFrame:
+def relation_tags(
+    catalog: Catalog, run: RunDate, dedup: bool = True, max_bytes: int = BROADCAST_LIMIT
+) -> DataFrame:
     """One row per relation of the day whose design has an organisation user and whose material
     is known.
 
@@ -28,7 +36,7 @@ def relation_tags(catalog: Catalog, run: RunDate, dedup: bool = True) -> DataFra
     key = ["design_id", "brandgood_id", "dhd_type"]
     relations = snapshot_diff(
         catalog.table("bridge").select(*key, "ds"), key, run, dedup=dedup).drop("ds")
-    deco = _decoration(catalog, run)
+    deco = checked_broadcast(_decoration(catalog, run), max_bytes)
     with_design = relations.join(_designs(catalog, run), "design_id")
     with_usage = left_join(with_design, _usage(catalog, run), ["org_id", "brandgood_id"])
     with_material = with_usage.join(_materials(catalog, run, deco), "brandgood_id")
@@ -51,14 +59,12 @@ def _output_names() -> list[str]:
 
 def _decoration(catalog: Catalog, run: RunDate) -> DataFrame:
     """Decoration categories by their own id, or their parent's where they have none."""
-    return checked_broadcast(
-        snapshot(catalog.table("deco_category"), run.ds).select(
-            to_bigint(child_or_parent("cat2_id", "cat1_id")).alias("deco_cat2_id"),
-            to_bigint("cat1_id").alias("deco_cat1_id"),
-            F.col("cat1_name").alias("deco_cat1_name"),
-            child_or_parent("cat2_name", "cat1_name").alias("deco_cat2_name"),
-        ).withColumn("transprod_cat_id", F.col("deco_cat2_id"))
-    )
+    return snapshot(catalog.table("deco_category"), run.ds).select(
+        to_bigint(child_or_parent("cat2_id", "cat1_id")).alias("deco_cat2_id"),
+        to_bigint("cat1_id").alias("deco_cat1_id"),
+        F.col("cat1_name").alias("deco_cat1_name"),
+        child_or_parent("cat2_name", "cat1_name").alias("deco_cat2_name"),
+    ).withColumn("transprod_cat_id", F.col("deco_cat2_id"))
 
 
 def _designs(catalog: Catalog, run: RunDate) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import eq, flag, label, period_flags, remap
-from dayledger.operators import checked_broadcast, mark, seen_on
+from dayledger.operators import BROADCAST_LIMIT, checked_broadcast, mark, seen_on
 from dayledger.plans.schemas import RENDER_FLAGS
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot
@@ -17,7 +17,9 @@ CAMERA = {1: "普通图", 2: "全景图", 3: "俯视图"}
 OTHER_CAMERA = "其它"
 
 
-def render_flags(catalog: Catalog, run: RunDate, dedup: bool = True) -> DataFrame:
+def render_flags(
+    catalog: Catalog, run: RunDate, dedup: bool = True, max_bytes: int = BROADCAST_LIMIT
+) -> DataFrame:
     """Original images only. An image is deleted by its flag or by its owner, in which case the
     author counts as owner. It was deleted today (this month) if it was not yet deleted in
     yesterday's (last month end's) snapshot. `dedup=False` repeats an image for every copy of it
@@ -37,7 +39,7 @@ def render_flags(catalog: Catalog, run: RunDate, dedup: bool = True) -> DataFram
     )
     org_users = snapshot(catalog.table("org_user"), run.ds).select(
         "account_id", "org_id", "user_id", "org_user_type")
-    owned = current.join(checked_broadcast(org_users), "user_id")
+    owned = current.join(checked_broadcast(org_users, max_bytes), "user_id")
 
     gone = originals.where(is_deleted).select("pic_id", "ds")
     before = {"gone_yesterday": run.prev_day, "gone_last_month": run.prev_month_end}

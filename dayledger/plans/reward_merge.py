@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from dayledger.operators import merge_increment
+from dayledger.operators import BROADCAST_LIMIT, merge_increment
 from dayledger.plans.schemas import REWARD_LOG
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot
 
 
-def reward_merge(catalog: Catalog, run: RunDate) -> DataFrame:
+def reward_merge(
+    catalog: Catalog, run: RunDate, max_bytes: int = BROADCAST_LIMIT
+) -> DataFrame:
     """The latest increment row per id replaces or adds. Rows changed at the same time are ordered
     by their other columns, so the choice is the same on every run."""
     cols = REWARD_LOG.schema.names
@@ -20,4 +22,5 @@ def reward_merge(catalog: Catalog, run: RunDate) -> DataFrame:
         keys=["id"],
         order=["lastmodified"],
         tiebreak=[c for c in cols if c not in ("id", "lastmodified")],
+        max_bytes=max_bytes,
     )

@@ -19,7 +19,22 @@ RECOMMENDED = {
 }
 
 
-def apply_settings(spark: SparkSession, **overrides: str) -> SparkSession:
+PART_BYTES = 128 * 1024 * 1024
+FEWEST_PARTS, MOST_PARTS = 200, 50_000
+
+
+def shuffle_parts(shuffle_bytes: int) -> int:
+    """Shuffle partitions of about the advisory size for a job's largest shuffle. Adaptive
+    execution merges parts that turn out small, but cannot add any."""
+    return min(MOST_PARTS, max(FEWEST_PARTS, -(-shuffle_bytes // PART_BYTES)))
+
+
+def apply_settings(
+    spark: SparkSession, shuffle_bytes: int | None = None, **overrides: str
+) -> SparkSession:
+    """Set the recommended settings; with the size of the largest shuffle, its partitions too."""
+    if shuffle_bytes is not None:
+        overrides.setdefault("spark.sql.shuffle.partitions", str(shuffle_parts(shuffle_bytes)))
     for key, value in {**RECOMMENDED, **overrides}.items():
         spark.conf.set(key, value)
     return spark

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import got, plan
 from dayledger import RunDate
+from dayledger.operators import BROADCAST_LIMIT
 from dayledger.plans import (
     JOBS,
     account_apply_detail,
@@ -74,8 +75,9 @@ def apply_tables(spark, frame):
 
 
 @pytest.mark.parametrize("prefilter", [True, False])
-def test_monthly_apply_count(apply_tables, prefilter):
-    assert got(monthly_apply_count(apply_tables, RUN, prefilter)) == [
+@pytest.mark.parametrize("max_bytes", [0, BROADCAST_LIMIT])
+def test_monthly_apply_count(apply_tables, prefilter, max_bytes):
+    assert got(monthly_apply_count(apply_tables, RUN, prefilter=prefilter, max_bytes=max_bytes)) == [
         (10, "a", None, "chair", 1), (10, "a", "b", "chair", 2)]
 
 
@@ -115,8 +117,9 @@ def detail_tables(spark, frame, extra_designs=()):
 
 
 @pytest.mark.parametrize("job", [account_apply_detail, account_apply_detail_plain])
-def test_account_apply_detail(spark, frame, job):
-    out = job(detail_tables(spark, frame), RUN)
+@pytest.mark.parametrize("max_bytes", [0, BROADCAST_LIMIT])
+def test_account_apply_detail(spark, frame, job, max_bytes):
+    out = job(detail_tables(spark, frame), RUN, max_bytes=max_bytes)
     assert out.columns == APPLY_DETAIL.schema.names
     assert got(out, "brandgood_id", "design_id", "relation_design_id", "design_community_city_name",
                "design_community_province_name") == [
@@ -158,6 +161,7 @@ def test_render_flags(spark, frame):
         (4, 2, "全景图", 50, False, False, False, True, True),
         (5, 3, "俯视图", 50, False, False, False, False, False)]
     assert got(render_flags(catalog, RUN), *cols) == expected
+    assert got(render_flags(catalog, RUN, max_bytes=0), *cols) == expected
     literal = render_flags(catalog, RUN, dedup=False)
     assert got(literal, *cols) == sorted([*expected, expected[2]])  # two copies yesterday
 
@@ -366,6 +370,7 @@ def test_relation_tags(tag_tables):
     assert got(out.where("brandgood_id = 100 AND itemset_type = 1"), "province", "province_name", "city", "city_name",
                "prodcat1_id", "prodcat1_name", "prodcat3_id", "prodcat3_name", "org_id", "item_type") == [
         (-1, "", 3, "c", -1, "", -1, "three", 500, 3), (2, "p", -1, "", -1, "", -1, "three", 600, 3)]
+    assert got(relation_tags(tag_tables, RUN, max_bytes=0)) == got(out)
     literal = relation_tags(tag_tables, RUN, dedup=False)
     assert literal.count() == out.count() + 1  # one relation was there twice yesterday
 
