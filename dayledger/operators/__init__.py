@@ -28,12 +28,12 @@ from dayledger.operators.records import (
     snapshot_diff,
 )
 from dayledger.operators.sizing import BROADCAST_LIMIT, checked_broadcast, fits, measured_bytes
-from dayledger.operators.skew import hot_keys, spread_join
+from dayledger.operators.skew import hot_keys, hot_keys_each, spread_join
 
 __all__ = [
     "BROADCAST_LIMIT", "anti", "audit_nulls", "audit_partitions", "audit_result", "audit_skew", "audit_sources",
     "audit_trend", "by_column", "checked_broadcast", "count_distinct_by", "count_rows", "dedup",
-    "duplicate_keys", "fallback_join", "first_per_key", "fits", "hot_keys", "join_when",
+    "duplicate_keys", "fallback_join", "first_per_key", "fits", "hot_keys", "hot_keys_each", "join_when",
     "latest_per_key", "left_join", "lookup", "mark", "measured_bytes", "merge_increment", "narrow", "persisted",
     "rebalance", "salted_join", "seen_on", "semi", "snapshot_diff", "spread_join", "to_n", "top_n",
 ]

@@ -7,13 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.functions.expressions import flag
 from dayledger.operators.records import newest_partition
 from dayledger.operators.sizing import BROADCAST_LIMIT, fits
 from dayledger.operators.skew import (
     HOT_ROWS,
     HOT_SHARE,
+    copy,
+    deal,
+    first_slot,
+    has_null,
     hot_keys,
     hot_keys_each,
+    is_hot,
     spread_join,
 )
 
@@ -59,12 +65,13 @@ def left_join(
     on: Sequence[str],
     *,
     when: Column | None = None,
+    hot_left: Sequence[tuple] = (),
     spread_nulls: bool = False,
 ) -> DataFrame:
     """Left join to a large relation: hot right keys are looked for and spread by hand, hot left
-    keys by adaptive execution."""
-    return spread_join(left, right, on, "left", when=when, hot_right=hot_keys(right, on),
-                       spread_nulls=spread_nulls)
+    keys by adaptive execution, or by hand if they are given."""
+    return spread_join(left, right, on, "left", when=when, hot_left=hot_left,
+                       hot_right=hot_keys(right, on), spread_nulls=spread_nulls)
 
 
 def lookup(
@@ -94,6 +101,7 @@ def fallback_join(
     *,
     latest_only: bool = False,
     prefilter: bool = False,
+    hot: Sequence[tuple] = (),
     spread_nulls: bool = False,
     level: str | None = None,
     max_bytes: int = BROADCAST_LIMIT,
@@ -102,9 +110,11 @@ def fallback_join(
 
     Every base row stays. `latest_only` keeps only the newest `ds` of each key in each source,
     else all matches count. `prefilter` first cuts each source to the base's keys, by a broadcast if they
-    are measured to fit: worth it for a staged base and a source many times its size.
-    `spread_nulls` is for a base whose key is often NULL. `level` names a column for the rank of
-    the source that matched, from 1.
+    are measured to fit: worth it for a staged base and a source many times its size. `level`
+    names a column for the rank of the source that matched, from 1.
+
+    Base rows of the `hot` keys, and with `spread_nulls` those with a NULL key, are dealt over
+    slots once for all sources, so they are shuffled once. Hot keys of the sources are looked for.
     """
     keys = list(on)
     wanted = base.select(*keys).dropna().distinct() if prefilter else None
@@ -115,6 +125,11 @@ def fallback_join(
         "_level": F.lit(None).cast("int"),
     })
     new = {c: f"_new_{c}" for c in cols}
+    slots = ["_base_slot"] if hot or spread_nulls else []
+    if slots:
+        ways = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = flag(is_hot(keys, hot))
+        out = deal(out, *slots, dealt | has_null(keys) if spread_nulls else dealt, ways)
     matches = []
     for rank, source in enumerate(sources, start=1):
         if latest_only:
@@ -124,12 +139,17 @@ def fallback_join(
         matches.append(source.select(
             *keys, *[F.col(c).alias(n) for c, n in new.items()], F.lit(rank).alias("_rank")
         ).dropna(subset=keys))
-    for rank, (match, hot) in enumerate(zip(matches, hot_keys_each(matches, keys)), start=1):
+    hot_matches = hot_keys_each([(match, keys) for match in matches])
+    for rank, (match, hot_match) in enumerate(zip(matches, hot_matches), start=1):
+        if hot:
+            match = copy(match, *slots, flag(is_hot(keys, hot)), ways)
+        elif slots:
+            match = match.withColumn(*slots, first_slot(keys))
         unmatched = F.col("_level").isNull() if rank > 1 else None
-        out = spread_join(out, match, keys, "left", when=unmatched, hot_right=hot,
-                          spread_nulls=spread_nulls)
+        out = spread_join(out, match, [*keys, *slots], "left", when=unmatched, hot_right=hot_match)
         out = out.withColumns({
             **{c: F.coalesce(F.col(c), F.col(n)) for c, n in new.items()},
             "_level": F.coalesce("_level", "_rank"),
         }).drop(*new.values(), "_rank")
+    out = out.drop(*slots)
     return out.drop("_level") if level is None else out.withColumnRenamed("_level", level)

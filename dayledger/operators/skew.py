@@ -32,20 +32,22 @@ def hot_keys(
     A frequent-items sketch over the key columns finds candidates without a shuffle of the rows.
     Only if it finds any are they counted exactly, so every value returned is one that occurs.
     """
-    return hot_keys_each([df], keys, share, min_rows)[0]
+    return hot_keys_each([(df, keys)], share, min_rows)[0]
 
 
 def hot_keys_each(
-    dfs: Sequence[DataFrame], keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    relations: Sequence[tuple[DataFrame, Sequence[str]]],
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
 ) -> list[list[tuple]]:
-    """`hot_keys` of several relations; one job sketches them all. The tasks' sketches are merged
-    in groups and the groups' then, so that no task merges one of every task."""
+    """`hot_keys` of several relations, each with its keys; one job sketches them all. The tasks'
+    sketches are merged in groups and the groups' then, so that no task merges one of every task."""
     most = ceil(1 / share)
     tracked = F.lit(8 * most)
-    digest = F.xxhash64(*keys)
-    keyed = [df.select(*keys).dropna() for df in dfs]
+    keyed = [df.select(*keys).dropna() for df, keys in relations]
     grouped = reduce(DataFrame.unionByName, [
-        df.select(F.lit(i).alias("i"), digest.alias("digest")) for i, df in enumerate(keyed)
+        df.select(F.lit(i).alias("i"), F.xxhash64(*df.columns).alias("digest"))
+        for i, df in enumerate(keyed)
     ]).withColumn("part", F.spark_partition_id() % MERGE_GROUPS).groupBy("i", "part").agg(
         F.count(F.lit(1)).alias("n"),
         F.call_function("approx_top_k_accumulate", F.col("digest"), tracked).alias("sketch"),
@@ -57,15 +59,16 @@ def hot_keys_each(
     sketched = merged.select(
         "i", "n",
         F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most)).alias("top"))
-    hot: list[list[tuple]] = [[] for _ in dfs]
+    hot: list[list[tuple]] = [[] for _ in relations]
     for row in sketched.collect():  # a row per relation
         least = max(min_rows, ceil(row["n"] * share))
         digests = [item["item"] for item in row["top"] if item["count"] >= least]
         if digests:
-            counts = keyed[row["i"]].where(digest.isin(digests)).groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("n"))
-            hot[row["i"]] = sorted(
-                tuple(r[k] for k in keys) for r in counts.where(F.col("n") >= least).collect())
+            df = keyed[row["i"]]
+            counts = df.where(F.xxhash64(*df.columns).isin(digests)).groupBy(*df.columns).agg(
+                F.count(F.lit(1)).alias("_n"))
+            found = counts.where(F.col("_n") >= least).drop("_n").collect()
+            hot[row["i"]] = sorted(tuple(r) for r in found)
     return hot
 
 
@@ -101,15 +104,17 @@ def spread_join(
 
     deal_left = [flag(is_hot(keys, hot_left))] if hot_left else []
     if spread_nulls and how in ("left", "left_anti"):
-        deal_left.append(reduce(or_, [F.col(k).isNull() for k in keys]))
+        deal_left.append(has_null(keys))
     copied = may_match & flag(is_hot(keys, hot_right)) if hot_right else F.lit(False)
 
     slots = []
     if deal_left:
         slots.append("_left_slot")
         left = deal(left, "_left_slot", reduce(or_, deal_left), ways)
-        right = copy(right, "_left_slot", flag(is_hot(keys, hot_left)), ways) if hot_left else (
-            right.withColumn("_left_slot", F.lit(0)))
+        if hot_left:
+            right = copy(right, "_left_slot", flag(is_hot(keys, hot_left)), ways)
+        else:
+            right = right.withColumn("_left_slot", first_slot(keys))
     if hot_right:
         slots.append("_right_slot")
         right = deal(right, "_right_slot", flag(is_hot(keys, hot_right)), ways)
@@ -127,15 +132,20 @@ def spread_join(
 
 
 def is_hot(keys: Sequence[str], hot: Sequence[tuple[Any, ...]]) -> Column:
+    """Whether the first keys have the values of a hot key."""
     if not hot:
         return F.lit(False)
-    if len(keys) == 1:
+    if len(hot[0]) == 1:
         return F.col(keys[0]).isin([value for (value,) in hot])
     return reduce(or_, [
         reduce(and_, [F.col(k) == F.lit(v) for k, v in zip(keys, values)]) for values in hot
     ])
 
 
+def has_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
 def deal(df: DataFrame, slot: str, cond: Column, ways: int) -> DataFrame:
     """Give rows that meet `cond` a slot from 0 to ways - 1, the others slot 0.
 
@@ -148,6 +158,11 @@ def deal(df: DataFrame, slot: str, cond: Column, ways: int) -> DataFrame:
     return df.withColumn(slot, F.when(cond, dealt).otherwise(F.lit(0)))
 
 
+def first_slot(keys: Sequence[str]) -> Column:
+    """Slot 0, though not as a literal: the optimizer would take that out of the join's key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+
+
 def copy(df: DataFrame, slot: str, cond: Column, ways: int) -> DataFrame:
     """Copy rows that meet `cond` to every slot; the others stay in slot 0."""
     every = F.sequence(F.lit(0), F.lit(ways - 1))

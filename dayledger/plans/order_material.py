@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,7 @@ from dayledger.operators import (
     fallback_join,
     first_per_key,
     fits,
-    hot_keys,
-    left_join,
+    hot_keys_each,
     semi,
     spread_join,
 )
@@ -52,8 +53,12 @@ def order_core(
     """
     submissions = snapshot(catalog.table("order_design"), run.ds).where(
         eq("deleted", False)).select("design_id", "order_id", "created")
+    audits = snapshot(catalog.table("order_item"), run.ds).where(
+        eq("item_key", AUDIT_ITEM)).select("order_id", "value")
+    hot_designs, hot_orders, hot_audits = hot_keys_each([
+        (submissions, ["design_id"]), (submissions, ["order_id"]), (audits, ["order_id"])])
     if ties:
-        first = first_per_key(submissions, ["design_id"], ["created"], ties=True)
+        first = first_per_key(submissions, ["design_id"], ["created"], ties=True, hot=hot_designs)
     else:
         first = first_per_key(submissions, ["design_id"], ["created"], tiebreak=["order_id"])
     orders = (
@@ -64,14 +69,11 @@ def order_core(
         .select("order_id", "org_id", "order_readable_id", "last_modified",
                 label("state", REVIEW_STATUS).alias("review_status"))
     )
-    audits = snapshot(catalog.table("order_item"), run.ds).where(
-        eq("item_key", AUDIT_ITEM)).select("order_id", "value")
-    hot = hot_keys(audits, ["order_id"])
     if distinct:  # the result is distinct, so its parts may be, and copies never meet the join
         audits = dedup(audits)
-    live = first.join(orders, "order_id")
-    core = spread_join(live, audits, ["order_id"], "left", hot_right=hot).select(*CORE)
-    return dedup(core) if distinct else core
+    live = spread_join(first, orders, ["order_id"], hot_left=hot_orders)
+    core = spread_join(live, audits, ["order_id"], "left", hot_left=hot_orders, hot_right=hot_audits)
+    return dedup(core.select(*CORE)) if distinct else core.select(*CORE)
 
 
 def order_material_detail(
@@ -79,7 +81,7 @@ def order_material_detail(
 ) -> DataFrame:
     """Tied first submissions, distinct core rows, all materials of the day."""
     core = order_core(catalog, run, ties=True, distinct=True) if core is None else core
-    return _named(left_join(core, _relation(catalog, run), ["design_id"]), _names(catalog, run))
+    return _with_materials(core, _relation(catalog, run), _names(catalog, run))
 
 
 def order_material_onepass(catalog: Catalog, run: RunDate) -> DataFrame:
@@ -104,11 +106,8 @@ def order_material_fallback(
     """
     core = order_core(catalog, run) if core is None else core
     sources = [_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS)]
-    out = fallback_join(core, sources, ["design_id"], MATERIAL,
-                        latest_only=latest_only, prefilter=prefilter)
     names = [_names(catalog, run, days) for days in (0, HISTORY_DAYS)]
-    return fallback_join(out, names, ["brandgood_id"], ["brandgood_name"],
-                         latest_only=latest_only, spread_nulls=True).select(*OUTPUT)
+    return _fallback(core, sources, names, latest_only=latest_only, prefilter=prefilter)
 
 
 def order_material_three_level(
@@ -124,14 +123,12 @@ def order_material_three_level(
         history.withColumn(CNT, no_count),
         _keyed(_design_detail(catalog, run)).withColumn(CNT, no_count),
     ]
-    out = fallback_join(core, sources, ["design_id"], MATERIAL, prefilter=prefilter)
-    out = out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
     names = [
         *[_names(catalog, run, days) for days in (0, HISTORY_DAYS)],
         constant_row(catalog.spark, **UNKNOWN_MATERIAL),
     ]
-    return fallback_join(out, names, ["brandgood_id"], ["brandgood_name"],
-                         spread_nulls=True).select(*OUTPUT)
+    out = _fallback(core, sources, names, prefilter=prefilter)
+    return out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
 
 
 def order_material_defaults(catalog: Catalog, run: RunDate) -> DataFrame:
@@ -191,10 +188,28 @@ def _keyed(relation: DataFrame) -> DataFrame:
 
 
 def _with_materials(core: DataFrame, relation: DataFrame, names: DataFrame) -> DataFrame:
-    return _named(left_join(core, relation, ["design_id"]), names)
+    """Add materials and their names. A design without a material has a NULL key for the name, a
+    popular material many rows, and both may be many: they are spread."""
+    hot_designs, hot_materials, hot_names = hot_keys_each([
+        (relation, ["design_id"]), (relation, ["brandgood_id"]), (names, ["brandgood_id"])])
+    out = spread_join(core, relation.drop("ds"), ["design_id"], "left", hot_right=hot_designs)
+    named = spread_join(out, names.drop("ds"), ["brandgood_id"], "left", hot_left=hot_materials,
+                        hot_right=hot_names, spread_nulls=True)
+    return named.select(*[c for c in OUTPUT if c in named.columns])
 
 
-def _named(out: DataFrame, names: DataFrame) -> DataFrame:
-    """Add names. Designs without a material have a NULL key, and there may be many of them."""
-    named = left_join(out.drop("ds"), names.drop("ds"), ["brandgood_id"], spread_nulls=True)
-    return named.select(*[c for c in OUTPUT if c in named.columns])
+def _fallback(
+    core: DataFrame,
+    relations: Sequence[DataFrame],
+    names: Sequence[DataFrame],
+    latest_only: bool = False,
+    prefilter: bool = False,
+) -> DataFrame:
+    """Materials from the first relation that has any, names likewise."""
+    out = fallback_join(core, relations, ["design_id"], MATERIAL,
+                        latest_only=latest_only, prefilter=prefilter)
+    hot = hot_keys_each([(relation, ["brandgood_id"]) for relation in relations])
+    return fallback_join(
+        out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only,
+        hot=sorted({key for keys in hot for key in keys}), spread_nulls=True,
+    ).select(*OUTPUT)

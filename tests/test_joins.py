@@ -132,18 +132,45 @@ def test_a_key_with_a_third_of_all_rows_is_spread(spark, how):
     assert "_left_slot" in plan(out)
 
 
-def test_hot_rows_reach_many_tasks(spark):
-    """Equal rows of one key on the right of a left join, which adaptive execution cannot split."""
+@pytest.fixture
+def shuffled(spark):
+    """Without broadcasts and adaptive execution: only what the join does itself."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        left = spark.range(10).selectExpr("id AS k")
-        right = spark.range(0, 4000, 1, 4).selectExpr("3L AS k", "'same' AS v")
-        out = salted_join(left, right, ["k"], "left", ways=16, min_rows=100)
-        per_task = out.where("k = 3").groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in per_task) == 4000 and out.count() == 4009
-        assert len(per_task) > 1
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def tasks(df):
+    return len(df.select(F.spark_partition_id().alias("t")).distinct().collect())
+
+
+def test_hot_rows_reach_many_tasks(spark, shuffled):
+    """Equal rows of one key on the right of a left join, which adaptive execution cannot split."""
+    left = spark.range(10).selectExpr("id AS k")
+    right = spark.range(0, 4000, 1, 4).selectExpr("3L AS k", "'same' AS v")
+    out = salted_join(left, right, ["k"], "left", ways=16, min_rows=100)
+    assert out.where("k = 3").count() == 4000 and out.count() == 4009
+    assert tasks(out.where("k = 3")) > 1
+
+
+def test_rows_without_a_key_reach_many_tasks(spark, shuffled):
+    left = spark.range(0, 1000, 1, 4).selectExpr("IF(id < 990, NULL, id) AS k", "id AS x")
+    right = spark.range(980, 995).selectExpr("id AS k", "id AS v").dropna()
+    out = spread_join(left, right, ["k"], "left", spread_nulls=True, ways=16)
+    assert out.count() == 1000 and out.where("v IS NOT NULL").count() == 5
+    assert tasks(out.where("k IS NULL")) > 1
+    assert tasks(left.join(right, "k", "left").where("k IS NULL")) == 1
+
+
+def test_fallback_spreads_its_base_once(spark, shuffled):
+    key = "CASE WHEN id < 400 THEN NULL WHEN id < 800 THEN 7 ELSE id END AS k"
+    base = spark.range(0, 1000, 1, 4).selectExpr(key, "id AS x")
+    one = spark.range(900, 950).selectExpr("id AS k", "'one' AS v")
+    two = spark.range(0, 920).selectExpr("id AS k", "'two' AS v")
+    out = fallback_join(base, [one, two], ["k"], ["v"], hot=[(7,)], spread_nulls=True)
+    assert got(out.groupBy("v").count()) == [(None, 450), ("one", 50), ("two", 500)]
+    assert tasks(out.where("k = 7")) > 1 and tasks(out.where("k IS NULL")) > 1
+    assert plan(out).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 3

@@ -161,5 +161,5 @@ def test_hot_keys(spark, frame):
     assert hot_keys(df, ["k", "m"], share=0.1, min_rows=1) == [(7, 0), (7, 1)]
     assert hot_keys(df, ["k"], share=0.1) == []  # too few rows to matter
     assert hot_keys(df.where("k < 0"), ["k"], share=0.1, min_rows=1) == []
-    each = hot_keys_each([df, df.where("k < 0"), df.where("k > 500")], ["k"], share=0.1, min_rows=1)
-    assert each == [[(7,)], [], []]
+    each = hot_keys_each([(df, ["k"]), (df.where("k < 0"), ["k"]), (df, ["m"])], share=0.3, min_rows=1)
+    assert each == [[(7,)], [], [(0,), (1,)]]
