@@ -1,8 +1,9 @@
 """Joins whose keys may be hot: one key value can hold a third of all rows.
 
-Adaptive execution splits a skewed left side of an inner, left, semi or anti join by itself. It
-cannot split the right side of a left join, and it sees only partitions, not keys. `spread_join`
-spreads chosen keys over many tasks on either side, with the same rows as the plain join.
+Adaptive execution splits a skewed side of an inner join and the left side of a left, semi or anti
+join by itself, unless the next join relies on the partitioning. It cannot split the right side of a
+left join. `spread_join` spreads chosen keys over many tasks on either side, with the same rows as
+the plain join.
 """
 
 from __future__ import annotations
