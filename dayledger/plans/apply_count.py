@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import category_filter, eq, not_in_list, same_month
-from dayledger.operators import BROADCAST_LIMIT, count_distinct_by, dedup, fits, semi
+from dayledger.operators import (
+    BROADCAST_LIMIT,
+    count_distinct_by,
+    dedup,
+    fits,
+    hot_keys,
+    semi,
+    spread_join,
+)
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, increment, month_to_date, snapshot
 
@@ -44,7 +52,9 @@ def apply_count(
     listed model whose owner has a live account in the same organisation.
 
     The month's designs are few beside the relations: measured and, if small, broadcast, so the
-    relations are cut to them and freed of copies before their first shuffle. `prefilter` drops
+    relations are cut to them and freed of copies before their first shuffle. Otherwise a design
+    with very many relations is spread by hand: removing copies would rely on the join's
+    partitioning, so adaptive execution would not split it. `prefilter` drops
     designs and models without a live account early; the later joins would drop them anyway.
     """
     accounts = (
@@ -71,7 +81,11 @@ def apply_count(
         designs = semi(designs, accounts, ["org_id"])
         models = semi(models, accounts, ["user_id"])
     pairs = relation.select("design_id", "brandgood_id")
-    used = dedup(pairs.join(F.broadcast(designs) if small else designs, "design_id"))
+    if small:
+        used = dedup(pairs.join(F.broadcast(designs), "design_id"))
+    else:
+        hot = hot_keys(pairs, ["design_id"])
+        used = dedup(spread_join(pairs, designs, ["design_id"], hot_left=hot))
     counted = used.join(models, "brandgood_id").join(accounts, ["user_id", "org_id"])
     return count_distinct_by(
         counted, ["org_id", "level1_node_name", "level2_node_name", "brandgood_name"],

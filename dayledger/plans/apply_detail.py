@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import eq, in_list
-from dayledger.operators import BROADCAST_LIMIT, checked_broadcast, dedup, lookup
+from dayledger.operators import (
+    BROADCAST_LIMIT,
+    dedup,
+    fits,
+    hot_keys_each,
+    lookup,
+    spread_join,
+)
 from dayledger.plans.schemas import ACCOUNT_MATERIAL_COLUMNS, APPLY_DETAIL
 from dayledger.rundate import RunDate
 from dayledger.sources import Catalog, snapshot
@@ -33,14 +40,19 @@ def account_apply_detail(
     """
     materials = _materials(catalog, run).where(in_list("root_account_id", accounts))
     designs = _designs(catalog, run, accounts)
-    material_ids = checked_broadcast(materials.select("brandgood_id"), max_bytes)
-    design_ids = checked_broadcast(designs.select("design_id"), max_bytes)
-    relation = (
-        _relation(catalog, run)
-        .join(material_ids, "brandgood_id", "left_semi")
-        .join(design_ids, "design_id", "left_semi")
-    )
-    kept = dedup(relation).join(design_ids, "design_id")
+    material_ids, design_ids = materials.select("brandgood_id"), designs.select("design_id")
+    relation = _relation(catalog, run)
+    if fits(material_ids, max_bytes) and fits(design_ids, max_bytes):
+        design_ids = F.broadcast(design_ids)
+        cut = relation.join(F.broadcast(material_ids), "brandgood_id", "left_semi").join(
+            design_ids, "design_id", "left_semi")
+        kept = dedup(cut).join(design_ids, "design_id")
+    else:  # the joins by design follow each other, so hot keys are spread by hand
+        hot_materials, hot_designs = hot_keys_each([
+            (relation, ["brandgood_id"]), (relation, ["design_id"])])
+        cut = spread_join(relation, material_ids, ["brandgood_id"], "left_semi", hot_left=hot_materials)
+        cut = spread_join(cut, design_ids, ["design_id"], "left_semi", hot_left=hot_designs)
+        kept = spread_join(dedup(cut), design_ids, ["design_id"], hot_left=hot_designs)
     return _detail(catalog, run, kept, materials, designs, max_bytes)
 
 

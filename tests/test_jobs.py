@@ -81,6 +81,13 @@ def test_monthly_apply_count(apply_tables, prefilter, max_bytes):
         (10, "a", None, "chair", 1), (10, "a", "b", "chair", 2)]
 
 
+def test_apply_count_with_a_hot_design(apply_tables, monkeypatch):
+    monkeypatch.setattr("dayledger.plans.apply_count.hot_keys", lambda df, keys: [(1,)])
+    out = monthly_apply_count(apply_tables, RUN, max_bytes=0)
+    assert "_left_slot" in plan(out)
+    assert got(out) == [(10, "a", None, "chair", 1), (10, "a", "b", "chair", 2)]
+
+
 def test_daily_apply_count_takes_added_relations_of_the_day(apply_tables):
     bridge = apply_tables.table("bridge_increment")
     kept = bridge.withColumn("action_type", F.when(F.col("design_id") == 2, 2).otherwise(F.col("action_type")))
@@ -126,9 +133,13 @@ def test_account_apply_detail(spark, frame, job, max_bytes):
         (1, 10, 10, "seven", "eight"), (1, 15, 15, None, None), (2, 11, 11, "seven", "seven")]
 
 
-def test_a_repeated_design_tells_the_variants_apart(spark, frame):
+def test_a_repeated_design_tells_the_variants_apart(spark, frame, monkeypatch):
     twice = detail_tables(spark, frame, [(10, 106940, False, 7, 8, DS)])
     assert account_apply_detail(twice, RUN).where("design_id = 10").count() == 4
+    monkeypatch.setattr("dayledger.plans.apply_detail.hot_keys_each", lambda relations: [[(1,)], [(10,), (11,)]])
+    spread = account_apply_detail(twice, RUN, max_bytes=0)
+    assert "_left_slot" in plan(spread) and spread.where("design_id = 10").count() == 4
+    assert spread.count() == 4 + 2
     assert account_apply_detail_plain(twice, RUN).where("design_id = 10").count() == 2
 
 
@@ -236,6 +247,20 @@ def test_order_material_detail(order_tables):
     assert out.where("design_id = 1").count() == 6
 
 
+def test_hot_keys_do_not_change_the_order_jobs(order_tables, monkeypatch):
+    jobs = [order_material_detail, order_material_onepass, order_material_fallback, order_material_three_level]
+    plain = [got(job(order_tables, RUN)) for job in jobs]
+
+    def every_key(relations):
+        return [sorted({tuple(r) for r in df.select(*keys).dropna().collect()}) for df, keys in relations]
+
+    monkeypatch.setattr("dayledger.plans.order_material.hot_keys_each", every_key)
+    monkeypatch.setattr("dayledger.operators.joins.hot_keys_each", every_key)
+    spread = [job(order_tables, RUN) for job in jobs]
+    assert all("_left_slot" in plan(df) and "_right_slot" in plan(df) for df in spread)
+    assert [got(df) for df in spread] == plain
+
+
 def test_order_material_onepass(order_tables):
     out = order_material_onepass(order_tables, RUN)
     assert out.columns == ORDER_MATERIAL.schema.names
