@@ -427,6 +427,19 @@ def test_run_job_writes_a_day_and_can_be_run_again(order_tables, tmp_path, name)
     assert read_path(order_tables.spark, spec, path).count() == 2 * len(got(out))
 
 
+@pytest.mark.parametrize("name", ["relation_tags", "account_apply_detail", "account_apply_detail_plain"])
+def test_run_wide_jobs_into_tables(spark, frame, tag_tables, name):
+    tables = tag_tables if name == "relation_tags" else detail_tables(spark, frame)
+    job = JOBS[name]
+    spec = job.spec.named(f"wide_{name}")
+    for _ in range(2):
+        run_job(name, tables, RUN, spec=spec)
+    made = spark.table(spec.name)
+    assert made.columns == [*spec.schema.names, "ds"]
+    assert got(made.drop("ds")) == got(job.build(tables, RUN))
+    spark.sql(f"DROP TABLE {spec.name}")
+
+
 def test_run_job_into_a_table(apply_tables, spark):
     spec = JOBS["monthly_apply_count"].spec.named("monthly_made")
     run_job("monthly_apply_count", apply_tables, RUN, spec=spec)
