@@ -41,14 +41,19 @@ def hot_keys_each(
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> list[list[tuple]]:
-    """`hot_keys` of several relations, each with its keys; one job sketches them all. The tasks'
-    sketches are merged in groups and the groups' then, so that no task merges one of every task."""
+    """`hot_keys` of several relations, each with its keys; one job sketches them all, and a
+    relation given with several keys is read once for them. The tasks' sketches are merged in
+    groups and the groups' then, so that no task merges one of every task."""
     most = ceil(1 / share)
     tracked = F.lit(8 * most)
-    keyed = [df.select(*keys).dropna() for df, keys in relations]
+    digests: dict[int, list[Column]] = {}  # number and digest of each key, by relation
+    for i, (df, keys) in enumerate(relations):
+        digest = F.when(~has_null(keys), F.xxhash64(*keys))
+        digests.setdefault(id(df), []).extend([F.lit(i), digest])
+    scanned = {id(df): df for df, _ in relations}
     grouped = reduce(DataFrame.unionByName, [
-        df.select(F.lit(i).alias("i"), F.xxhash64(*df.columns).alias("digest"))
-        for i, df in enumerate(keyed)
+        scanned[key].select(F.stack(F.lit(len(cols) // 2), *cols).alias("i", "digest")).dropna()
+        for key, cols in digests.items()
     ]).withColumn("part", F.spark_partition_id() % MERGE_GROUPS).groupBy("i", "part").agg(
         F.count(F.lit(1)).alias("n"),
         F.call_function("approx_top_k_accumulate", F.col("digest"), tracked).alias("sketch"),
@@ -63,11 +68,11 @@ def hot_keys_each(
     hot: list[list[tuple]] = [[] for _ in relations]
     for row in sketched.collect():  # a row per relation
         least = max(min_rows, ceil(row["n"] * share))
-        digests = [item["item"] for item in row["top"] if item["count"] >= least]
-        if digests:
-            df = keyed[row["i"]]
-            counts = df.where(F.xxhash64(*df.columns).isin(digests)).groupBy(*df.columns).agg(
-                F.count(F.lit(1)).alias("_n"))
+        likely = [item["item"] for item in row["top"] if item["count"] >= least]
+        if likely:
+            df, keys = relations[row["i"]]
+            counts = df.select(*keys).dropna().where(F.xxhash64(*keys).isin(likely)).groupBy(
+                *keys).agg(F.count(F.lit(1)).alias("_n"))
             found = counts.where(F.col("_n") >= least).drop("_n").collect()
             hot[row["i"]] = sorted(tuple(r) for r in found)
     return hot
