@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dayledger.llm import bpe, packing, repair, token_counts
+from dayledger.llm import bpe, exact_dedup, packing, repair, token_counts, warc
 from dayledger.sinks.staging import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,26 @@ def op8_bpe(documents: DataFrame) -> DataFrame:
 def op10_token_counts(documents: DataFrame) -> DataFrame:
     cache = fresh_path(documents.sparkSession, "token-counts")  # empty at first: every distinct text is encoded
     return token_counts.count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"), cache)
+
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("pages", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    last AS (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> last THEN last END AS refers_to
+    FROM last""")
+def op4_warc(pages: DataFrame) -> DataFrame:
+    return warc.archived(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("documents", f"""
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+    FROM (SELECT doc_id, {LOWER} AS text FROM documents)
+    WINDOW same AS (PARTITION BY text)""")
+def op6_exact_dedup(documents: DataFrame) -> DataFrame:
+    return exact_dedup.exact_dedup(documents)
