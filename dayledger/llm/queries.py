@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dayledger.llm import bpe, exact_dedup, packing, repair, token_counts, warc
+from dayledger.llm import bpe, exact_dedup, near_dedup, packing, repair, token_counts, warc
 from dayledger.sinks.staging import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,29 @@ def op4_warc(pages: DataFrame) -> DataFrame:
     WINDOW same AS (PARTITION BY text)""")
 def op6_exact_dedup(documents: DataFrame) -> DataFrame:
     return exact_dedup.exact_dedup(documents)
+
+
+WORDS = r"regexp_extract_all(" + LOWER + r", '[^\x20\x09-\x0D]+')"
+
+
+@query("documents", f"""
+    WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents),
+    shingle AS MATERIALIZED (
+        SELECT DISTINCT doc_id, unnest(CASE
+            WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+        FROM w),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+    common AS MATERIALIZED (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+        FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+    link AS MATERIALIZED (
+        SELECT a, b FROM common JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b
+        WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+    reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+    least AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(least.low, d.doc_id)) AS component_id,
+           d.doc_id <= coalesce(least.low, d.doc_id) AS kept
+    FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""")
+def op5_near_dedup(documents: DataFrame) -> DataFrame:
+    return near_dedup.near_dedup(documents)
