@@ -62,3 +62,17 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         "doc_id", keep.alias("keep_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of `docs` per text, with all its columns: that of the largest doc_id. Of rows that share
+    id and text too, any one."""
+    marked = exact_dedup(docs).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "kept")
+    marked = stage(marked.groupBy("_id", "_text", "kept").agg(F.count("*").alias("_rows")).where("NOT kept OR _rows > 1"), "marked")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.sha2(normalised(), 256) == F.col("_text"))
+    out = docs.join(marked.where("NOT kept"), same, "left_anti")
+    again = marked.where("kept")
+    if again.isEmpty():
+        return out
+    repeated = out.join(again, same, "left_semi").withColumn("_key", F.sha2(normalised(), 256)).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return out.join(again, same, "left_anti").unionByName(repeated)

@@ -209,3 +209,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long").distinct()
+
+
+def deduplicated(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """The rows of `docs`, all columns as they are, that `near_dedup` keeps: one id of each component.
+    Rows without an id stay."""
+    gone = near_dedup(docs, settings).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dayledger.llm import bpe, exact_dedup, near_dedup, packing, repair, token_counts, warc
+from dayledger.llm import bpe, exact_dedup, language, near_dedup, packing, quality, repair, syncmers, token_counts, warc
 from dayledger.sinks.staging import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,20 @@ WORDS = r"regexp_extract_all(" + LOWER + r", '[^\x20\x09-\x0D]+')"
     FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""")
 def op5_near_dedup(documents: DataFrame) -> DataFrame:
     return near_dedup.near_dedup(documents)
+
+
+@query("documents")
+def op9_syncmers(documents: DataFrame) -> DataFrame:
+    return syncmers.compared(documents)
+
+
+@query("documents")
+def op3_language(documents: DataFrame) -> DataFrame:
+    model = language.learn(documents.where(language.in_training()))
+    predicted = language.predict(documents, model)
+    return predicted.select("doc_id", (~language.in_training()).alias("held_out"), "lang_pred", "score")
+
+
+@query("documents")
+def op7_quality(documents: DataFrame) -> DataFrame:
+    return quality.judged(documents, quality.learn(documents))
