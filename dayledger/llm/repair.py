@@ -143,9 +143,10 @@ class Shard:
 
     def __init__(self, file):
         self.file = file
-        if file.read(4) != MAGIC:
+        head = file.read(36)
+        if len(head) < 36 or not head.startswith(MAGIC):
             raise ValueError("not a shard file")
-        docs, rules, self.n_symbols, self.terminals = struct.unpack("<4Q", file.read(32))
+        docs, rules, self.n_symbols, self.terminals = struct.unpack("<4Q", head[4:])
         self.doc_ids = self._array("<i8", docs)
         self.first = self._array("<i8", docs + 1)
         self.sizes = self._array("<i8", docs)

@@ -84,11 +84,11 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048) -> D
         rows.groupBy("content").agg(F.min("doc_id").alias("of"))
         .join(stored, "content", "left_anti")
     )
-    # one text per content: the row of its smallest id, and one of several that share both
+    # one text per content: the row of its smallest id; rows that repeat both are encoded each
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("content") == F.col("_content"))
     encoded = counted(texts.join(missing.withColumnRenamed("content", "_content"), same, "left_semi"), path)
     (
-        encoded.select(F.lit(version).alias("tokenizer"), "content", "n_tokens")
+        encoded.distinct().select(F.lit(version).alias("tokenizer"), "content", "n_tokens")
         .write.mode("append").parquet(cache)
     )
     counts = open_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")

@@ -1,0 +1,223 @@
+"""Packing, the token archive, BPE and token counts against the tokenizers' own libraries."""
+
+import base64
+import hashlib
+import io
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd import ODD, documents, prose
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from dayledger.llm import bpe, packing, patterns, repair, token_counts
+from dayledger.llm.chunks import library_encoder, sliced
+
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def library(path, texts):
+    return [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.fixture(scope="module")
+def tik():
+    with open(MULTI, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from(list("ab e'sT.,!  \n\n\t\r\x1c  é½日")), max_size=25), max_size=6))
+def test_chunks_are_encoded_as_whole_texts_are(path, texts):
+    flat, bounds = library_encoder(path)(pa.array(texts, pa.string()))
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == library(path, texts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from(list("abcthe e'sT.,!  \n\t\r\x1c é½日")), max_size=40), max_size=6))
+def test_ranks_are_merged_as_tiktoken_does(tik, texts):
+    flat, bounds = bpe.rank_encoder(MULTI, public_tokenizers.PATTERN)(pa.array(texts, pa.string()))
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [tik.encode_ordinary(t) for t in texts]
+
+
+def test_a_word_longer_than_any_class(tik):
+    word = ("thequickbrown" * 700).encode()
+    assert np.frombuffer(bpe.load_ranks(MULTI).encode_words([word])[0], np.uint32).tolist() == tik.encode_ordinary(word.decode())
+
+
+def test_a_full_memory_of_chunks_is_emptied():
+    encoder = library_encoder(WORD)
+    limit, encoder.limit = encoder.limit, 3
+    try:
+        for _ in range(3):
+            flat, bounds = encoder(pa.array(["one two three four five six", None]))
+            assert flat.tolist() == library(WORD, ["one two three four five six"])[0] and bounds.tolist()[1:] == [len(flat)] * 2
+    finally:
+        encoder.limit = limit
+
+
+def test_sliced_batches_hold_every_row():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * n for n in (5, 0, 100, 3, 3)] + [None]})
+    parts = list(sliced([batch, batch.slice(0, 0)], "text", 8))
+    assert [r for p in parts for r in p.column("text").to_pylist()] == batch.column("text").to_pylist() and len(parts) > 2
+
+
+def test_bpe_of_odd_rows(spark, tik):
+    got = bpe.encode_documents(documents(spark), MULTI, public_tokenizers.PATTERN, with_ids=True).collect()
+    want = sorted((str(i), tik.encode_ordinary(t or ""), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ODD)
+    assert sorted((str(r["doc_id"]), r["ids"], r["decoded_sha256"]) for r in got) == want
+    for r in got:
+        assert r["n_tokens"] == len(r["ids"]) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, r["ids"])).encode()).hexdigest()
+
+
+def test_token_counts_of_odd_rows_and_the_cache(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    want = sorted((str(i), len((t or "").encode()), len(ids), len(ids) > 2048) for (i, t), ids in zip(ODD, library(WORD, [t or "" for _, t in ODD]), strict=True))
+    for _ in range(2):
+        got = token_counts.count_tokens(documents(spark), WORD, cache).collect()
+        assert sorted((str(r[0]), *r[1:]) for r in got) == want
+    stored = spark.read.parquet(cache)
+    assert stored.count() == len({t or "" for _, t in ODD})  # distinct texts, encoded once in both runs
+    # a stored count is used, and another version of the tokenizer does not see it
+    token_counts.count_tokens(documents(spark, [(1, "a b")]), BYTE, cache).collect()
+    assert spark.read.parquet(cache).count() == len({t or "" for _, t in ODD}) + 1
+    content = hashlib.sha256(b"planted").digest()
+    spark.createDataFrame([(token_counts.tokenizer_version(WORD), bytearray(content), 77)], token_counts.CACHE).write.mode("append").parquet(cache)
+    assert token_counts.count_tokens(documents(spark, [(1, "planted")]), WORD, cache).first()["n_tokens"] == 77
+
+
+def test_token_counts_of_a_sentencepiece_model(spark, tmp_path):
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [(1, "a b  c"), (2, None), (3, prose(20, 3))]
+    got = token_counts.count_tokens(documents(spark, texts), path, str(tmp_path / "c")).collect()
+    model = SentencePieceProcessor(model_file=path)
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: len(model.encode(t or "")) for i, t in texts}
+
+
+def check_packing(rows, texts, capacity):
+    """Every id in one piece, sequences gapless and not too long; gives the share of padding."""
+    want = {}
+    for (i, _), ids in zip(texts, library(WORD, [t or "" for _, t in texts]), strict=True):
+        want.setdefault(i, []).append([*ids, 2])
+    for i, documents_ in want.items():
+        ids = documents_[0]
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        assert sum(r["length"] for r in mine) == sum(map(len, documents_))
+        if len(documents_) == 1:
+            at = 0
+            for r in mine:
+                assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == crc(ids[at : at + r["length"]])
+                at += r["length"]
+    used = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used.get(r["sequence_id"], 0)
+        used[r["sequence_id"]] = r["offset"] + r["length"]
+    padding = {}
+    for r in rows:
+        n = used[r["sequence_id"]]
+        assert n <= capacity and r["padded_length"] == (n if n & (n - 1) == 0 else capacity)
+        padding[r["sequence_id"]] = r["padded_length"] - n
+    return sum(padding.values()) / (sum(used.values()) + sum(padding.values()))
+
+
+def test_packing_of_odd_rows(spark):
+    check_packing(packing.packed_documents(documents(spark), WORD, 2, 512).collect(), ODD, 512)
+
+
+def test_packing_pads_little_and_sequences_hold_the_ids(spark):
+    texts = [(i, prose(5 + i * 37 % 400, i)) for i in range(600)]
+    docs = documents(spark, texts)
+    packed = packing.pack(packing.pieces(docs, WORD, 2, 512, with_ids=True).cache(), 512, unit=4)
+    rows = packed.collect()
+    assert check_packing(rows, texts, 512) < 0.03
+    first = packing.sequences(packed).orderBy("sequence_id").first()
+    mine = sorted((r for r in rows if r["sequence_id"] == first["sequence_id"]), key=lambda r: r["offset"])
+    assert first["ids"] == [i for r in mine for i in r["ids"]]
+
+
+def test_tables_without_rows(spark, tmp_path):
+    none = documents(spark, [])
+    assert packing.packed_documents(none, WORD, 2).count() == 0
+    assert repair.token_archive(none, BYTE, 0, 50257).count() == 0
+    assert bpe.encode_documents(none, MULTI, public_tokenizers.PATTERN).count() == 0
+    assert token_counts.count_tokens(none, WORD, str(tmp_path / "c")).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 32), st.integers(1, 200), max_size=12))
+def test_patterns_hold_exactly_the_histogram(histogram):
+    held = dict.fromkeys(histogram, 0)
+    plan = patterns.cutting_stock(histogram, 32)
+    for pattern, times in plan:
+        assert sum(s * n for s, n in pattern) <= 32
+        for s, n in pattern:
+            held[s] += n * times
+    assert held == histogram
+    total = sum(s * n for s, n in histogram.items())
+    assert sum(t for _, t in plan) <= 2 * -(-total // 32) + len(histogram)
+
+
+def test_the_dearest_pattern_is_the_brute_force_one():
+    sizes, prices = np.array([3, 5, 7]), np.array([0.2, 0.36, 0.5])
+    value, copies = patterns.best_pattern(sizes, prices, 16)
+    best = max(a * 0.2 + b * 0.36 + c * 0.5 for a in range(6) for b in range(4) for c in range(3) if 3 * a + 5 * b + 7 * c <= 16)
+    assert value == pytest.approx(best) and copies @ prices == pytest.approx(best) and copies @ sizes <= 16
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([0, 1, 1, 2, 5]), max_size=200), max_size=8), st.sampled_from([6, 50257, 70000]))
+def test_shards_decode_to_what_was_compressed(documents_, terminals):
+    ids = np.array([i for d in documents_ for i in d], np.uint32)
+    bounds = np.concatenate(([0], np.cumsum([len(d) for d in documents_]))).astype(np.int64)
+    data = repair.shard_bytes(np.arange(len(documents_)), ids, bounds, terminals)
+    shard = repair.Shard(io.BytesIO(data))
+    decoded, edges = shard.documents()
+    assert decoded.tolist() == ids.tolist() and edges.tolist() == bounds.tolist()
+    for k, d in enumerate(documents_):
+        assert shard.ids(k).tolist() == d
+        assert shard.ids(k, 3, 11).tolist() == d[3:11]
+    with pytest.raises(ValueError):
+        repair.Shard(io.BytesIO(data[: len(data) - len(data) // 3 - 1])).documents()
+
+
+def test_repeated_pairs_become_few_symbols():
+    ids = np.tile(np.arange(8, dtype=np.uint32), 4000)
+    data = repair.shard_bytes(np.array([1]), ids, np.array([0, len(ids)]), 100)
+    assert len(data) < 2 * len(ids) / 7
+
+
+def test_token_archive_of_odd_rows(spark):
+    rows = repair.token_archive(documents(spark), BYTE, 0, 50257).collect()
+    ids = {}
+    for (i, _), found in zip(ODD, library(BYTE, [t or "" for _, t in ODD]), strict=True):
+        ids.setdefault(i, []).append([*found, 0])
+    assert len(rows) == len(ODD)
+    rows.sort(key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == sorted((i for i, _ in ODD), key=lambda i: (i is not None, i or 0))
+    at = 0
+    for r in rows:
+        assert r["start"] == at and (r["n_tokens"], r["ids_crc32"]) in {(len(x), crc(x)) for x in ids[r["doc_id"]]}
+        at += r["n_tokens"]
+
+
+def test_a_text_read_back_from_its_file(spark):
+    row = repair.token_archive(documents(spark, [(3, "b c"), (1, prose(500, 9)), (2, "")]), BYTE, 0, 50257).where(F.col("doc_id") == 1).first()
+    with repair.open_file(row["path"]) as file:
+        shard = repair.Shard(file)
+        k = shard.doc_ids.tolist().index(1)
+        assert crc(shard.ids(k)) == row["ids_crc32"] and shard.ids(k, 10, 20).tolist() == shard.ids(k).tolist()[10:20]
