@@ -9,6 +9,7 @@ single spaces and newlines, or a special token's string) are encoded whole.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -21,6 +22,9 @@ Encode = Callable[[list[str]], list[bytes]]  # texts -> their ids as unsigned 32
 WHOLE = "[\\x09\\x0b-\\x0d\\x1c-\\x1f\u0085   -     　]|  |<\\|"
 
 
+LONGEST = 64  # characters of a chunk that is remembered
+
+
 class ChunkEncoder:
     """Encodes Arrow text columns. Ids of chunks are remembered up to `limit` chunks, then forgotten
     all at once, so that a worker's memory stays bounded."""
@@ -68,13 +72,17 @@ class ChunkEncoder:
         return out, bounds
 
     def _ids(self, strings: list[str]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.known.clear()
         known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        new = list(dict.fromkeys(s for s in strings if s not in known))
-        found = dict(zip(new, self.encode(new), strict=True))
-        known.update((s, i) for s, i in found.items() if len(s) <= 64)  # long texts are not kept
-        return [known[s] if s in known else found[s] for s in strings]
+        out = list(map(known.get, strings))
+        new = [k for k, ids in enumerate(out) if ids is None]
+        found = dict.fromkeys(strings[k] for k in new)
+        found = dict(zip(found, self.encode(list(found)), strict=True))
+        for k in new:
+            out[k] = found[strings[k]]
+        known.update(found if max(map(len, found), default=0) <= LONGEST else {s: i for s, i in found.items() if len(s) <= LONGEST})
+        return out
 
 
 def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterable[pa.RecordBatch]:
@@ -105,7 +113,7 @@ def library_encoder(path: str) -> ChunkEncoder:
         out: list[bytes] = []
         for at in range(0, len(texts), 20_000):  # the encodings of one slice live at a time
             found = tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)
-            out += [np.array(e.ids, np.uint32).tobytes() for e in found]
+            out += [array("I", e.ids).tobytes() for e in found]
         return out
 
     return ChunkEncoder(encode)
