@@ -36,61 +36,69 @@ SHARD_IDS = 1 << 21
 
 def compress(ids: np.ndarray, bounds: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (pairs) and the documents' bounds among the symbols."""
-    seq, bounds = ids.astype(np.uint32), bounds.astype(np.int64)
-    room = (1 << 16) - terminals if terminals < 1 << 16 else 1 << 16
+    narrow = terminals < 1 << 16
+    room = (1 << 16) - terminals if narrow else 1 << 16
+    pair = np.uint32 if narrow else np.uint64  # a pair in one number: the left symbol in the upper half
+    half = pair(16 if narrow else 32)
+    seq, bounds = ids.astype(pair), bounds.astype(np.int64)
     rules = np.empty((0, 2), np.uint32)
     for _ in range(ROUNDS):
         if len(seq) < 2 or len(rules) >= room:
             break
-        pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        ends = bounds[(bounds > 0) & (bounds < len(seq))] - 1
+        pairs = (seq[:-1] << half) | seq[1:]
         inside = np.ones(len(pairs), bool)
-        inside[ends] = False
+        inside[bounds[(bounds > 0) & (bounds < len(seq))] - 1] = False
         chosen = _frequent(pairs[inside], room - len(rules))
         if not len(chosen):
             break
         at, which = _occurrences(pairs, inside, chosen)
         if not len(at):
             break
-        used, which = np.unique(which, return_inverse=True)
-        seq = seq.copy()
-        seq[at] = terminals + len(rules) + which
-        rules = np.vstack([rules, np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)])
+        used = np.flatnonzero(np.bincount(which, minlength=len(chosen)))
+        number = np.zeros(len(chosen), pair)
+        number[used] = terminals + len(rules) + np.arange(len(used))
+        seq[at] = number[which]
+        left, right = chosen[used] >> half, chosen[used] & ((pair(1) << half) - pair(1))
+        rules = np.vstack([rules, np.stack([left, right], 1).astype(np.uint32)])
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         bounds = bounds - np.searchsorted(at + 1, bounds)
         seq = seq[keep]
-    return seq, rules, bounds
+    return seq.astype(np.uint32), rules, bounds
 
 
 def _frequent(pairs: np.ndarray, most: int) -> np.ndarray:
     """The most frequent pairs that occur often enough, ascending."""
+    if not len(pairs):
+        return pairs
     ordered = np.sort(pairs)
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.empty(0, int)
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
     often = counts >= LEAST
     values, counts = ordered[starts[often]], counts[often]
     share = -(-most // 2)  # the next rounds find longer pairs with what is left
     if len(values) > share:
-        values = values[np.argsort(-counts, kind="stable")[:share]]
-    return np.sort(values)
+        values = np.sort(values[np.argsort(-counts, kind="stable")[:share]])
+    return values
 
 
 def _occurrences(pairs: np.ndarray, inside: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the chosen pairs are replaced, without overlaps, and which pair it is."""
-    bits = 18
-    mix = np.uint64(0x9E3779B97F4A7C15)
+    bits, kind = 17, pairs.dtype.type
+    mix, shift = (kind(0x9E3779B1), kind(32 - bits)) if kind is np.uint32 else (kind(0x9E3779B97F4A7C15), kind(64 - bits))
     table = np.full(1 << bits, -1, np.int32)
-    table[(chosen * mix) >> np.uint64(64 - bits)] = np.arange(len(chosen))
-    which = table[(pairs * mix) >> np.uint64(64 - bits)]
+    table[(chosen * mix) >> shift] = np.arange(len(chosen), dtype=np.int32)
+    which = table[(pairs * mix) >> shift]
     at = np.flatnonzero((which >= 0) & inside)
-    at = at[chosen[which[at]] == pairs[at]]  # a pair that lost its place in the table waits a round
+    which = which[at]
+    same = chosen[which] == pairs[at]  # a pair that lost its place in the table waits a round
+    at, which = at[same], which[same]
     if not len(at):
-        return at, which[at]
+        return at, which
     new_run = np.concatenate(([True], np.diff(at) > 1))
-    run_start = at[np.flatnonzero(new_run)][np.cumsum(new_run) - 1]
-    at = at[(at - run_start) % 2 == 0]
-    return at, which[at]
+    run_start = at[new_run][np.cumsum(new_run) - 1]
+    first = (at - run_start) % 2 == 0
+    return at[first], which[first]
 
 
 def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
