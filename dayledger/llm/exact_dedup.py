@@ -67,12 +67,14 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of `docs` per text, with all its columns: that of the largest doc_id. Of rows that share
     id and text too, any one."""
-    marked = exact_dedup(docs).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "kept")
-    marked = stage(marked.groupBy("_id", "_text", "kept").agg(F.count("*").alias("_rows")).where("NOT kept OR _rows > 1"), "marked")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.sha2(normalised(), 256) == F.col("_text"))
-    out = docs.join(marked.where("NOT kept"), same, "left_anti")
+    marked = exact_dedup(docs).groupBy("doc_id", "text_sha256", "kept").agg(F.count("*").alias("rows"))
+    marked = stage(marked.where("NOT kept OR rows > 1"), "marked")
+    # the rows of `docs` travel whole, in one column, so that no name of theirs can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(), 256).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256"))
+    out = rows.join(marked.where("NOT kept"), same, "left_anti")
     again = marked.where("kept")
-    if again.isEmpty():
-        return out
-    repeated = out.join(again, same, "left_semi").withColumn("_key", F.sha2(normalised(), 256)).dropDuplicates(["doc_id", "_key"]).drop("_key")
-    return out.join(again, same, "left_anti").unionByName(repeated)
+    if not again.isEmpty():
+        repeated = out.join(again, same, "left_semi").dropDuplicates(["id", "digest"])
+        out = out.join(again, same, "left_anti").unionByName(repeated)
+    return out.select("row.*")

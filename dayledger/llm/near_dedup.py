@@ -3,8 +3,9 @@
 Documents with the same words are one class and go on as one. Classes that share a band's key meet
 in a bucket. First each class is compared with its bucket's smallest, which gathers groups of any
 size without pairing them up. Then only buckets that still hold several components are compared
-across components, in blocks of bounded size, by their signatures. Every link is confirmed on the
-two full sets.
+across components, in blocks of bounded size, by signature and then by their sets of shingle hashes;
+what comes out is only links, at most one less than a block has documents. Every link is confirmed
+on the two full sets.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ class Settings:
     percent: int = 80
     bands: int = 40
     rows: int = 6
-    block: int = 512
+    block: int = 256
     slack: float = 6.5
 
     @property
@@ -96,13 +97,15 @@ def near_dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     shared = stage(member.join(hubs, "key").select("key", "hub", "node"), "buckets")
     # ids that stand for several classes are linked to themselves by their id
     stars = shared.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    # of the whole texts only those of documents that share a bucket move, once
+    texts = stage(texts.join(shared.select("node").distinct(), "node", "left_semi"), "texts")
     links = stage(_confirmed(_alike(stars, nodes, s), texts, s), "links")
 
     label = components(links)
     labelled = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low < high").select("key", "members")
-    across = _confirmed(_across(labelled.join(mixed, "key"), nodes, s), texts, s)
+    across = _confirmed(_across(labelled.join(mixed, "key"), nodes, texts, s), texts, s)
     links = links.union(stage(across, "links"))
 
     label = components(links)
@@ -136,57 +139,98 @@ def _matrix(column: pa.Array, s: Settings) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, s.coordinates)
 
 
-def _across(members: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of different components in a bucket (key, node, component, members) that may be similar.
-    A bucket is dealt into blocks of about `block`; two blocks meet in one task."""
-    blocks = F.ceil(F.col("members") / s.block).cast("int")
+GROUP = ["key", "low", "high"]
+MEMBER = "key long, low int, high int, block int, node long, component long, n long, signature binary"
+
+
+def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Links between different components of a bucket (key, node, component, members), by shingle
+    hashes. A bucket is dealt into blocks of about `block`; two blocks meet in one task. Documents
+    that by signature are like none of another component are left out before texts are fetched."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
-        members.withColumn("blocks", blocks)
+        members.withColumn("blocks", F.ceil(F.col("members") / s.block).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component",
-        )
+        .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component")
         .join(nodes.select("node", "n", "signature"), "node")
+        .select(*(c.split()[0] for c in MEMBER.split(", ")))
     )
-    group = ["key", "low", "high"]
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def compare(rows: list[dict]) -> Iterator[tuple[int, int]]:
-        n, node = np.array([r["n"] for r in rows]), np.array([r["node"] for r in rows])
-        component, block = np.array([r["component"] for r in rows]), np.array([r["block"] for r in rows])
-        signature = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
-        one_block = rows[0]["low"] == rows[0]["high"]
-        for i in range(len(rows)):
-            j = np.arange(i + 1, len(rows))
+    def partners(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        """Each row with the later ones it may be linked with."""
+        n, component, block = (rows.column(c).to_numpy() for c in ("n", "component", "block"))
+        signature = _matrix(rows.column("signature"), s)
+        one_block = rows.column("low")[0].as_py() == rows.column("high")[0].as_py()
+        for i in range(len(n)):
+            j = np.arange(i + 1, len(n))
             j = j[(component[j] != component[i]) & (one_block | (block[j] != block[i]))]
             j = j[np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * s.percent]
             j = j[(signature[j] == signature[i]).sum(axis=1) >= s.least_equal]
-            for k in j.tolist():
-                yield min(node[i], node[k]), max(node[i], node[k])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        found: set[tuple[int, int]] = set()
-
-        def flush() -> pa.RecordBatch:
-            both = list(zip(*found, strict=True)) or [[], []]
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(map(int, x)), pa.int64()) for x in both], ["a", "b"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held and any(row[g] != held[0][g] for g in group):
-                    found.update(compare(held))
-                    held = []
-                held.append(row)
-            if len(found) > 100_000:
-                yield flush()
-        if held:
-            found.update(compare(held))
-        yield flush()
-
-    return dealt.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long").where("a < b").distinct()
+            if len(j):
+                yield i, j
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            some = np.zeros(len(rows), bool)
+            for i, j in partners(rows):
+                some[i] = some[j] = True
+            if some.any():
+                yield from rows.filter(pa.array(some)).combine_chunks().to_batches()
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            node, component = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+            sets = minhash.shingle_hashes([minhash.words(t or b"") for t in rows.column("text").to_pylist()], s.size)
+            joined: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            found: list[tuple[int, int]] = []
+            for i, j in partners(rows):
+                j = j[[root(component[k]) != root(component[i]) for k in j]]
+                if not len(j):
+                    continue
+                sizes = np.array([len(sets[k]) for k in j])
+                others = np.concatenate([sets[k] for k in j])
+                at = np.minimum(np.searchsorted(sets[i], others), len(sets[i]) - 1)
+                common = np.add.reduceat((sets[i][at] == others).astype(np.int64), np.cumsum(sizes) - sizes)
+                for k in j[100 * common >= s.percent * (sizes + len(sets[i]) - common)].tolist():
+                    x, y = root(component[i]), root(component[k])
+                    if x != y:
+                        joined[max(x, y)] = min(x, y)
+                        found.append((min(node[i], node[k]), max(node[i], node[k])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([int(p[x]) for p in found], pa.int64()) for x in (0, 1)], ["a", "b"])
+
+    together = dealt.repartition(parts, *GROUP).sortWithinPartitions(*GROUP).mapInArrow(candidates, MEMBER)
+    with_text = stage(together, "candidates").join(texts, "node")
+    grouped = with_text.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
+    return grouped.mapInArrow(links, "a long, b long").where("a < b").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group, from rows in order of their group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in GROUP], 1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            key = keys[a].tolist()
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -214,5 +258,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 def deduplicated(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The rows of `docs`, all columns as they are, that `near_dedup` keeps: one id of each component.
     Rows without an id stay."""
-    gone = near_dedup(docs, settings).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone = near_dedup(docs, settings).where("NOT kept").select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("row.*")
