@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.functions.expressions import flag
 from dayledger.operators.records import newest_partition
 from dayledger.operators.sizing import BROADCAST_LIMIT, fits
 from dayledger.operators.skew import (
@@ -19,7 +18,7 @@ from dayledger.operators.skew import (
     has_null,
     hot_keys,
     hot_keys_each,
-    is_hot,
+    slot_count,
     spread_join,
 )
 
@@ -82,7 +81,9 @@ def lookup(
     names: Mapping[str, str],
     max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Join one dimension once per role: `names` maps each foreign key to its name column."""
+    """Join one dimension once per role: `names` maps each foreign key to its name column. The names
+    come after the columns of `df`, whichever way the dimension is joined."""
+    cols = [*df.columns, *names.values()]
     small = fits(dim.select(key, value), max_bytes)
     for fk, name in names.items():
         role = dim.select(F.col(key).alias(fk), F.col(value).alias(name))
@@ -90,7 +91,7 @@ def lookup(
             df = df.join(F.broadcast(role), fk, "left")
         else:
             df = spread_join(df, role, [fk], "left", spread_nulls=True)
-    return df
+    return df.select(*[f"`{c}`" for c in cols])
 
 
 def fallback_join(
@@ -128,8 +129,8 @@ def fallback_join(
     slots = ["_base_slot"] if hot or spread_nulls else []
     if slots:
         ways = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = flag(is_hot(keys, hot))
-        out = deal(out, *slots, dealt | has_null(keys) if spread_nulls else dealt, ways)
+        over = slot_count(keys, hot, ways)
+        out = deal(out, *slots, F.when(has_null(keys), ways).otherwise(over) if spread_nulls else over)
     matches = []
     for rank, source in enumerate(sources, start=1):
         if latest_only:
@@ -142,7 +143,7 @@ def fallback_join(
     hot_matches = hot_keys_each([(match, keys) for match in matches])
     for rank, (match, hot_match) in enumerate(zip(matches, hot_matches), start=1):
         if hot:
-            match = copy(match, *slots, flag(is_hot(keys, hot)), ways)
+            match = copy(match, *slots, slot_count(keys, hot, ways))
         elif slots:
             match = match.withColumn(*slots, first_slot(keys))
         unmatched = F.col("_level").isNull() if rank > 1 else None

@@ -25,7 +25,7 @@ def merge_increment(
     measured to fit, they are broadcast and the snapshot is neither shuffled nor sorted.
     """
     latest = latest_per_key(increment, keys, order, tiebreak)
-    changed = latest.select(*keys)
+    changed = increment.select(*keys).distinct()  # the same keys, without a second window
     if fits(increment.select(*keys), max_bytes):
         changed = F.broadcast(changed)
     untouched = snapshot.join(changed, list(keys), "left_anti")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.functions.expressions import flag
-from dayledger.operators.skew import hot_keys, is_hot, spread_join
+from dayledger.operators.skew import has_null, hot_keys, is_hot, spread_join
 from dayledger.rundate import RunDate
 
 
@@ -27,8 +29,8 @@ def first_per_key(
     each task's rows to one per key before the shuffle, so a hot key costs nothing.
 
     With `ties` all rows equal to the first stay, and those of one key would meet in one task. So
-    the `hot` keys, looked for unless given, take another way: their first values, one per key,
-    are broadcast and compared where the rows are read.
+    the `hot` keys, looked for unless given, and keys with a NULL part take another way: the first
+    values, one per hot key and one per key with a NULL, are joined to the rows.
     """
     if not ties and not tiebreak:
         raise ValueError("a single first row needs a tiebreak")
@@ -37,14 +39,18 @@ def first_per_key(
     if not ties:
         return _only(df, F.row_number().over(window))
     hot = hot_keys(df, keys) if hot is None else hot
-    if not hot:
-        return _only(df, F.rank().over(window))
-    held = flag(is_hot(keys, hot))
+    # a NULL key is never looked for and may be many rows: it is held apart too
+    held = flag(is_hot(keys, hot)) | has_null(keys)
     value = F.struct(*order)
-    hot_rows = df.where(held)
-    firsts = hot_rows.groupBy(*keys).agg(F.min(value).alias("_first"))  # a row per hot key
-    hot_first = hot_rows.join(F.broadcast(firsts), list(keys)).where(value == F.col("_first"))
-    return _only(df.where(~held), F.rank().over(window)).unionByName(hot_first.drop("_first"))
+    held_rows = df.where(held)
+    firsts = held_rows.groupBy(*keys).agg(F.min(value).alias("_first"))
+    firsts = firsts.withColumnsRenamed({k: f"_held_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    if len(keys) == 1:  # a row per hot key, and one for NULL
+        firsts = F.broadcast(firsts)
+    held_first = held_rows.join(firsts, same & value.eqNullSafe(F.col("_first")))
+    held_first = held_first.drop("_first", *[f"_held_{k}" for k in keys])
+    return _only(df.where(~held), F.rank().over(window)).unionByName(held_first)
 
 
 def latest_per_key(

@@ -24,6 +24,18 @@ HOT_ROWS = 100_000
 MERGE_GROUPS = 1024
 
 
+class HotKey(tuple):
+    """The values of a hot key, and the share of its relation's keyed rows that it holds."""
+
+    share: float = 1.0
+
+    @classmethod
+    def of(cls, values: Sequence[Any], share: float) -> HotKey:
+        key = cls(values)
+        key.share = share
+        return key
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> list[tuple]:
@@ -73,8 +85,8 @@ def hot_keys_each(
             df, keys = relations[row["i"]]
             counts = df.select(*keys).dropna().where(F.xxhash64(*keys).isin(likely)).groupBy(
                 *keys).agg(F.count(F.lit(1)).alias("_n"))
-            found = counts.where(F.col("_n") >= least).drop("_n").collect()
-            hot[row["i"]] = sorted(tuple(r) for r in found)
+            found = counts.where(F.col("_n") >= least).collect()
+            hot[row["i"]] = sorted(HotKey.of(r[:-1], r[-1] / row["n"]) for r in found)
     return hot
 
 
@@ -93,13 +105,14 @@ def spread_join(
     """Equi-join on shared column names (`inner`, `left`, `left_semi`, `left_anti`).
 
     `when`, a condition on the left row, says whether the row may match at all. Rows of a hot key
-    are dealt over `ways` slots on their side and the other side's rows of that key are copied to
-    every slot. `spread_nulls` deals out the left rows with a NULL key as well, which a left or
-    anti join keeps. The hot keys must come from `hot_keys` on the same side: a left join drops
-    the unmatched copies of a left row because a hot right key is known to have a match.
-
-    Copies are few beside the result: a row that is copied `ways` times (the session's shuffle
-    partitions, unless given) meets every row of the hot key, of which there are many more.
+    are dealt over slots on their side and the other side's rows of that key are copied to every
+    slot. `spread_nulls` deals out the left rows with a NULL key as well, which a left or anti join
+    keeps. A key that was hot when it was looked for and is gone when the plan runs does no harm: a
+    left row is copied only if the plan itself finds its key on the right.
+
+    A key has slots by its share of the rows, at most `ways` (the session's shuffle partitions,
+    unless given). So copies are few beside the result: a copied row meets every row of the hot
+    key, of which there are many more.
     """
     keys = list(on)
     if how in ("left_semi", "left_anti"):
@@ -108,23 +121,28 @@ def spread_join(
     names = {k: f"_right_{k}" for k in keys}
     may_match = F.lit(True) if when is None else flag(when)
 
-    deal_left = [flag(is_hot(keys, hot_left))] if hot_left else []
-    if spread_nulls and how in ("left", "left_anti"):
-        deal_left.append(has_null(keys))
-    copied = may_match & flag(is_hot(keys, hot_right)) if hot_right else F.lit(False)
-
     slots = []
-    if deal_left:
+    nulls = spread_nulls and how in ("left", "left_anti")
+    if hot_left or nulls:
         slots.append("_left_slot")
-        left = deal(left, "_left_slot", reduce(or_, deal_left), ways)
+        over = slot_count(keys, hot_left, ways)
+        left = deal(left, "_left_slot", F.when(has_null(keys), ways).otherwise(over) if nulls else over)
         if hot_left:
-            right = copy(right, "_left_slot", flag(is_hot(keys, hot_left)), ways)
+            right = copy(right, "_left_slot", slot_count(keys, hot_left, ways))
         else:
             right = right.withColumn("_left_slot", first_slot(keys))
     if hot_right:
         slots.append("_right_slot")
-        right = deal(right, "_right_slot", flag(is_hot(keys, hot_right)), ways)
-        left = copy(left, "_right_slot", copied, ways)
+        over = slot_count(keys, hot_right, ways)
+        if how == "left":  # at most as many rows as there are hot keys
+            held = keys[: len(hot_right[0])]
+            there = right.where(is_hot(held, hot_right)).select(*held).distinct()
+            there = F.broadcast(there.withColumnsRenamed(names).withColumn("_there", F.lit(True)))
+            left = left.join(there, reduce(and_, [F.col(k) == F.col(names[k]) for k in held]), "left")
+            left = left.drop(*[names[k] for k in held])
+            may_match = may_match & F.col("_there").isNotNull()
+        right = deal(right, "_right_slot", over)
+        left = copy(left, "_right_slot", F.when(may_match, over).otherwise(1))
     names |= {s: f"_right{s}" for s in slots}
 
     right = right.withColumnsRenamed(names)
@@ -132,36 +150,49 @@ def spread_join(
         right = right.withColumn("_hit", F.lit(True))
     cond = reduce(and_, [F.col(a) == F.col(b) for a, b in names.items()])
     out = left.join(right, cond if when is None else cond & when, how)
-    if hot_right and how == "left":
-        out = out.where(~copied | F.col("_hit").isNotNull()).drop("_hit")
+    if hot_right and how == "left":  # of the copies, those that met rows of their slot
+        copied = may_match & (over > 1)
+        out = out.where(~copied | F.col("_hit").isNotNull()).drop("_hit", "_there")
     return out.drop(*slots, *names.values())
 
 
 def is_hot(keys: Sequence[str], hot: Sequence[tuple[Any, ...]]) -> Column:
-    """Whether the first keys have the values of a hot key."""
+    """Whether the first keys have the values of a hot key: one set lookup, however many there are."""
     if not hot:
         return F.lit(False)
     if len(hot[0]) == 1:
         return F.col(keys[0]).isin([value for (value,) in hot])
-    return reduce(or_, [
-        reduce(and_, [F.col(k) == F.lit(v) for k, v in zip(keys, values)]) for values in hot
-    ])
+    some = list(keys)[: len(hot[0])]
+    listed = [F.struct(*[F.lit(v).alias(k) for k, v in zip(some, values)]) for values in hot]
+    return F.struct(*[F.col(k).alias(k) for k in some]).isin(listed)
+
+
+def slot_count(keys: Sequence[str], hot: Sequence[tuple[Any, ...]], ways: int) -> Column:
+    """Over how many slots the rows of a key are dealt: 1 for a key that is not hot, else twice its
+    share of `ways` and at least 2, as a power of two; `ways` where the share is not known."""
+    groups: dict[int, list] = {}
+    for key in hot:
+        wanted = max(2, ceil(2 * getattr(key, "share", 1.0) * ways))
+        groups.setdefault(max(1, min(ways, 1 << (wanted - 1).bit_length())), []).append(key)
+    count = F.lit(1)
+    for n, members in groups.items():
+        count = F.when(flag(is_hot(keys, members)), n).otherwise(count)
+    return count
 
 
 def has_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def deal(df: DataFrame, slot: str, cond: Column, ways: int) -> DataFrame:
-    """Give rows that meet `cond` a slot from 0 to ways - 1, the others slot 0.
+def deal(df: DataFrame, slot: str, over: Column) -> DataFrame:
+    """Give each row a slot from 0 to `over` - 1.
 
     The slot follows from the row and its partition, not from row order or a random number, so a
     task that is run again after a lost executor puts every row where it was. The partition number
     parts copies of one row.
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
-    dealt = F.pmod(row, F.lit(ways)).cast("int")
-    return df.withColumn(slot, F.when(cond, dealt).otherwise(F.lit(0)))
+    return df.withColumn(slot, F.pmod(row, over.cast("bigint")).cast("int"))
 
 
 def first_slot(keys: Sequence[str]) -> Column:
@@ -169,7 +200,6 @@ def first_slot(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
 
 
-def copy(df: DataFrame, slot: str, cond: Column, ways: int) -> DataFrame:
-    """Copy rows that meet `cond` to every slot; the others stay in slot 0."""
-    every = F.sequence(F.lit(0), F.lit(ways - 1))
-    return df.withColumn(slot, F.explode(F.when(cond, every).otherwise(F.array(F.lit(0)))))
+def copy(df: DataFrame, slot: str, over: Column) -> DataFrame:
+    """Copy each row to the slots 0 to `over` - 1."""
+    return df.withColumn(slot, F.explode(F.sequence(F.lit(0), over.cast("int") - 1)))

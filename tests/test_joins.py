@@ -174,3 +174,35 @@ def test_fallback_spreads_its_base_once(spark, shuffled):
     assert got(out.groupBy("v").count()) == [(None, 450), ("one", 50), ("two", 500)]
     assert tasks(out.where("k = 7")) > 1 and tasks(out.where("k IS NULL")) > 1
     assert plan(out).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 3
+
+
+def test_a_hot_key_that_is_gone_loses_no_row(frame):
+    left = frame("k int, a string", (1, "x"), (2, "y"), (None, "z"))
+    right = frame("k int, b string", (2, "p"), (2, "q"))
+    out = spread_join(left, right, ["k"], "left", hot_right=[(1,), (2,)], ways=5)
+    assert got(out, "k", "a", "b") == [(None, "z", None), (1, "x", None), (2, "y", "p"), (2, "y", "q")]
+
+
+def test_a_thousand_composite_hot_keys(frame):
+    left = frame("k int, l string, a int", *[(i, f"s{i}", i) for i in range(0, 1200, 100)])
+    right = frame("k int, l string, b int", *[(i, f"s{i}", -i) for i in range(0, 1200, 200)])
+    hot = [(i, f"s{i}") for i in range(1000)]
+    plain = got(left.join(right, ["k", "l"], "left"), "k", "l", "a", "b")
+    assert got(spread_join(left, right, ["k", "l"], "left", hot_left=hot, hot_right=hot, ways=3), "k", "l", "a", "b") == plain
+
+
+def test_slots_follow_a_keys_share(spark):
+    from dayledger.operators.skew import HotKey, slot_count
+
+    hot = [HotKey.of((1,), 0.3), HotKey.of((2,), 0.001), (3,)]
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "k int")
+    slots = {r["k"]: r["n"] for r in df.select("k", slot_count(["k"], hot, 200).alias("n")).collect()}
+    assert slots == {1: 128, 2: 2, 3: 200, 4: 1, None: 1}
+
+
+def test_names_come_last_whichever_way_they_are_joined(frame):
+    df = frame("id int, a int, b int", (1, 7, 8), (2, None, 9))
+    dim = frame("k int, v string", (7, "seven"), (9, "nine"))
+    outs = [lookup(df, dim, "k", "v", {"a": "an", "b": "bn"}, max_bytes=n) for n in (0, 10**6)]
+    assert outs[0].columns == outs[1].columns == ["id", "a", "b", "an", "bn"]
+    assert got(outs[0]) == got(outs[1]) == [(1, 7, 8, "seven", None), (2, None, 9, None, "nine")]
