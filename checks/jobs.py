@@ -93,3 +93,61 @@ def job_relation_tags(t: Tables):
 @query(roles.RELATION_TAGS_LITERAL_SQL + "SELECT * FROM relation_tags")
 def job_relation_tags_literal(t: Tables):
     return plans.relation_tags(roles.relation_tags(t), RUN, dedup=False)
+
+
+# The same jobs as they run where nothing fits a broadcast, and where history is cut by a staged core.
+
+
+@query(roles.APPLY_COUNT_SQL + "SELECT * FROM apply_count")
+def job_monthly_apply_count_shuffled(t: Tables):
+    return plans.monthly_apply_count(roles.apply_count(t), RUN, max_bytes=0)
+
+
+@query(roles.APPLY_COUNT_DAILY_SQL + "SELECT * FROM apply_count")
+def job_daily_apply_count_shuffled(t: Tables):
+    return plans.daily_apply_count(roles.apply_count(t, daily=True), RUN, max_bytes=0)
+
+
+@query(roles.APPLY_DETAIL_SQL + "SELECT * FROM account_apply_detail")
+def job_account_apply_detail_shuffled(t: Tables):
+    return plans.account_apply_detail(roles.apply_detail(t), RUN, max_bytes=0)
+
+
+@query(roles.APPLY_DETAIL_SQL + "SELECT * FROM account_apply_detail")
+def job_account_apply_detail_plain_shuffled(t: Tables):
+    return plans.account_apply_detail_plain(roles.apply_detail(t), RUN, max_bytes=0)
+
+
+@query(roles.RENDER_SQL + "SELECT * FROM render_flags")
+def job_render_flags_shuffled(t: Tables):
+    return plans.render_flags(roles.renders(t), RUN, max_bytes=0)
+
+
+@query(roles.REWARD_SQL + "SELECT * FROM reward_merge")
+def job_merge_increment_shuffled(t: Tables):
+    return plans.reward_merge(roles.rewards(t), RUN, max_bytes=0)
+
+
+@query(roles.RELATION_TAGS_SQL + "SELECT * FROM relation_tags")
+def job_relation_tags_shuffled(t: Tables):
+    return plans.relation_tags(roles.relation_tags(t), RUN, max_bytes=0)
+
+
+@query(roles.ORDER_MATERIAL_SQL + "SELECT * FROM order_material_detail")
+def job_order_material_detail_shuffled(t: Tables):
+    return plans.order_material_detail(roles.order_material(t), RUN, max_bytes=0)
+
+
+@query(roles.ORDER_MATERIAL_SQL + "SELECT * FROM order_material_onepass")
+def job_order_material_onepass_shuffled(t: Tables):
+    return plans.order_material_onepass(roles.order_material(t), RUN, max_bytes=0)
+
+
+@query(roles.ORDER_MATERIAL_SQL + "SELECT * FROM order_material_fallback")
+def job_order_material_fallback_shuffled(t: Tables):
+    return plans.order_material_fallback(roles.order_material(t), RUN, max_bytes=0)
+
+
+@query(roles.ORDER_MATERIAL_SQL + "SELECT * FROM order_material_three_level")
+def job_order_material_three_level_shuffled(t: Tables):
+    return plans.order_material_three_level(roles.order_material(t), RUN, max_bytes=0)

@@ -30,7 +30,7 @@ from dayledger.operators import hot_keys
 from dayledger.operators import latest_per_key as latest_rows
 from dayledger.operators import merge_increment as merge
 from dayledger.operators import snapshot_diff as diff
-from dayledger.sources import month_to_date, snapshot, trailing_days
+from dayledger.sources import snapshot, trailing_days
 
 # Joins
 
@@ -262,6 +262,16 @@ def join_salted_left(t: Tables):
                        ways=4, min_rows=60)
 
 
+@query("""SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, r.l_extendedprice AS price
+          FROM lineitem l JOIN lineitem r ON l.l_partkey = r.l_partkey AND l.l_suppkey = r.l_suppkey""")
+def join_salted_composite(t: Tables):
+    """Keys of two columns; the bar of two rows makes hundreds of them hot on both sides."""
+    key = ["l_partkey", "l_suppkey"]
+    left = t.lineitem.select("l_orderkey", "l_linenumber", *key)
+    right = t.lineitem.select(*key, F.col("l_extendedprice").alias("price"))
+    return salted_join(left, right, key, ways=4, share=0.001, min_rows=2)
+
+
 # Aggregates
 
 
@@ -320,6 +330,14 @@ def first_per_key_ties_hot(t: Tables):
                       hot=hot_keys(events, ["user_id"], min_rows=60))
 
 
+@query("""SELECT nullif(user_id % 5, 0) AS kind, event_type, event_id FROM events
+          QUALIFY rank() OVER (PARTITION BY nullif(user_id % 5, 0) ORDER BY event_type NULLS FIRST) = 1""")
+def first_per_key_ties_null(t: Tables):
+    """A fifth of the rows has no key; they are held apart from the window."""
+    kind = F.expr("nullif(user_id % 5, 0)").alias("kind")
+    return first_rows(t.events.select(kind, "event_type", "event_id"), ["kind"], ["event_type"], ties=True, hot=[])
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
           QUALIFY row_number() OVER (PARTITION BY l_orderkey
                                      ORDER BY l_linenumber NULLS FIRST, l_partkey NULLS FIRST) = 1""")
@@ -350,12 +368,12 @@ def sort_partitions(t: Tables):
 
 
 @query("""SELECT l_orderkey, l_partkey, 'returned' AS origin FROM lineitem WHERE l_returnflag = 'R'
-          UNION ALL SELECT l_orderkey, l_partkey, 'accepted' FROM lineitem WHERE l_returnflag = 'A'""")
+          UNION ALL SELECT l_orderkey, l_partkey, 'other' FROM lineitem WHERE l_returnflag <> 'R'""")
 def set_union_all(t: Tables):
+    returned = eq("l_returnflag", "R")
     parts = [
-        t.lineitem.where(eq("l_returnflag", code)).select(
-            "l_orderkey", "l_partkey", F.lit(name).alias("origin"))
-        for code, name in [("R", "returned"), ("A", "accepted")]
+        t.lineitem.where(cond).select("l_orderkey", "l_partkey", F.lit(name).alias("origin"))
+        for cond, name in [(returned, "returned"), (~returned, "other")]
     ]
     return parts[0].unionByName(parts[1])
 
@@ -413,9 +431,9 @@ def audit_skew(t: Tables):
     return heaviest_keys(t.lineitem, "l_orderkey", 10)
 
 
-@query(f"""WITH {DAILY} SELECT ds, count(*) AS cnt FROM daily WHERE ds LIKE '199806%' GROUP BY ds""")
+@query(f"WITH {DAILY} SELECT ds, count(*) AS cnt FROM daily GROUP BY ds")
 def audit_partition_counts(t: Tables):
-    return audit_partitions(month_to_date(t.daily, RUN))
+    return audit_partitions(t.daily)
 
 
 @query("""SELECT l_orderkey, l_partkey, l_returnflag, count(*) AS cnt FROM lineitem

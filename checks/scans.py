@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import DAILY, RUN, Tables, query
 from dayledger.sources import (
+    Catalog,
     constant_row,
     first_non_empty,
     increment,
@@ -56,3 +57,12 @@ def constant_dimension(t: Tables):
 def source_fallback(t: Tables):
     preferred = snapshot(t.daily.where(F.col("l_quantity") < 0), RUN.ds)
     return first_non_empty(preferred, month_to_date(t.daily, RUN)).select(COLS)
+
+
+@query("""SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def scan_by_name(t: Tables):
+    """One role by its path, one by a table's name."""
+    t.nation.createOrReplaceTempView("named_nation")
+    catalog = Catalog(t.spark, {"customer": f"{t.sf_dir}/customer.parquet", "nation": "named_nation"}, "parquet")
+    joined = catalog.table("customer").join(catalog.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("n_name").agg(F.count("*").alias("customers"))

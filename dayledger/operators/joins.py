@@ -131,16 +131,17 @@ def fallback_join(
         ways = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         over = slot_count(keys, hot, ways)
         out = deal(out, *slots, F.when(has_null(keys), ways).otherwise(over) if spread_nulls else over)
+    # hot keys are looked for in the sources as they are read, not behind the cuts
+    hot_matches = hot_keys_each([(source, keys) for source in sources])
     matches = []
     for rank, source in enumerate(sources, start=1):
+        if wanted is not None:  # by key, so the newest day of a key is the same after it
+            source = source.join(wanted, keys, "left_semi")
         if latest_only:
             source = newest_partition(source, keys)
-        if wanted is not None:
-            source = source.join(wanted, keys, "left_semi")
         matches.append(source.select(
             *keys, *[F.col(c).alias(n) for c, n in new.items()], F.lit(rank).alias("_rank")
         ).dropna(subset=keys))
-    hot_matches = hot_keys_each([(match, keys) for match in matches])
     for rank, (match, hot_match) in enumerate(zip(matches, hot_matches), start=1):
         if hot:
             match = copy(match, *slots, slot_count(keys, hot, ways))

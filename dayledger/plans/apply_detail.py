@@ -42,15 +42,24 @@ def account_apply_detail(
     designs = _designs(catalog, run, accounts)
     material_ids, design_ids = materials.select("brandgood_id"), designs.select("design_id")
     relation = _relation(catalog, run)
-    if fits(material_ids, max_bytes) and fits(design_ids, max_bytes):
-        design_ids = F.broadcast(design_ids)
-        cut = relation.join(F.broadcast(material_ids), "brandgood_id", "left_semi").join(
-            design_ids, "design_id", "left_semi")
-        kept = dedup(cut).join(design_ids, "design_id")
-    else:  # the joins by design follow each other, so hot keys are spread by hand
+    # each side cuts the relations by itself: where they are read if its ids fit, else by a shuffle
+    small_materials, small_designs = fits(material_ids, max_bytes), fits(design_ids, max_bytes)
+    hot_materials, hot_designs = [], []
+    if not (small_materials and small_designs):
+        # the joins by design follow each other, so hot keys are spread by hand
         hot_materials, hot_designs = hot_keys_each([
             (relation, ["brandgood_id"]), (relation, ["design_id"])])
-        cut = spread_join(relation, material_ids, ["brandgood_id"], "left_semi", hot_left=hot_materials)
+    cut = relation
+    if small_materials:
+        cut = cut.join(F.broadcast(material_ids), "brandgood_id", "left_semi")
+    if small_designs:
+        design_ids = F.broadcast(design_ids)
+        cut = cut.join(design_ids, "design_id", "left_semi")
+    if not small_materials:
+        cut = spread_join(cut, material_ids, ["brandgood_id"], "left_semi", hot_left=hot_materials)
+    if small_designs:
+        kept = dedup(cut).join(design_ids, "design_id")
+    else:
         cut = spread_join(cut, design_ids, ["design_id"], "left_semi", hot_left=hot_designs)
         kept = spread_join(dedup(cut), design_ids, ["design_id"], hot_left=hot_designs)
     return _detail(catalog, run, kept, materials, designs, max_bytes)
@@ -63,9 +72,12 @@ def account_apply_detail_plain(
     max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The same rows, given unique design ids, from all relations and materials: the design's
-    account alone decides. Shuffles every relation, so it is the variant to check the other by."""
-    return _detail(catalog, run, dedup(_relation(catalog, run)), _materials(catalog, run),
-                   _designs(catalog, run, accounts), max_bytes)
+    account alone decides. Relations of other designs give no row, so they are cut before copies are
+    removed."""
+    designs, relation = _designs(catalog, run, accounts), _relation(catalog, run)
+    ids = designs.select("design_id").distinct()
+    cut = relation.join(F.broadcast(ids) if fits(ids, max_bytes) else ids, "design_id", "left_semi")
+    return _detail(catalog, run, dedup(cut), _materials(catalog, run), designs, max_bytes)
 
 
 def _materials(catalog: Catalog, run: RunDate) -> DataFrame:

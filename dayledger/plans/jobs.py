@@ -16,7 +16,8 @@ from dayledger.plans.relation_tags import relation_tags
 from dayledger.plans.render_flags import render_flags
 from dayledger.plans.reward_merge import reward_merge
 from dayledger.rundate import RunDate
-from dayledger.sinks import TableSpec, append_partition, ensure_table, staged, write_partition
+from dayledger.settings import apply_settings, require_time_zone
+from dayledger.sinks import TableSpec, append_partition, drop_expired, ensure_table, staged, write_partition
 from dayledger.sources import Catalog
 
 
@@ -42,13 +43,14 @@ JOBS: dict[str, Job] = {
     "account_apply_detail_plain": Job(account_apply_detail_plain, schemas.APPLY_DETAIL, cluster_by=()),
     "render_flags": Job(render_flags, schemas.RENDER_FLAGS),
     "order_material_detail": Job(om.order_material_detail, schemas.ORDER_MATERIAL),
-    "order_material_onepass": _order_material(om.order_material_onepass),
-    "order_material_fallback": _order_material(om.order_material_fallback, {"prefilter": True}),
-    "order_material_three_level": _order_material(om.order_material_three_level, {"prefilter": True}),
+    "order_material_onepass": _order_material(om.order_material_onepass, {}),
+    "order_material_fallback": _order_material(om.order_material_fallback, {}),
+    "order_material_three_level": _order_material(om.order_material_three_level, {}),
     "order_material_defaults": _order_material(om.order_material_defaults),
     "order_material_nulls": _order_material(om.order_material_nulls),
     "order_material_detail_source": _order_material(om.order_material_detail_source),
     "order_material_staged": _order_material(om.order_material_staged, {}),
+    "order_material_staged_nulls": _order_material(om.order_material_staged, {"materials": False}),
     "reward_merge": Job(reward_merge, schemas.REWARD_LOG),
     "relation_tags": Job(relation_tags, schemas.RELATION_TAGS),
 }
@@ -61,9 +63,13 @@ def run_job(
     spec: TableSpec | None = None,
     path: str | None = None,
     append: bool = False,
+    expire: bool = False,
 ) -> None:
     """Build one day of a job and write it: to the table of `spec`, made if absent, or under
-    `path`. `append` adds to the day instead of replacing it."""
+    `path`. `append` adds to the day instead of replacing it; `expire` then drops the table's days
+    past its retention. The session gets the recommended settings, and must have a time zone."""
+    require_time_zone(catalog.spark)
+    apply_settings(catalog.spark)
     job = JOBS[name]
     spec = spec or job.spec
     if path is None:
@@ -74,3 +80,5 @@ def run_job(
     else:
         with staged(om.order_core(catalog, run), f"{name}-core") as core:
             write(job.build(catalog, run, core=core, **job.staged), spec, run.ds, path, job.cluster_by)
+    if expire and path is None:
+        drop_expired(catalog.spark, spec.name, run, spec.retention_days)

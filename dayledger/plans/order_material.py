@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from dayledger.functions import eq, fill_defaults, fill_missing, label, not_in_list
 from dayledger.operators import (
+    BROADCAST_LIMIT,
     dedup,
     fallback_join,
     first_per_key,
     fits,
     hot_keys_each,
-    semi,
     spread_join,
 )
 from dayledger.plans.schemas import ORDER_MATERIAL
 from dayledger.rundate import RunDate
+from dayledger.sinks.staging import stage
 from dayledger.sources import Catalog, constant_row, snapshot, trailing_days
 
 # Review labels, order filter, audit item, fallback constants.
@@ -77,45 +78,45 @@ def order_core(
 
 
 def order_material_detail(
-    catalog: Catalog, run: RunDate, core: DataFrame | None = None
+    catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """Tied first submissions, distinct core rows, all materials of the day."""
-    core = order_core(catalog, run, ties=True, distinct=True) if core is None else core
-    return _with_materials(core, _relation(catalog, run), _names(catalog, run))
+    core = stage(order_core(catalog, run, ties=True, distinct=True), "core") if core is None else core
+    return _with_materials(core, _relation(catalog, run), _names(catalog, run), max_bytes)
 
 
-def order_material_onepass(catalog: Catalog, run: RunDate) -> DataFrame:
+def order_material_onepass(
+    catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
+) -> DataFrame:
     """One first submission per design, core rows as they come, materials with both keys set."""
-    return _with_materials(
-        order_core(catalog, run), _relation(catalog, run).dropna(subset=["design_id", "brandgood_id"]),
-        _names(catalog, run))
+    core = stage(order_core(catalog, run), "core") if core is None else core
+    return _with_materials(core, _keyed(_relation(catalog, run)), _names(catalog, run), max_bytes)
 
 
 def order_material_fallback(
     catalog: Catalog,
     run: RunDate,
     core: DataFrame | None = None,
-    prefilter: bool = False,
     latest_only: bool = False,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Materials and names of the day, else of the seven days before.
 
-    History may hold a key on several days, and each gives a row unless `latest_only`. For a large
-    history pass a staged `core` and `prefilter`: its design ids, measured and broadcast, cut the
-    history where it is read.
+    History may hold a key on several days, and each gives a row unless `latest_only`. The core is
+    staged unless a staged one is given.
     """
-    core = order_core(catalog, run) if core is None else core
+    core = stage(order_core(catalog, run), "core") if core is None else core
     sources = [_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS)]
     names = [_names(catalog, run, days) for days in (0, HISTORY_DAYS)]
-    return _fallback(core, sources, names, latest_only=latest_only, prefilter=prefilter)
+    return _fallback(core, sources, names, latest_only=latest_only, max_bytes=max_bytes)
 
 
 def order_material_three_level(
-    catalog: Catalog, run: RunDate, core: DataFrame | None = None, prefilter: bool = False
+    catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """Materials of the day, else of the seven days before, else of the designs' own detail table;
     names likewise, and at last a constant for material 0. The count is the day's own or 1."""
-    core = order_core(catalog, run) if core is None else core
+    core = stage(order_core(catalog, run), "core") if core is None else core
     today, history = (_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS))
     no_count = F.lit(None).cast("bigint")
     sources = [
@@ -127,7 +128,7 @@ def order_material_three_level(
         *[_names(catalog, run, days) for days in (0, HISTORY_DAYS)],
         constant_row(catalog.spark, **UNKNOWN_MATERIAL),
     ]
-    out = _fallback(core, sources, names, prefilter=prefilter)
+    out = _fallback(core, sources, names, max_bytes=max_bytes)
     return out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
 
 
@@ -144,24 +145,18 @@ def order_material_nulls(catalog: Catalog, run: RunDate) -> DataFrame:
 def order_material_detail_source(catalog: Catalog, run: RunDate) -> DataFrame:
     """Materials from the designs' own detail table, each counted once."""
     detail = _design_detail(catalog, run).where(F.col("brandgood_id").isNotNull())
-    out = _with_materials(order_core(catalog, run), detail, _names(catalog, run))
+    core = stage(order_core(catalog, run), "core")
+    out = _with_materials(core, detail, _names(catalog, run))
     return fill_defaults(out, {CNT: 1}, ORDER_MATERIAL.schema).select(*OUTPUT)
 
 
 def order_material_staged(
     catalog: Catalog, run: RunDate, core: DataFrame, materials: bool = True
 ) -> DataFrame:
-    """From a core that was staged: the day's materials of its designs, or NULLs without them.
-
-    The staged core is read for its ids first. If they are measured to fit they are broadcast, so
-    the day's relations are cut where they are read and only the core's own are shuffled.
-    """
+    """From a core that was staged: the day's materials of its designs, or NULLs without them."""
     if not materials:
         return fill_missing(core, ORDER_MATERIAL.schema)
-    relation = _relation(catalog, run)
-    ids = core.select("design_id").dropna().distinct()
-    relation = semi(relation, F.broadcast(ids) if fits(ids) else ids, ["design_id"])
-    return _with_materials(core, relation, _names(catalog, run))
+    return _with_materials(core, _relation(catalog, run), _names(catalog, run))
 
 
 def _relation(catalog: Catalog, run: RunDate, history: int = 0) -> DataFrame:
@@ -187,14 +182,26 @@ def _keyed(relation: DataFrame) -> DataFrame:
     return relation.dropna(subset=["design_id", "brandgood_id"])
 
 
-def _with_materials(core: DataFrame, relation: DataFrame, names: DataFrame) -> DataFrame:
-    """Add materials and their names. A design without a material has a NULL key for the name, a
-    popular material many rows, and both may be many: they are spread."""
+def _cut(relation: DataFrame, staged: DataFrame, key: str, max_bytes: int) -> DataFrame:
+    """The relation's rows whose key a staged result has. Keys that are measured to fit are broadcast,
+    so that only those rows are shuffled later; else the relation meets the keys alone, its rows
+    narrow and cut before they meet anything wider."""
+    ids = staged.select(key).dropna().distinct()
+    return relation.join(F.broadcast(ids) if fits(ids, max_bytes) else ids, key, "left_semi")
+
+
+def _with_materials(
+    core: DataFrame, relation: DataFrame, names: DataFrame, max_bytes: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """Add materials and their names to a staged core. The relations are cut to its designs, and the
+    names to the materials found, before they are shuffled. A design without a material has a NULL
+    key for the name, a popular material many rows, and both may be many: they are spread."""
     hot_designs, hot_materials, hot_names = hot_keys_each([
         (relation, ["design_id"]), (relation, ["brandgood_id"]), (names, ["brandgood_id"])])
-    out = spread_join(core, relation.drop("ds"), ["design_id"], "left", hot_right=hot_designs)
-    named = spread_join(out, names.drop("ds"), ["brandgood_id"], "left", hot_left=hot_materials,
-                        hot_right=hot_names, spread_nulls=True)
+    cut = _cut(relation.drop("ds"), core, "design_id", max_bytes)
+    out = stage(spread_join(core, cut, ["design_id"], "left", hot_right=hot_designs), "materials")
+    named = spread_join(out, _cut(names.drop("ds"), out, "brandgood_id", max_bytes), ["brandgood_id"],
+                        "left", hot_left=hot_materials, hot_right=hot_names, spread_nulls=True)
     return named.select(*[c for c in OUTPUT if c in named.columns])
 
 
@@ -203,13 +210,14 @@ def _fallback(
     relations: Sequence[DataFrame],
     names: Sequence[DataFrame],
     latest_only: bool = False,
-    prefilter: bool = False,
+    max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Materials from the first relation that has any, names likewise."""
-    out = fallback_join(core, relations, ["design_id"], MATERIAL,
-                        latest_only=latest_only, prefilter=prefilter)
+    """Materials from the first relation that has any, names likewise; each source is cut to the keys
+    that are asked of it."""
     hot = hot_keys_each([(relation, ["brandgood_id"]) for relation in relations])
+    out = stage(fallback_join(core, relations, ["design_id"], MATERIAL, latest_only=latest_only,
+                              prefilter=True, max_bytes=max_bytes), "materials")
     return fallback_join(
-        out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only,
-        hot=sorted({key for keys in hot for key in keys}), spread_nulls=True,
+        out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, prefilter=True,
+        hot=sorted({key for keys in hot for key in keys}), spread_nulls=True, max_bytes=max_bytes,
     ).select(*OUTPUT)

@@ -18,9 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="dayledger-")
     return _local_dirs[app]
@@ -33,12 +34,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """`stage`, with the files removed at the end. Write or collect what reads them before that."""
+    """`stage`, with the rows removed at the end: an empty file takes the place of theirs. Write or
+    collect what reads them before that."""
     path = fresh_path(df.sparkSession, name)
     try:
         yield _write(df, path)
     finally:
-        _remove(df.sparkSession, path)
+        df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -48,8 +50,3 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

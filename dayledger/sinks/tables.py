@@ -40,7 +40,8 @@ def column(name: str, type_: T.DataType, comment: str = "") -> T.StructField:
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = None) -> None:
-    """Create the table if there is none."""
+    """Create the table if there is none. One that is there must have the columns of `spec`, of the
+    same types; their order does not matter, since rows are written by name."""
     cols = [
         f"`{f.name}` {f.dataType.simpleString()} COMMENT {_text(f.metadata.get('comment', ''))}"
         for f in spec.schema
@@ -52,6 +53,11 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = No
         f"PARTITIONED BY (ds) COMMENT {_text(spec.comment)}"
         + (f" LOCATION {_text(location)}" if location else "")
     )
+    there = {f.name: f.dataType for f in spark.table(spec.name).schema}
+    wanted = {f.name: f.dataType for f in _with_ds(spec.schema)}
+    if there != wanted:
+        odd = sorted(n for n in there.keys() | wanted.keys() if there.get(n) != wanted.get(n))
+        raise ValueError(f"table {spec.name} is of another shape; see columns {', '.join(odd)}")
 
 
 def write_partition(
@@ -68,7 +74,7 @@ def write_partition(
         _writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}")
     else:
         df.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {spec.name} PARTITION (ds = '{day}') SELECT * FROM {{rows}}",
+            f"INSERT OVERWRITE TABLE {spec.name} PARTITION (ds = '{day}') BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
 
@@ -82,7 +88,8 @@ def write_partitions(df: DataFrame, spec: TableSpec, path: str | None = None) ->
         writer.partitionBy("ds").save(path)
     else:
         with _dynamic_overwrite(df.sparkSession):
-            rows.write.insertInto(spec.name, overwrite=True)
+            there = df.sparkSession.table(spec.name).columns  # insertInto goes by position
+            rows.select(*[f"`{c}`" for c in there]).write.insertInto(spec.name, overwrite=True)
 
 
 def append_partition(
@@ -99,7 +106,7 @@ def append_partition(
         _writer(rows, spec).mode("append").save(f"{path}/ds={day}")
     else:
         df.sparkSession.sql(
-            f"INSERT INTO TABLE {spec.name} PARTITION (ds = '{day}') SELECT * FROM {{rows}}",
+            f"INSERT INTO TABLE {spec.name} PARTITION (ds = '{day}') BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
 

@@ -1,13 +1,14 @@
 """The jobs on handmade rows: ties, repeated keys, NULLs, empty sources."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import got, plan
 from dayledger import RunDate
-from dayledger.operators import BROADCAST_LIMIT
+from dayledger.operators import BROADCAST_LIMIT, merge_increment
 from dayledger.plans import (
     JOBS,
     account_apply_detail,
@@ -28,9 +29,10 @@ from dayledger.plans import (
     reward_merge,
     run_job,
 )
+from dayledger.plans import order_material as om
 from dayledger.plans.apply_detail import MATERIAL
 from dayledger.plans.schemas import APPLY_DETAIL, ORDER_MATERIAL, REWARD_LOG
-from dayledger.sinks import stage
+from dayledger.sinks import ensure_table, stage
 from dayledger.sinks.tables import read_path
 from dayledger.sources import Catalog
 
@@ -269,9 +271,9 @@ def test_order_material_onepass(order_tables):
     assert out.where("design_id = 1").count() == 6
 
 
-@pytest.mark.parametrize("prefilter", [False, True])
-def test_order_material_fallback(order_tables, prefilter):
-    out = order_material_fallback(order_tables, RUN, prefilter=prefilter)
+@pytest.mark.parametrize("max_bytes", [0, 10**6])
+def test_order_material_fallback(order_tables, max_bytes):
+    out = order_material_fallback(order_tables, RUN, max_bytes=max_bytes)
     assert out.columns == ORDER_MATERIAL.schema.names
     assert got(out.where("design_id > 1"), *ITEM) == [
         # two days of history, two names in history each
@@ -447,9 +449,42 @@ def test_run_job_into_a_table(apply_tables, spark):
     spark.sql("DROP TABLE monthly_made")
 
 
+def test_days_past_the_retention_go_if_wished(apply_tables, spark):
+    spec = replace(JOBS["monthly_apply_count"].spec.named("monthly_kept"), retention_days=30)
+    ensure_table(spark, spec)
+    old = "20200101"
+    spark.sql(f"INSERT INTO monthly_kept PARTITION (ds = '{old}') SELECT {', '.join(['NULL'] * len(spec.schema))}")
+    run_job("monthly_apply_count", apply_tables, RUN, spec=spec)
+    assert old in {r["ds"] for r in spark.table("monthly_kept").collect()}
+    run_job("monthly_apply_count", apply_tables, RUN, spec=spec, expire=True)
+    assert {r["ds"] for r in spark.table("monthly_kept").collect()} == {DS}
+    spark.sql("DROP TABLE monthly_kept")
+
+
 # Plans
 
 
+@pytest.mark.parametrize("max_bytes", [0, 10**6])
+def test_relations_and_names_are_cut_to_the_designs_and_materials(order_tables, max_bytes, monkeypatch):
+    """What is staged after the core is the core's own relations; the names meet the ids found."""
+    plans = []
+    monkeypatch.setattr(om, "stage", lambda df, name: plans.append(plan(df)) or df)
+    out = plan(om.order_material_detail(order_tables, RUN, max_bytes=max_bytes))
+    cut = plans[1].split("== Physical Plan ==")[1]
+    kind = "BroadcastHashJoin [design_id" if max_bytes else "SortMergeJoin [design_id"
+    assert any(kind in line and "LeftSemi" in line for line in cut.splitlines())
+    kind = kind.replace("design_id", "brandgood_id")
+    assert any(kind in line and "LeftSemi" in line for line in out.split("== Physical Plan ==")[1].splitlines())
+
+
+def test_the_increment_is_windowed_once(spark, frame):
+    snapshot = frame("id int, v string, t int", (1, "a", 1), (2, "b", 1))
+    increment = frame("id int, v string, t int", (2, "c", 2), (2, "d", 3), (3, "e", 1))
+    out = merge_increment(snapshot, increment, ["id"], ["t"], ["v"], max_bytes=0)
+    assert got(out) == [(1, "a", 1), (2, "d", 3), (3, "e", 1)]
+    assert plan(out).split("== Physical Plan ==")[1].count("row_number") <= 2  # the window and its cut per task
+
+
 def test_relations_of_listed_accounts_are_cut_before_they_are_shuffled(spark, frame):
     physical = plan(account_apply_detail(detail_tables(spark, frame), RUN)).split("== Physical Plan ==")[1]
     assert physical.count("BroadcastHashJoin [brandgood_id") + physical.count("BroadcastHashJoin [design_id") >= 2

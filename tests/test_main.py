@@ -5,7 +5,7 @@ import pytest
 from conftest import got
 from dayledger.__main__ import main
 from dayledger.plans.schemas import REWARD_LOG
-from dayledger.settings import MOST_PARTS, RECOMMENDED, apply_settings, shuffle_parts
+from dayledger.settings import RECOMMENDED, apply_settings, scan_bytes, shuffle_parts
 
 
 @pytest.fixture(autouse=True)
@@ -40,7 +40,15 @@ def test_bad_arguments(argv, tmp_path):
 def test_shuffle_parts():
     assert shuffle_parts(0) == 200
     assert shuffle_parts(2**40) == 8192
-    assert shuffle_parts(100 * 2**40) == MOST_PARTS
+    assert shuffle_parts(100 * 2**40) == 819_200  # parts stay of one size
+
+
+def test_scan_bytes_are_those_of_the_day(spark, tmp_path):
+    path = str(tmp_path / "days")
+    spark.range(200_000).selectExpr("id", "if(id % 10 = 0, '20240101', '20240102') AS ds").write.partitionBy("ds").parquet(path)
+    df = spark.read.schema("id long, ds string").parquet(path)
+    assert 0 < scan_bytes(df, "20240101") < scan_bytes(df, "20240102") < scan_bytes(df, "no day")
+    assert scan_bytes(spark.range(3), "20240101") == 0
 
 
 def test_settings(spark):
