@@ -6,12 +6,12 @@ from functools import lru_cache
 
 import numpy as np
 
-UNIVERSE_BITS = 22
+UNIVERSE_BITS = 21
 SEED = 20240229
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _WEIGHTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
 _BASE = 0x5851F42D4C957F2D  # odd
-SEGMENT = 2 << 20
+SEGMENT = 256 << 10
 
 
 def words(text: bytes) -> list[bytes]:

@@ -58,7 +58,7 @@ def signed(docs: DataFrame, settings: Settings) -> DataFrame:
     s = settings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text", 2 << 20):
             texts = [minhash.words(t or b"") for t in batch.column("text").to_pylist()]
             sets = minhash.shingle_hashes(texts, s.size)
             signature = minhash.signatures(sets, s.coordinates)
