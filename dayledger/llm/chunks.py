@@ -29,7 +29,7 @@ class ChunkEncoder:
     """Encodes Arrow text columns. Ids of chunks are remembered up to `limit` chunks, then forgotten
     all at once, so that a worker's memory stays bounded."""
 
-    def __init__(self, encode: Encode, limit: int = 1_000_000):
+    def __init__(self, encode: Encode, limit: int = 500_000):
         self.encode = encode
         self.limit = limit
         self.known: dict[str, bytes] = {}
