@@ -85,7 +85,7 @@ class ChunkEncoder:
         return out
 
 
-def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterable[pa.RecordBatch]:
+def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterable[pa.RecordBatch]:
     """The batches in pieces of about `most` bytes of the column, at least one row each."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

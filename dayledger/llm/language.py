@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from dayledger.llm.chunks import sliced
 
 UNDETERMINED = "und"
+SLICE = 4 << 20  # bytes of text worked on at once
 # First code points of script ranges, in order; 0 is for what lies between.
 SCRIPTS = [
     (0x0000, 0), (0x0041, 1), (0x0250, 0), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 0),
@@ -78,7 +79,7 @@ def learn(labelled: DataFrame, settings: Settings | None = None) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = np.zeros((len(index), s.buckets), np.int64)
         scripts = np.zeros((len(index), N_SCRIPTS), np.int64)
-        for batch in sliced(batches, "text", 8 << 20):
+        for batch in sliced(batches, "text", SLICE):
             of = np.array([index[x] for x in batch.column("lang").to_pylist()])
             words, flat, owner = _words(batch.column("text"))
             for k in np.unique(of):
@@ -225,7 +226,7 @@ def predict(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets x languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             languages, share, spans = judge(batch.column("text"), shared.value)
             arrays = [batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(share)]
             if with_spans:
@@ -245,7 +246,7 @@ def with_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             languages, share, _ = judge(batch.column("text"), shared.value)
             yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(languages, share, strict=True)]))
 

@@ -23,6 +23,7 @@ from dayledger.llm.chunks import sliced
 from dayledger.sinks.staging import stage
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
+SLICE = 4 << 20  # bytes of text worked on at once
 RUNS = regex.compile(r"(.)\1+")
 PLAIN = regex.compile(r"[(\"'¿¡]?\p{L}[\p{L}'’-]*[)\"']?[.,;:?!]?")
 
@@ -145,7 +146,7 @@ def votes(docs: DataFrame, settings: Settings) -> DataFrame:
     """votes (one letter a labeller) and hashed features (at, share) of every text of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             statistics, features, rows = word_statistics(batch.column("text"))
             cast = np.stack([x.vote(statistics) for x in LABELLERS], 1)
             spelled = ["".join("_bg"[v] for v in row) for row in cast.tolist()]
@@ -252,7 +253,7 @@ def judged(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by buckets and patterns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             good, weak = score(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(good), pa.array(weak), pa.array(good >= least)], ["doc_id", "score", "weak_posterior", "kept"])
@@ -266,7 +267,7 @@ def good_texts(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             yield batch.filter(pa.array(score(batch.column("text"), shared.value)[0] >= least))
 
     return docs.mapInArrow(run, docs.schema)

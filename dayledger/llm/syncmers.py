@@ -132,20 +132,21 @@ def followed(docs: DataFrame) -> DataFrame:
 
 def _next(values: DataFrame) -> DataFrame:
     """value and next of distinct longs: the next larger one, after the largest the smallest. Works in
-    ranges of 256 values, and on the ranges themselves until one is left."""
-    bucket = F.shiftright("value", BUCKET_BITS)
-    dealt = values.withColumn("bucket", bucket)
+    ranges of 256 values, and on the ranges themselves until they too lie within one."""
+    dealt = values.withColumn("bucket", F.shiftright("value", BUCKET_BITS))
     ranges = stage(dealt.groupBy("bucket").agg(F.min("value").alias("first")), "ranges")
     low, high = ranges.agg(F.min("bucket"), F.max("bucket")).first()
-    if low == high:
-        after = ranges.select("bucket", "first")
+    if low is None or high - low < 1 << BUCKET_BITS:  # at most 256 rows in one window
+        together = Window.partitionBy(F.lit(0)).orderBy("bucket")
+        smallest = F.min("first").over(Window.partitionBy(F.lit(0)))
+        after = ranges.select("bucket", F.coalesce(F.lead("first").over(together), smallest).alias("first"))
     else:
         order = _next(ranges.select(F.col("bucket").alias("value")))
         after = order.join(ranges, order["next"] == ranges["bucket"]).select(F.col("value").alias("bucket"), "first")
     following = F.lead("value").over(Window.partitionBy("bucket").orderBy("value"))
-    return (
+    return stage(
         dealt.withColumn("following", following).join(after, "bucket")
-        .select("value", F.coalesce("following", "first").alias("next"))
+        .select("value", F.coalesce("following", "first").alias("next")), "order",
     )
 
 

@@ -234,7 +234,7 @@ def test_edited_texts_over_many_ranges(spark):
     want = edited(rows)
     assert {r["doc_id"]: r["edited_sha256"] for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
     assert all(0 <= r["near_next"] <= r["near_edited"] <= 1 for r in got)
-    assert np.median([r["near_edited"] for r in got]) > 0.4 and np.median([r["near_next"] for r in got]) == 0
+    assert np.median([r["near_edited"] for r in got]) > 0.4 and np.median([r["near_next"] for r in got]) < 0.1
 
 
 def test_fingerprints_of_odd_rows(spark):
