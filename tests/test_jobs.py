@@ -258,6 +258,7 @@ def test_hot_keys_do_not_change_the_order_jobs(order_tables, monkeypatch):
 
     monkeypatch.setattr("dayledger.plans.order_material.hot_keys_each", every_key)
     monkeypatch.setattr("dayledger.operators.joins.hot_keys_each", every_key)
+    monkeypatch.setattr(om, "stage", lambda df, name: df)  # the whole plan in one
     spread = [job(order_tables, RUN) for job in jobs]
     assert all("_left_slot" in plan(df) and "_right_slot" in plan(df) for df in spread)
     assert [got(df) for df in spread] == plain
