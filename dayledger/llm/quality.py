@@ -8,14 +8,13 @@ scorer over hashed word shapes learns the posteriors and then needs the text alo
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,6 @@ from dayledger.sinks.staging import stage
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
 SLICE = 4 << 20  # bytes of text worked on at once
-RUNS = regex.compile(r"(.)\1+")
-PLAIN = regex.compile(r"[(\"'¿¡]?\p{L}[\p{L}'’-]*[)\"']?[.,;:?!]?")
 
 
 @dataclass(frozen=True)
@@ -80,10 +77,9 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     real = np.array([bool(w) for w in words], bool)[flat] if len(words) else np.empty(0, bool)
     flat, owner = flat[real], owner[real]
 
-    per_word = np.array([_look(w) for w in words], np.float64).reshape(-1, 7)
-    totals = [np.bincount(owner, per_word[flat, k], rows) for k in range(7)]
-    chars, letters, capitals, symbols, all_capitals, plain, stops = totals
-    bars = np.array([w == "|" for w in words], bool)
+    look, codes = _look(words)
+    chars, letters, capitals, symbols, all_capitals, plain, stops, with_symbol, bars = (
+        np.bincount(owner, look[flat, k], rows) for k in range(look.shape[1]))
     n = np.bincount(owner, minlength=rows)
     at_least = np.maximum(n, 1)
     same = (flat[1:] == flat[:-1]) & (owner[1:] == owner[:-1])
@@ -94,41 +90,79 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     same_share = repeats / at_least
     odd = np.where(same_share > 0.1, 0.1, 1 - plain / at_least)
     a_stop = np.where(n > 60, n / np.maximum(stops, 1), np.minimum(n, 20))
-    with_symbol = np.bincount(owner, per_word[flat, 3] > 0, rows)
     statistics = {
         "words": n, "symbol_share": symbols / np.maximum(chars, 1), "symbol_words": with_symbol / at_least,
         "capital_share": np.where(letters > 20, capitals / np.maximum(letters, 1), 0), "capital_words": all_capitals / at_least,
         "repeats": repeats / at_least, "repeated_share": np.where(n >= 20, 1 - distinct / at_least, 0) - np.minimum(0.5, np.maximum(0, np.log10(at_least / 300)) * 0.35),
-        "bars": np.bincount(owner, bars[flat], rows) / at_least, "odd_words": odd, "words_a_stop": np.where(same_share > 0.1, 40, a_stop),
+        "bars": bars / at_least, "odd_words": odd, "words_a_stop": np.where(same_share > 0.1, 40, a_stop),
         "monotony": same_share,
     }
-    return statistics, _features(words, flat, owner, n, same, rows), rows
-
-
-def _look(word: str) -> tuple[int, int, int, int, int, int, int]:
-    """Characters, letters, capitals, symbols; whether all letters are capitals, whether it is a plain
-    word, whether it ends a sentence."""
-    letters = sum(map(str.isalpha, word))
-    capitals = sum(map(str.isupper, word))
-    symbols = sum(not (c.isalnum() or c in ".,;:?!'\"()-’¿¡/@") for c in word)
-    return len(word), letters, capitals, symbols, letters > 1 and capitals == letters, _plain(word), word[-1:] in (".", "?", "!")
-
-
-def _plain(word: str) -> bool:
-    """A word as prose has it; numbers, addresses and the like count as such."""
-    return PLAIN.fullmatch(word) is not None or any(map(str.isdigit, word))
-
-
-def shape(word: str) -> str:
-    """Letters as X and x, digits as 0, runs once, at most 8 of it: `Word,` is `Xx,`."""
-    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
-    return RUNS.sub(r"\1", kinds)[:8]
-
-
-def _features(words: list[str], flat: np.ndarray, owner: np.ndarray, n: np.ndarray, same: np.ndarray, rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Shares of the texts' words, by hashed shape; a word that repeats the one before counts for a
-    shape of its own. A text without words has no features."""
-    codes = np.array([zlib.crc32(shape(w).encode()) for w in words], np.int64)[flat] if len(words) else np.empty(0, np.int64)
+    return statistics, _features(codes[flat], owner, n, same, rows), rows
+
+
+OTHER, CAPITAL, SMALL, DIGIT, MARK, INNER = range(6)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The kind of each character below U+30000: letters by case, digits, marks of prose, marks that
+    stand inside words, and all else. Letters without case count as small."""
+    out = np.zeros(0x30000, np.uint8)
+    for code in range(0x30000):
+        c = chr(code)
+        if c.isalpha():
+            out[code] = CAPITAL if c.isupper() else SMALL
+        elif c.isdigit():
+            out[code] = DIGIT
+        elif c in ".,;:?!\"()¿¡/@":
+            out[code] = MARK
+        elif c in "'’-":
+            out[code] = INNER
+    return out
+
+
+def _look(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each word its characters, letters, capitals, symbols, and as 0 or 1 whether all letters are
+    capitals, it is a word as prose has it (numbers and addresses count as such), it ends a sentence,
+    it has a symbol, it is a bar; and the hash of its shape: kinds of its characters, runs once, up to 8."""
+    if not words:
+        return np.zeros((0, 9)), np.zeros(0, np.int64)
+    # a newline, which no word has, after each word
+    text = np.frombuffer(("\n".join(words) + "\n").encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = np.flatnonzero(text == 10)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    kind = _kinds()[np.minimum(text, 0x2FFFF)]
+    kind[text == 10] = 255
+
+    def count(which: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(which.astype(np.int64), starts)
+
+    chars, capitals = ends - starts, count(kind == CAPITAL)
+    letters, symbols = capitals + count(kind == SMALL), count(kind == OTHER)
+    digits, marks = count(kind == DIGIT), count(kind == MARK)
+    last = text[np.maximum(ends - 1, 0)]
+    stops = (chars > 0) & np.isin(last, [ord(c) for c in ".?!"])
+    plain = (digits > 0) | ((symbols == 0) & (letters > 0) & (marks <= 1))
+    bar = (chars == 1) & (last == ord("|"))
+    look = np.stack([chars, letters, capitals, symbols, (letters > 1) & (capitals == letters), plain, stops, symbols > 0, bar], 1)
+
+    # letters and digits by kind, others as they are; the first of each run
+    sign = np.where((kind == CAPITAL) | (kind == SMALL) | (kind == DIGIT), kind.astype(np.int64), text + 256)
+    new = np.concatenate(([True], sign[1:] != sign[:-1]))
+    new[starts] = True
+    place = np.cumsum(new) - 1
+    owner = np.repeat(np.arange(len(words)), ends - starts + 1)
+    place -= place[starts][owner]
+    used = new & (kind != 255) & (place < 8)
+    weights = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 40, 8) | 1
+    codes = np.zeros(len(words), np.int64)
+    np.add.at(codes, owner[used], sign[used] * weights[place[used]])
+    return look.astype(np.float64), (codes ^ (codes >> 23)) & 0x7FFFFFFF
+
+
+def _features(codes: np.ndarray, owner: np.ndarray, n: np.ndarray, same: np.ndarray, rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Shares of the texts' words, by the hash of their shape; a word that repeats the one before counts
+    for a shape of its own. A text without words has no features."""
     codes = np.concatenate([codes, np.full(int(same.sum()), REPEAT)])
     owner = np.concatenate([owner, owner[1:][same]])
     keys, counts = np.unique(owner << 32 | codes, return_counts=True)
@@ -139,7 +173,7 @@ def _features(words: list[str], flat: np.ndarray, owner: np.ndarray, n: np.ndarr
 
 
 FEW = 1  # a word that a text is taken to have besides, so that very short texts stay near the middle
-REPEAT = zlib.crc32(b"<repeat>")
+REPEAT = 0x5EED5EED
 
 
 def votes(docs: DataFrame, settings: Settings) -> DataFrame:
