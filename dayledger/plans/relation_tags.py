@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions import child_or_parent, eq, first_rule, in_list, label, to_bigint
 from dayledger.operators import (
     BROADCAST_LIMIT,
-    checked_broadcast,
-    join_when,
+    fits,
+    hot_keys,
     left_join,
     snapshot_diff,
+    spread_join,
 )
 from dayledger.plans.schemas import RELATION_TAGS
 from dayledger.rundate import RunDate
@@ -36,12 +39,18 @@ def relation_tags(
     key = ["design_id", "brandgood_id", "dhd_type"]
     relations = snapshot_diff(
         catalog.table("bridge").select(*key, "ds"), key, run, dedup=dedup).drop("ds")
-    deco = checked_broadcast(_decoration(catalog, run), max_bytes)
+    deco = _decoration(catalog, run)
+    small, hot = fits(deco, max_bytes), []
+    if small:
+        deco = F.broadcast(deco)
+    else:  # a few categories hold most materials: they are spread, and so are materials without one
+        hot = hot_keys(snapshot(catalog.table("material"), run.ds), ["transprod_cat_id"])
     with_design = relations.join(_designs(catalog, run), "design_id")
     with_usage = left_join(with_design, _usage(catalog, run), ["org_id", "brandgood_id"])
-    with_material = with_usage.join(_materials(catalog, run, deco), "brandgood_id")
-    tagged = join_when(
-        with_material, deco, ["transprod_cat_id"], when=eq("dhd_type", "decoration"))
+    with_material = with_usage.join(_materials(catalog, run, deco, hot, not small), "brandgood_id")
+    tagged = spread_join(
+        with_material, deco, ["transprod_cat_id"], "left", when=eq("dhd_type", "decoration"),
+        hot_left=hot, spread_nulls=not small)
     itemset = first_rule([
         (eq("dhd_type", "furniture"), 1),
         (eq("dhd_type", "customized") & in_list("item_type", CUSTOMIZED_ITEM_TYPES), 2),
@@ -82,14 +91,17 @@ def _designs(catalog: Catalog, run: RunDate) -> DataFrame:
     return designs.join(org_users.join(users, "user_id"), "user_id")
 
 
-def _materials(catalog: Catalog, run: RunDate, deco: DataFrame) -> DataFrame:
+def _materials(
+    catalog: Catalog, run: RunDate, deco: DataFrame, hot: Sequence[tuple], spread_nulls: bool
+) -> DataFrame:
     """A material plays two parts, its type for the item set and its categories for display, each
     joined to the relations. The parts are paired here, on the far smaller side, so that the
     relations are shuffled once for both; a material repeated k times still gives k * k rows."""
     materials = snapshot(catalog.table("material"), run.ds)
-    typed = materials.select("brandgood_id", "item_type", "transprod_cat_id").join(
+    typed = spread_join(
+        materials.select("brandgood_id", "item_type", "transprod_cat_id"),
         deco.select("transprod_cat_id", F.lit(True).alias("has_decoration")),
-        "transprod_cat_id", "left")
+        ["transprod_cat_id"], "left", hot_left=hot, spread_nulls=spread_nulls)
     shown = materials.select(
         "brandgood_id",
         F.col("item_type").alias("shown_item_type"),
