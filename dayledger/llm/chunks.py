@@ -22,6 +22,7 @@ Encode = Callable[[list[str]], list[bytes]]  # texts -> their ids as unsigned 32
 WHOLE = "[\\x09\\x0b-\\x0d\\x1c-\\x1f\u0085   -     　]|  |<\\|"
 
 
+REMEMBERED = 1_000_000  # chunks, about 200 MB
 LONGEST = 64  # characters of a chunk that is remembered
 
 
@@ -29,7 +30,7 @@ class ChunkEncoder:
     """Encodes Arrow text columns. Ids of chunks are remembered up to `limit` chunks, then forgotten
     all at once, so that a worker's memory stays bounded."""
 
-    def __init__(self, encode: Encode, limit: int = 500_000):
+    def __init__(self, encode: Encode, limit: int = REMEMBERED):
         self.encode = encode
         self.limit = limit
         self.known: dict[str, bytes] = {}
@@ -99,7 +100,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20)
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str) -> ChunkEncoder:
+def library_encoder(path: str, remembered: int = REMEMBERED) -> ChunkEncoder:
     """The encoder of a tokenizers file, one per Python worker. Special tokens in a text are found as
     the library does by default; none are added."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -116,4 +117,4 @@ def library_encoder(path: str) -> ChunkEncoder:
             out += [array("I", e.ids).tobytes() for e in found]
         return out
 
-    return ChunkEncoder(encode)
+    return ChunkEncoder(encode, remembered)

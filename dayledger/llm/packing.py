@@ -16,19 +16,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm.chunks import library_encoder, sliced
+from dayledger.llm.chunks import REMEMBERED, library_encoder, sliced
 from dayledger.llm.patterns import Pattern, cutting_stock
 from dayledger.sinks.staging import stage
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, with_ids: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """One row per piece of at most `capacity` ids of `text` and the end id. A null or empty text is
-    its end id alone. `with_ids` adds the ids. Other columns of `docs` are not read."""
+    its end id alone. `with_ids` adds the ids. A worker remembers at most so many chunks of text.
+    Other columns of `docs` are not read."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = library_encoder(tokenizer)
+        encode = library_encoder(tokenizer, remembered)
         for batch in sliced(batches, "text"):
             flat, bounds = encode(batch.column("text"))
             out: list[tuple] = []
@@ -111,9 +114,11 @@ def _slots(plan: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, in
     return rows
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096) -> DataFrame:
+def packed_documents(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, remembered: int = REMEMBERED
+) -> DataFrame:
     """Documents cut and packed: `pieces`, written once to the shared folder, then `pack`."""
-    return pack(stage(pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    return pack(stage(pieces(docs, tokenizer, end_id, capacity, remembered=remembered), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
