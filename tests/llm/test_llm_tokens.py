@@ -40,14 +40,14 @@ def crc(ids):
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @settings(max_examples=60, deadline=None)
-@given(texts=st.lists(st.text(st.sampled_from(list("ab e'sT.,!  \n\n\t\r\x1c  é½日")), max_size=25), max_size=6))
+@given(texts=st.lists(st.text(st.sampled_from(list("ab e'sT.,!#| %  \n\n\t\r\x1c  é½日")), max_size=25), max_size=6))
 def test_chunks_are_encoded_as_whole_texts_are(path, texts):
     flat, bounds = library_encoder(path)(pa.array(texts, pa.string()))
     assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == library(path, texts)
 
 
 @settings(max_examples=60, deadline=None)
-@given(texts=st.lists(st.text(st.sampled_from(list("abcthe e'sT.,!  \n\t\r\x1c é½日")), max_size=40), max_size=6))
+@given(texts=st.lists(st.text(st.sampled_from(list("abcthe e'sT.,!#| %  \n\t\r\x1c é½日")), max_size=40), max_size=6))
 def test_ranks_are_merged_as_tiktoken_does(tik, texts):
     flat, bounds = bpe.rank_encoder(MULTI, public_tokenizers.PATTERN)(pa.array(texts, pa.string()))
     assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [tik.encode_ordinary(t) for t in texts]
