@@ -36,7 +36,7 @@ class Settings:
     percent: int = 80
     bands: int = 40
     rows: int = 6
-    block: int = 256
+    block: int = 512
     slack: float = 6.5
 
     @property
