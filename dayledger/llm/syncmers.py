@@ -3,7 +3,7 @@
 A k-mer of units (words, or characters of short texts and of texts without spaces) is an anchor if
 the least hash among its inner substrings stands first or last. That depends on the k-mer alone, so
 equal passages have equal anchors wherever they stand. A fingerprint holds the least anchor hashes
-with the place each has first; likeness compares the anchors that stand at matching places.
+with the place each has first; likeness counts the shared anchors shifted like a neighbour of theirs.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dayledger.operators.sizing import checked_broadcast
 from dayledger.sinks.staging import stage
 
 KEPT = 48  # anchors in a fingerprint
-DRIFT = 32  # units by which matching anchors may be shifted against the others
+DRIFT = 32  # units by which a matching anchor may be shifted against the one before or behind it
 SHORT, LONG = 300, 600  # characters: words count above the first, characters up to the second
 UNSPACED = 16  # characters a word, above which the text is taken by characters too
 WORDS, CHARACTERS = (2, 4), (2, 3)  # units in an inner substring, inner substrings in a k-mer
@@ -79,28 +79,43 @@ def fingerprint(name: str) -> Column:
     return F.concat_ws(";", part("w"), part("c"))
 
 
-def likeness(a: str, b: str) -> Column:
-    """How alike two fingerprints are, 0 to 1: of the least hashes of both together, the share that
-    both have at matching places. Characters are compared where both have them, else words."""
-    characters = _alike(a, b, "c")
-    return F.when(F.col(f"{a}_c").isNotNull() & F.col(f"{b}_c").isNotNull(), characters).when(
-        F.col(f"{a}_w").isNotNull() & F.col(f"{b}_w").isNotNull(), _alike(a, b, "w")
-    ).otherwise(F.lit(0.0))
-
-
-def _alike(a: str, b: str, unit: str) -> Column:
-    ha, pa, hb, pb = (F.col(c) for c in (f"{a}_{unit}", f"{a}_{unit}p", f"{b}_{unit}", f"{b}_{unit}p"))
-    least = F.slice(F.sort_array(F.array_union(ha, hb)), 1, KEPT)
-    shifts = F.sort_array(F.transform(
-        F.array_intersect(F.array_intersect(ha, hb), least),
-        lambda h: F.element_at(pa, F.array_position(ha, h).cast("int")) - F.element_at(pb, F.array_position(hb, h).cast("int")),
-    ))
-    near = F.aggregate(
-        shifts, F.struct(F.lit(0).alias("n"), F.element_at(shifts, F.greatest((F.size(shifts) / 2).cast("int"), F.lit(1))).alias("mid")),
-        lambda s, x: F.struct((s["n"] + F.when(F.abs(x - s["mid"]) <= DRIFT, 1).otherwise(0)).alias("n"), s["mid"].alias("mid")),
-        lambda s: s["n"],
-    )
-    return F.when(F.size(shifts) > 0, near / F.size(least)).otherwise(F.lit(0.0))
+def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
+    """`df` with `out`, how alike two fingerprints are, 0 to 1: of the least hashes of both together, the
+    share that both have at matching places. Characters are compared where both have them, else words.
+
+    A shared anchor is at a matching place if it is shifted like the shared anchor before or behind it,
+    within DRIFT units: what is inserted or removed elsewhere does not matter, nor does a passage that
+    moved as a whole. A single shared anchor matches. As in `_anchors`, arrays are columns read twice."""
+    steps = [f"_{out}_{step}" for step in ("both", "least", "shared", "shifts", "agree")]
+    both, least, shared, shifts, agree = steps
+
+    def tagged(name: str, side: int) -> Column:
+        def unit(short: str) -> Column:
+            return F.zip_with(f"{name}_{short}", f"{name}_{short}p", lambda h, p: F.shiftleft(h.cast("long"), 32).bitwiseOR(
+                F.shiftleft(p.cast("long"), 1)).bitwiseOR(F.lit(side).cast("long")))
+
+        def have(short: str) -> Column:
+            return F.col(f"{a}_{short}").isNotNull() & F.col(f"{b}_{short}").isNotNull()
+
+        return F.when(have("c"), unit("c")).when(have("w"), unit("w")).otherwise(F.array().cast("array<long>"))
+
+    def pair(x: Column, y: Column) -> Column:
+        """Both places of an anchor, that in `a` first; null of two anchors."""
+        px, py = (F.shiftright(z.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), 1) for z in (x, y))
+        first = x.bitwiseAND(F.lit(1).cast("long")) == 0
+        places = F.shiftleft(F.when(first, px).otherwise(py), 32).bitwiseOR(F.when(first, py).otherwise(px))
+        return F.when(F.shiftright(x, 32) == F.shiftright(y, 32), places)
+
+    df = df.withColumn(both, F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))))
+    df = df.withColumn(least, F.slice(F.array_distinct(F.transform(both, lambda x: F.shiftright(x, 32))), 1, KEPT))
+    pairs = F.zip_with(both, _from(both, 1), lambda x, y: F.when(F.shiftright(x, 32) <= F.get(least, F.size(least) - 1), pair(x, y)))
+    df = df.withColumn(shared, F.sort_array(F.array_compact(pairs)))
+    df = df.withColumn(shifts, F.transform(shared, lambda x: F.shiftright(x, 32) - x.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))))
+    df = df.withColumn(agree, F.zip_with(shifts, _from(shifts, 1), lambda x, y: F.abs(x - y) <= DRIFT))
+    # of shared anchors, those that agree with the one before or behind; the last has none behind
+    in_place = F.size(F.filter(F.zip_with(F.concat(F.array(F.lit(False)), agree), agree, lambda x, y: x | y), lambda x: x))
+    n = F.when(F.size(agree) > 0, F.greatest(in_place, F.lit(1))).otherwise(F.lit(0))
+    return df.withColumn(out, F.when(F.size(least) > 0, n / F.size(least)).otherwise(F.lit(0.0))).drop(*steps)
 
 
 def followed(docs: DataFrame) -> DataFrame:
@@ -160,8 +175,9 @@ def compared(docs: DataFrame) -> DataFrame:
     df = df.withColumn("edited", edited)
     for text, name in (("text", "own"), ("edited", "edited"), ("next_text", "next")):
         df = fingerprinted(df, text, name)
+    df = likeness(likeness(df, "own", "edited", "near_edited"), "own", "next", "near_next")
     return df.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("own").alias("fingerprint"), fingerprint("edited").alias("edited_fingerprint"),
-        likeness("own", "edited").alias("near_edited"), likeness("own", "next").alias("near_next"),
+        "near_edited", "near_next",
     )

@@ -265,3 +265,24 @@ def test_dedup_of_tables_without_rows(spark):
     none = documents(spark, [])
     assert exact_dedup.exact_dedup(none).count() == 0 and exact_dedup.deduplicated(none).count() == 0
     assert near_dedup.near_dedup(none).count() == 0 and near_dedup.deduplicated(none).count() == 0
+
+
+def near_next(spark, first, second):
+    """Likeness of a text to the next one."""
+    rows = syncmers.compared(documents(spark, [(1, first), (2, second)])).collect()
+    return next(r["near_next"] for r in rows if r["doc_id"] == 1)
+
+
+def plain_words(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+
+
+def test_copies_with_paragraphs_inserted_and_removed_stay_alike(spark):
+    text, more = plain_words(2000, 1), plain_words(120, 2)
+    inserted = text[:500] + more[:40] + text[500:1000] + more[40:80] + text[1000:1500] + more[80:] + text[1500:]
+    removed = text[:700] + text[760:1300] + text[1350:]
+    got = [near_next(spark, " ".join(text), " ".join(t)) for t in (inserted, removed)]
+    got.append(near_next(spark, " ".join(text[:1000]), " ".join(text[:500] + more[:40] + text[500:1000])))
+    assert min(got) > 0.8, got
+    assert near_next(spark, " ".join(text), " ".join(plain_words(2000, 3))) == 0.0
