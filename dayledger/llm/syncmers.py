@@ -2,8 +2,8 @@
 
 A k-mer of units (words, or characters of short texts and of texts without spaces) is an anchor if
 the least hash among its inner substrings stands first or last. That depends on the k-mer alone, so
-equal passages have equal anchors wherever they stand. A fingerprint holds the least anchor hashes
-with the place each has first; likeness counts the shared anchors shifted like a neighbour of theirs.
+equal passages have equal anchors wherever they stand. A fingerprint holds all anchor hashes, each with
+the place it has first, and so grows with the text; likeness counts the shared anchors shifted like a neighbour of theirs.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dayledger.operators.sizing import checked_broadcast
 from dayledger.sinks.staging import stage
 
-KEPT = 48  # anchors in a fingerprint
+KEPT = None  # anchors in a fingerprint: no bound, all of them
 DRIFT = 32  # units by which a matching anchor may be shifted against the one before or behind it
 SHORT, LONG = 300, 600  # characters: words count above the first, characters up to the second
 UNSPACED = 16  # characters a word, above which the text is taken by characters too
@@ -39,7 +39,7 @@ def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
 def _anchors(df: DataFrame, units: str, text: str, inner: int, wide: int, out: str) -> DataFrame:
     """Each array is made in a column of its own and read at least twice or as the argument of one
     function, so that the optimizer computes it once a row and not once an element."""
-    steps = {"hash": "_hash", "inner": "_inner", "all": "_all", "low": out}
+    steps = {"hash": "_hash", "inner": "_inner", "sorted": "_sorted", "first": "_first"}
     df = df.withColumn(steps["hash"], F.transform(units, lambda u: F.xxhash64(u)))
     parts = F.col(steps["hash"])
     for i in range(1, inner):
@@ -48,20 +48,32 @@ def _anchors(df: DataFrame, units: str, text: str, inner: int, wide: int, out: s
     # the minimum of the inner hashes behind the first, the last, and a hash of the whole k-mer
     zipped = F.arrays_zip(*(_from(steps["inner"], i) for i in range(wide)))
 
-    def anchor(k: Column) -> Column:
+    def anchor(k: Column, i: Column) -> Column:
         hashes = [k[str(i)] for i in range(wide)]
         low = F.least(*hashes)
         at_edge = (hashes[0] == low) | (hashes[-1] == low)
-        whole = F.shiftright(F.xxhash64(*hashes[::inner], hashes[-1]), 32).cast("int")
-        return F.when(hashes[-1].isNotNull() & at_edge, whole)
-
-    df = df.withColumn(steps["all"], F.transform(zipped, anchor))
-    low = F.slice(F.sort_array(F.array_distinct(F.array_compact(steps["all"]))), 1, KEPT)
+        whole = F.xxhash64(*hashes[::inner], hashes[-1])
+        return F.when(hashes[-1].isNotNull() & at_edge, whole.bitwiseAND(_bits(HASH)).bitwiseOR((i + 1).cast("long")))
+
+    # hash and place in one number: sorted, the first place of a hash stands before its others
+    df = df.withColumn(steps["sorted"], F.sort_array(F.array_compact(F.transform(zipped, anchor))))
+    low = F.zip_with(
+        F.col(steps["sorted"]), F.concat(F.array(F.lit(None).cast("long")), steps["sorted"]),
+        lambda x, before: F.when(before.isNull() | (F.shiftright(x, 32) != F.shiftright(before, 32)), x))
     # a text too short for a syncmer is one anchor as a whole
-    alone = F.array(F.shiftright(F.xxhash64(text), 32).cast("int"))
-    df = df.withColumn(out, F.when(F.col(units).isNotNull(), F.when(F.size(low) > 0, low).otherwise(alone)))
-    places = F.transform(out, lambda h: F.array_position(F.col(steps["all"]), h).cast("int"))
-    return df.withColumn(f"{out}p", places).drop(*(s for k, s in steps.items() if k != "low"))
+    alone = F.array(F.xxhash64(text).bitwiseAND(_bits(HASH)))
+    df = df.withColumn(steps["first"], F.when(F.size(steps["sorted"]) > 0, F.array_compact(low)).when(F.col(units).isNotNull(), alone))
+    return df.withColumns({
+        out: F.transform(steps["first"], lambda x: F.shiftright(x, 32).cast("int")),
+        f"{out}p": F.transform(steps["first"], lambda x: x.bitwiseAND(_bits(PLACE)).cast("int")),
+    }).drop(*steps.values())
+
+
+HASH, PLACE = -1 << 32, (1 << 32) - 1  # the halves of a number that holds both
+
+
+def _bits(mask: int) -> Column:
+    return F.lit(mask).cast("long")
 
 
 def _from(array: str, start: int) -> Column:
@@ -73,26 +85,26 @@ def fingerprint(name: str) -> Column:
 
     def part(unit: str) -> Column:
         spelled = F.zip_with(f"{name}_{unit}", f"{name}_{unit}p", lambda h, p: F.concat(
-            F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))), F.lit("@"), F.lower(F.hex(p))))
+            F.lower(F.hex(h.cast("long").bitwiseAND(_bits(PLACE)))), F.lit("@"), F.lower(F.hex(p))))
         return F.when(F.col(f"{name}_{unit}").isNotNull(), F.concat(F.lit(f"{unit}:"), F.array_join(spelled, ",")))
 
     return F.concat_ws(";", part("w"), part("c"))
 
 
 def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """`df` with `out`, how alike two fingerprints are, 0 to 1: of the least hashes of both together, the
-    share that both have at matching places. Characters are compared where both have them, else words.
+    """`df` with `out`, how alike two fingerprints are, 0 to 1: of the anchors of both together, the share
+    that both have at matching places. Characters are compared where both have them, else words.
 
     A shared anchor is at a matching place if it is shifted like the shared anchor before or behind it,
     within DRIFT units: what is inserted or removed elsewhere does not matter, nor does a passage that
     moved as a whole. A single shared anchor matches. As in `_anchors`, arrays are columns read twice."""
-    steps = [f"_{out}_{step}" for step in ("both", "least", "shared", "shifts", "agree")]
-    both, least, shared, shifts, agree = steps
+    steps = [f"_{out}_{step}" for step in ("both", "shared", "shifts", "agree")]
+    both, shared, shifts, agree = steps
 
     def tagged(name: str, side: int) -> Column:
         def unit(short: str) -> Column:
             return F.zip_with(f"{name}_{short}", f"{name}_{short}p", lambda h, p: F.shiftleft(h.cast("long"), 32).bitwiseOR(
-                F.shiftleft(p.cast("long"), 1)).bitwiseOR(F.lit(side).cast("long")))
+                F.shiftleft(p.cast("long"), 1)).bitwiseOR(_bits(side)))
 
         def have(short: str) -> Column:
             return F.col(f"{a}_{short}").isNotNull() & F.col(f"{b}_{short}").isNotNull()
@@ -101,21 +113,20 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
     def pair(x: Column, y: Column) -> Column:
         """Both places of an anchor, that in `a` first; null of two anchors."""
-        px, py = (F.shiftright(z.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), 1) for z in (x, y))
-        first = x.bitwiseAND(F.lit(1).cast("long")) == 0
+        px, py = (F.shiftright(z.bitwiseAND(_bits(PLACE)), 1) for z in (x, y))
+        first = x.bitwiseAND(_bits(1)) == 0
         places = F.shiftleft(F.when(first, px).otherwise(py), 32).bitwiseOR(F.when(first, py).otherwise(px))
         return F.when(F.shiftright(x, 32) == F.shiftright(y, 32), places)
 
     df = df.withColumn(both, F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))))
-    df = df.withColumn(least, F.slice(F.array_distinct(F.transform(both, lambda x: F.shiftright(x, 32))), 1, KEPT))
-    pairs = F.zip_with(both, _from(both, 1), lambda x, y: F.when(F.shiftright(x, 32) <= F.get(least, F.size(least) - 1), pair(x, y)))
-    df = df.withColumn(shared, F.sort_array(F.array_compact(pairs)))
-    df = df.withColumn(shifts, F.transform(shared, lambda x: F.shiftright(x, 32) - x.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))))
+    df = df.withColumn(shared, F.sort_array(F.array_compact(F.zip_with(both, _from(both, 1), pair))))
+    df = df.withColumn(shifts, F.transform(shared, lambda x: F.shiftright(x, 32) - x.bitwiseAND(_bits(PLACE))))
     df = df.withColumn(agree, F.zip_with(shifts, _from(shifts, 1), lambda x, y: F.abs(x - y) <= DRIFT))
     # of shared anchors, those that agree with the one before or behind; the last has none behind
     in_place = F.size(F.filter(F.zip_with(F.concat(F.array(F.lit(False)), agree), agree, lambda x, y: x | y), lambda x: x))
     n = F.when(F.size(agree) > 0, F.greatest(in_place, F.lit(1))).otherwise(F.lit(0))
-    return df.withColumn(out, F.when(F.size(least) > 0, n / F.size(least)).otherwise(F.lit(0.0))).drop(*steps)
+    together = F.size(both) - F.size(shared)
+    return df.withColumn(out, F.when(together > 0, n / together).otherwise(F.lit(0.0))).drop(*steps)
 
 
 def followed(docs: DataFrame) -> DataFrame:

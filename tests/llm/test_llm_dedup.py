@@ -286,3 +286,14 @@ def test_copies_with_paragraphs_inserted_and_removed_stay_alike(spark):
     got.append(near_next(spark, " ".join(text[:1000]), " ".join(text[:500] + more[:40] + text[500:1000])))
     assert min(got) > 0.8, got
     assert near_next(spark, " ".join(text), " ".join(plain_words(2000, 3))) == 0.0
+
+
+def test_fingerprints_hold_all_anchors_of_long_texts(spark):
+    first, second = plain_words(4000, 4), plain_words(4000, 5)
+    second[1000:1200] = first[2500:2700]
+    assert 0.015 < near_next(spark, " ".join(first), " ".join(second)) < 0.04  # 200 of 7800 words
+    rows = [(1, " ".join(first)), (2, " ".join(second))]
+    got = {r["doc_id"]: r for r in syncmers.compared(documents(spark, rows)).collect()}
+    assert 0.57 < got[1]["near_edited"] < 0.63  # three quarters of both, of five quarters
+    want = anchors(first, " ".join(first), *syncmers.WORDS)
+    assert got[1]["fingerprint"].count("@") == len(want) > 1000
