@@ -8,6 +8,8 @@ scorer over hashed word shapes learns the posteriors and then needs the text alo
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -78,7 +80,7 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     flat, owner = flat[real], owner[real]
 
     look, codes = _look(words)
-    chars, letters, capitals, symbols, all_capitals, plain, stops, with_symbol, bars = (
+    chars, letters, capitals, symbols, all_capitals, plain, stops, with_symbol, bars, phrases = (
         np.bincount(owner, look[flat, k], rows) for k in range(look.shape[1]))
     n = np.bincount(owner, minlength=rows)
     at_least = np.maximum(n, 1)
@@ -90,6 +92,7 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     same_share = repeats / at_least
     odd = np.where(same_share > 0.1, 0.1, 1 - plain / at_least)
     a_stop = np.where(n > 60, n / np.maximum(stops, 1), np.minimum(n, 20))
+    a_stop = np.where(2 * phrases > n, 40, a_stop)  # Thai and Lao sentences end without a mark
     statistics = {
         "words": n, "symbol_share": symbols / np.maximum(chars, 1), "symbol_words": with_symbol / at_least,
         "capital_share": np.where(letters > 20, capitals / np.maximum(letters, 1), 0), "capital_words": all_capitals / at_least,
@@ -100,38 +103,46 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     return statistics, _features(codes[flat], owner, n, same, rows), rows
 
 
-OTHER, CAPITAL, SMALL, DIGIT, MARK, INNER = range(6)
+OTHER, CAPITAL, SMALL, DIGIT, MARK, INNER, POINT = range(7)
+JOINERS = "\u200b\u200c\u200d\u2060"  # stand between letters and are not seen
+STOPS = ".?!。｡．？！…‼⁇⁈⁉।॥؟۔։።፧။។៕།༎᠃᙮"
+CLOSERS = "’”»›」』）】》〉］｣"  # may stand behind a stop
 
 
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
-    """The kind of each character below U+30000: letters by case, digits, marks of prose, marks that
-    stand inside words, and all else. Letters without case count as small."""
-    out = np.zeros(0x30000, np.uint8)
-    for code in range(0x30000):
+    """The kind of each character: letters by case, numbers, marks of prose, marks that stand inside words,
+    punctuation beyond ASCII, and all else. Letters without case and combining marks count as small."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for code in range(sys.maxunicode + 1):
         c = chr(code)
-        if c.isalpha():
+        category = unicodedata.category(c)
+        if category[0] == "L":
             out[code] = CAPITAL if c.isupper() else SMALL
-        elif c.isdigit():
+        elif category[0] == "M" or c in JOINERS:
+            out[code] = SMALL
+        elif category[0] == "N":
             out[code] = DIGIT
         elif c in ".,;:?!\"()¿¡/@":
             out[code] = MARK
         elif c in "'’-":
             out[code] = INNER
+        elif category[0] == "P" and code > 127:
+            out[code] = POINT
     return out
 
 
 def _look(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """For each word its characters, letters, capitals, symbols, and as 0 or 1 whether all letters are
     capitals, it is a word as prose has it (numbers and addresses count as such), it ends a sentence,
-    it has a symbol, it is a bar; and the hash of its shape: kinds of its characters, runs once, up to 8."""
+    it has a symbol, it is a bar, it has Thai or Lao letters; and the hash of its shape: kinds of its characters, runs once, up to 8."""
     if not words:
-        return np.zeros((0, 9)), np.zeros(0, np.int64)
+        return np.zeros((0, 10)), np.zeros(0, np.int64)
     # a newline, which no word has, after each word
     text = np.frombuffer(("\n".join(words) + "\n").encode("utf-32-le"), np.uint32).astype(np.int64)
     ends = np.flatnonzero(text == 10)
     starts = np.concatenate(([0], ends[:-1] + 1))
-    kind = _kinds()[np.minimum(text, 0x2FFFF)]
+    kind = _kinds()[text]
     kind[text == 10] = 255
 
     def count(which: np.ndarray) -> np.ndarray:
@@ -139,14 +150,22 @@ def _look(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     chars, capitals = ends - starts, count(kind == CAPITAL)
     letters, symbols = capitals + count(kind == SMALL), count(kind == OTHER)
-    digits, marks = count(kind == DIGIT), count(kind == MARK)
-    last = text[np.maximum(ends - 1, 0)]
-    stops = (chars > 0) & np.isin(last, [ord(c) for c in ".?!"])
-    plain = (digits > 0) | ((symbols == 0) & (letters > 0) & (marks <= 1))
+    digits, marks, points = count(kind == DIGIT), count(kind == MARK), count(kind == POINT)
+    last, before = text[np.maximum(ends - 1, 0)], text[np.maximum(ends - 2, 0)]
+    stop = [ord(c) for c in STOPS]
+    closed = (chars > 1) & np.isin(last, [ord(c) for c in CLOSERS]) & np.isin(before, stop)
+    stops = (chars > 0) & np.isin(last, stop) | closed
+    # a word of a text without spaces is a sentence or more, with some points among its letters
+    plain = (digits > 0) | ((symbols == 0) & (letters > 0) & (marks <= 1) & (points <= letters)) | ((chars == 1) & (points == 1))
+    phrase = count((text >= 0x0E00) & (text <= 0x0EFF)) > 0
     bar = (chars == 1) & (last == ord("|"))
-    look = np.stack([chars, letters, capitals, symbols, (letters > 1) & (capitals == letters), plain, stops, symbols > 0, bar], 1)
+    look = np.stack([chars, letters, capitals, symbols, (letters > 1) & (capitals == letters), plain, stops, symbols > 0, bar, phrase], 1)
 
-    # letters and digits by kind, others as they are; the first of each run
+    # letters and digits by kind, others as they are, points of a word with letters left out; the first of each run
+    shown = (kind != POINT) | np.repeat(letters == 0, ends - starts + 1)
+    text, kind = text[shown], kind[shown]
+    ends = np.flatnonzero(text == 10)
+    starts = np.concatenate(([0], ends[:-1] + 1))
     sign = np.where((kind == CAPITAL) | (kind == SMALL) | (kind == DIGIT), kind.astype(np.int64), text + 256)
     new = np.concatenate(([True], sign[1:] != sign[:-1]))
     new[starts] = True

@@ -207,3 +207,31 @@ def test_the_pipeline_keeps_one_of_each_clean_document(spark):
                 assert any(5 * len(sets[gone] & sets[i]) >= 4 * len(sets[gone] | sets[i]) - 2 for i in before - {gone})
         if name == "packing":
             assert after == before
+
+
+CLEAN = {
+    "Hindi": "भारत एक विशाल देश है। यहाँ अनेक भाषाएँ बोली जाती हैं और लोग मिलकर रहते हैं। सुबह बच्चे विद्यालय जाते हैं।",
+    "Tamil": "தமிழ் மொழி மிகவும் பழமையானது. மக்கள் இதனை பல நாடுகளில் பேசுகிறார்கள். குழந்தைகள் பள்ளிக்குச் செல்கிறார்கள்.",
+    "Thai": "ประเทศไทยเป็นประเทศที่สวยงาม ผู้คนใจดีและอาหารอร่อย เด็กไปโรงเรียนทุกวัน",
+    "Chinese": "今天天气很好，我们去公园散步。孩子们在草地上玩耍，老人坐在树下聊天。 晚上，大家一起吃饭。",
+    "Japanese": "今日は天気がいいので、公園へ行きました。「楽しいですね。」と母は言いました。 夜はみんなで夕食を食べました。",
+    "Arabic": "ذهب الأولاد إلى المدرسة في الصباح، ثم عادوا إلى البيت. هل كان اليوم جميلاً؟ نعم، كان جميلاً.",
+    "Persian": "او هر روز می‌رود و کتاب‌ها را می‌خواند. ما نیز می‌خوانیم.",
+    "French": "Il m’a dit : « Bonjour, mon ami… » — puis il est parti. Nous étions “contents” de le voir – enfin – chez nous.",
+}
+JUNK = ["#$%& ^^^ {{}} || <<>> ~~~ $$$ *** ### ==+ %%% &^%$", "★☆★ ►►► ◄◄ ■□■ ☺☻ ♥♦♣ ▲▼ ○●○ €¥£ "]
+
+
+def test_quality_takes_no_script_for_symbols(spark):
+    statistics, _, _ = quality.word_statistics(pa.array([*CLEAN.values(), *JUNK]))
+    bad = [[x.name for x in quality.LABELLERS if x.vote(statistics)[k] == quality.BAD] for k in range(len(CLEAN) + len(JUNK))]
+    assert bad[: len(CLEAN)] == [[]] * len(CLEAN) and all({"symbols", "symbol_words", "odd_words"} <= set(b) for b in bad[len(CLEAN) :])
+    phrases = " ".join(a + b + "ี่" for a in "กขคงจฉชซ" for b in "ดตถทธนบปผฝ")  # eighty, without a mark at the end of sentences
+    hindi = " ".join(f"राम {'कखगघचछजझ'[i % 8]}{'तथदधनपफब'[i // 8 % 8]}ि घर जाता है।" for i in range(40))
+    chinese = " ".join(f"我们第{i}天去了公园，看到了花。" for i in range(80))
+    by_name = {x.name: x for x in quality.LABELLERS}
+    long_texts, _, _ = quality.word_statistics(pa.array([phrases, hindi, chinese]))
+    assert by_name["no_sentences"].vote(long_texts).tolist() == [quality.ABSTAIN, quality.GOOD, quality.GOOD]
+    learned = quality.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+    kept = {r["doc_id"] for r in quality.judged(documents(spark, list(enumerate([*CLEAN.values(), *JUNK]))), learned).where("kept").collect()}
+    assert kept == set(range(len(CLEAN)))
