@@ -24,16 +24,18 @@ BUCKET_BITS = 8  # a range holds 256 ids
 
 def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
     """`df` with arrays {name}_w, {name}_wp, {name}_c, {name}_cp: hashes and places of the anchors by
-    words and by characters; null where that unit is not used. `text` must not be null."""
+    words and by characters; null where that unit is not used. {name}_a, {name}_ap: those by words of
+    every text, short ones too. `text` must not be null."""
     length, units = F.char_length(text), f"_{name}_words"
     df = df.withColumn(units, F.split(text, "\\s+"))
     by_words = length > SHORT
     by_characters = (length <= LONG) | (F.size(units) * UNSPACED < length)
     characters = f"_{name}_characters"
-    df = df.withColumn(characters, F.when(by_characters, F.split(text, ""))).withColumn(units, F.when(by_words, F.col(units)))
-    for column, (inner, wide), short in ((units, WORDS, "w"), (characters, CHARACTERS, "c")):
+    df = df.withColumn(characters, F.when(by_characters, F.split(text, "")))
+    for column, (inner, wide), short in ((units, WORDS, "a"), (characters, CHARACTERS, "c")):
         df = _anchors(df, column, text, inner, wide, f"{name}_{short}")
-    return df.drop(units, characters)
+    used = {f"{name}_{w}": F.when(by_words, F.col(f"{name}_{a}")) for w, a in (("w", "a"), ("wp", "ap"))}
+    return df.withColumns(used).drop(units, characters)
 
 
 def _anchors(df: DataFrame, units: str, text: str, inner: int, wide: int, out: str) -> DataFrame:
@@ -93,7 +95,8 @@ def fingerprint(name: str) -> Column:
 
 def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """`df` with `out`, how alike two fingerprints are, 0 to 1: of the anchors of both together, the share
-    that both have at matching places. Characters are compared where both have them, else words.
+    that both have at matching places. Characters are compared where both have them, else the words of
+    both, however short.
 
     A shared anchor is at a matching place if it is shifted like the shared anchor before or behind it,
     within DRIFT units: what is inserted or removed elsewhere does not matter, nor does a passage that
@@ -106,10 +109,8 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
             return F.zip_with(f"{name}_{short}", f"{name}_{short}p", lambda h, p: F.shiftleft(h.cast("long"), 32).bitwiseOR(
                 F.shiftleft(p.cast("long"), 1)).bitwiseOR(_bits(side)))
 
-        def have(short: str) -> Column:
-            return F.col(f"{a}_{short}").isNotNull() & F.col(f"{b}_{short}").isNotNull()
-
-        return F.when(have("c"), unit("c")).when(have("w"), unit("w")).otherwise(F.array().cast("array<long>"))
+        characters = F.col(f"{a}_c").isNotNull() & F.col(f"{b}_c").isNotNull()
+        return F.when(characters, unit("c")).otherwise(unit("a"))
 
     def pair(x: Column, y: Column) -> Column:
         """Both places of an anchor, that in `a` first; null of two anchors."""

@@ -297,3 +297,11 @@ def test_fingerprints_hold_all_anchors_of_long_texts(spark):
     assert 0.57 < got[1]["near_edited"] < 0.63  # three quarters of both, of five quarters
     want = anchors(first, " ".join(first), *syncmers.WORDS)
     assert got[1]["fingerprint"].count("@") == len(want) > 1000
+
+
+def test_short_texts_are_compared_with_long_ones(spark):
+    short = " ".join(plain_words(43, 6))[:300]
+    long = short + " " + " ".join(plain_words(43, 7))[:300]
+    assert len(short) == 300 and len(long) == 601
+    assert 0.4 < near_next(spark, short, long) < 0.6 and 0.4 < near_next(spark, long, short) < 0.6
+    assert near_next(spark, "", long) == 0.0 and near_next(spark, "", "") == 1.0
