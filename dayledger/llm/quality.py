@@ -91,7 +91,7 @@ def word_statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], list[tuple[
     # prose has plain words and sentences, and does not repeat itself: a repetitive text is no evidence for it
     same_share = repeats / at_least
     odd = np.where(same_share > 0.1, 0.1, 1 - plain / at_least)
-    a_stop = np.where(n > 60, n / np.maximum(stops, 1), np.minimum(n, 20))
+    a_stop = np.where(n > 60, n / np.maximum(stops, 1), 40)  # too short to judge: no vote
     a_stop = np.where(2 * phrases > n, 40, a_stop)  # Thai and Lao sentences end without a mark
     statistics = {
         "words": n, "symbol_share": symbols / np.maximum(chars, 1), "symbol_words": with_symbol / at_least,

@@ -235,3 +235,11 @@ def test_quality_takes_no_script_for_symbols(spark):
     learned = quality.learn(spark.read.parquet(f"{SF}/documents.parquet"))
     kept = {r["doc_id"] for r in quality.judged(documents(spark, list(enumerate([*CLEAN.values(), *JUNK]))), learned).where("kept").collect()}
     assert kept == set(range(len(CLEAN)))
+
+
+def test_short_texts_get_no_vote_on_sentences():
+    # sixty words or fewer say nothing of sentences, whatever they are; sixty-one do
+    short = [*JUNK, *CLEAN.values(), prose(60, 3), prose(5, 4)]
+    statistics, _, _ = quality.word_statistics(pa.array([*short, prose(63, 3), prose(90, 5).replace(".", "")]))
+    labeller = next(x for x in quality.LABELLERS if x.name == "no_sentences")
+    assert labeller.vote(statistics).tolist() == [quality.ABSTAIN] * len(short) + [quality.GOOD, quality.BAD]
