@@ -1,9 +1,14 @@
 """The jobs on the test tables."""
 
+from uuid import uuid4
+
 from checks import roles
 from checks.registry import RUN, Tables, query
 from dayledger import plans
-from dayledger.sinks import stage
+from dayledger.plans.schemas import REWARD_LOG
+from dayledger.sinks import ensure_table, stage, write_partition
+from dayledger.sinks.staging import fresh_path
+from dayledger.sources import Catalog, snapshot
 
 
 @query(roles.APPLY_COUNT_SQL + "SELECT * FROM apply_count")
@@ -85,6 +90,19 @@ def job_merge_increment(t: Tables):
     return plans.reward_merge(roles.rewards(t), RUN)
 
 
+@query(roles.REWARD_SQL + "SELECT * FROM reward_merge")
+def job_merge_bucketed(t: Tables):
+    """The merge within a table in buckets: yesterday is read from it, today written to it, and no
+    increment is small enough for a broadcast."""
+    catalog = roles.rewards(t)
+    spec = REWARD_LOG.named(f"reward_log_{uuid4().hex}").bucketed(["id"], 8)
+    ensure_table(t.spark, spec, fresh_path(t.spark, "table"))
+    write_partition(catalog.table("reward_snapshot"), spec, RUN.prev_day)
+    own = Catalog(t.spark, {"reward_snapshot": spec.name, "reward_increment": catalog.table("reward_increment")})
+    write_partition(plans.reward_merge(own, RUN, max_bytes=0, buckets=spec.buckets), spec, RUN.ds, in_buckets=True)
+    return snapshot(t.spark.table(spec.name), RUN.ds).drop("ds")
+
+
 @query(roles.RELATION_TAGS_SQL + "SELECT * FROM relation_tags")
 def job_relation_tags(t: Tables):
     return plans.relation_tags(roles.relation_tags(t), RUN)

@@ -1,10 +1,15 @@
 """Joins, windows, aggregates, set operations and audits."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import DAILY, RUN, Tables, query
+from dayledger import RunDate
 from dayledger.functions import eq, label
 from dayledger.operators import (
+    advance_ledger,
     anti,
     audit_nulls,
     audit_partitions,
@@ -12,15 +17,20 @@ from dayledger.operators import (
     audit_sources,
     audit_trend,
     checked_broadcast,
+    count_bitmaps,
     count_distinct_by,
     count_rows,
     dedup,
+    distinct_bitmaps,
     fallback_join,
     join_when,
+    ledger_diff,
     lookup,
     mark,
+    month_to_date_bitmaps,
     salted_join,
     semi,
+    start_ledger,
     top_n,
 )
 from dayledger.operators import audit_skew as heaviest_keys
@@ -30,6 +40,7 @@ from dayledger.operators import hot_keys
 from dayledger.operators import latest_per_key as latest_rows
 from dayledger.operators import merge_increment as merge
 from dayledger.operators import snapshot_diff as diff
+from dayledger.sinks import stage
 from dayledger.sources import snapshot, trailing_days
 
 # Joins
@@ -208,6 +219,22 @@ def snapshot_diff_literal(t: Tables):
     return diff(_as_of(t), TRIPLE, RUN, "new_today", "new_this_month", dedup=False).drop("ds")
 
 
+@query(AS_OF + """
+    SELECT cur.*, NOT EXISTS (SELECT 1 FROM yday WHERE (yday.l_orderkey, yday.l_partkey, yday.l_returnflag)
+                                                     = (cur.l_orderkey, cur.l_partkey, cur.l_returnflag)) AS new_today,
+           NOT EXISTS (SELECT 1 FROM mon WHERE (mon.l_orderkey, mon.l_partkey, mon.l_returnflag)
+                                             = (cur.l_orderkey, cur.l_partkey, cur.l_returnflag)) AS new_this_month
+    FROM cur""")
+def snapshot_diff_ledger(t: Tables):
+    """The same difference from a ledger that was moved on day by day, where a day was written."""
+    days = _as_of(t)
+    month_end, yesterday = RunDate.parse(RUN.prev_month_end), RunDate.parse(RUN.prev_day)
+    ledger = stage(start_ledger(snapshot(days, month_end.ds), TRIPLE, month_end), "ledger")
+    for day in (yesterday, RUN):
+        ledger = stage(advance_ledger(ledger, snapshot(days, day.ds), TRIPLE, day, keep_from=RUN.prev_month_end), "ledger")
+    return ledger_diff(snapshot(days, RUN.ds), ledger, TRIPLE, RUN, "new_today", "new_this_month").drop("ds")
+
+
 @query("""SELECT l_orderkey, l_linenumber, c_nationkey, s_nationkey, cn.n_name AS customer_nation,
                  sn.n_name AS supplier_nation
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -283,6 +310,24 @@ def agg_count_distinct(t: Tables):
         rows, ["l_returnflag", "l_linestatus", "p_type", "p_brand"], "l_orderkey", "orders")
 
 
+@query(f"""WITH {DAILY},
+    days AS (SELECT DISTINCT ds FROM daily WHERE ds BETWEEN '19970601' AND '19970608')
+    SELECT days.ds, l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts
+    FROM days JOIN daily ON daily.ds BETWEEN '19970601' AND days.ds GROUP BY ALL""")
+def agg_distinct_month_to_date(t: Tables):
+    """Exact distinct counts of the month to date, each day from the day before and the day's rows."""
+    keys = ["l_returnflag", "l_linestatus"]
+    month = t.daily.where(F.col("ds").between("19970601", "19970608"))
+    counts, so_far = [], {}
+    for day in [f"199706{d:02d}" for d in range(1, 9)]:
+        rows = month.where(F.col("ds") == day)
+        for col, name in (("l_orderkey", "orders"), ("l_partkey", "parts")):
+            so_far[col] = stage(month_to_date_bitmaps(so_far.get(col), distinct_bitmaps(rows, keys, col), keys), f"mtd-{col}")
+        both = count_bitmaps(so_far["l_orderkey"], keys, "orders").join(count_bitmaps(so_far["l_partkey"], keys, "parts"), keys)
+        counts.append(both.select(F.lit(day).alias("ds"), *keys, "orders", "parts"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("SELECT l_orderkey, l_partkey FROM lineitem GROUP BY l_orderkey, l_partkey")
 def agg_group_dedup(t: Tables):
     return dedup(t.lineitem, ["l_orderkey", "l_partkey"])

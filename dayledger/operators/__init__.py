@@ -8,6 +8,7 @@ from dayledger.operators.audit import (
     audit_trend,
     duplicate_keys,
 )
+from dayledger.operators.bitmaps import count_bitmaps, distinct_bitmaps, merge_bitmaps, month_to_date_bitmaps
 from dayledger.operators.joins import (
     anti,
     fallback_join,
@@ -18,6 +19,7 @@ from dayledger.operators.joins import (
     semi,
 )
 from dayledger.operators.layout import by_column, narrow, persisted, rebalance, to_n
+from dayledger.operators.ledger import advance_ledger, ledger_diff, seen_by_ledger, start_ledger
 from dayledger.operators.merge import merge_increment
 from dayledger.operators.records import (
     dedup,
@@ -31,9 +33,11 @@ from dayledger.operators.sizing import BROADCAST_LIMIT, checked_broadcast, fits,
 from dayledger.operators.skew import hot_keys, hot_keys_each, spread_join
 
 __all__ = [
-    "BROADCAST_LIMIT", "anti", "audit_nulls", "audit_partitions", "audit_result", "audit_skew", "audit_sources",
-    "audit_trend", "by_column", "checked_broadcast", "count_distinct_by", "count_rows", "dedup",
-    "duplicate_keys", "fallback_join", "first_per_key", "fits", "hot_keys", "hot_keys_each", "join_when",
-    "latest_per_key", "left_join", "lookup", "mark", "measured_bytes", "merge_increment", "narrow", "persisted",
-    "rebalance", "salted_join", "seen_on", "semi", "snapshot_diff", "spread_join", "to_n", "top_n",
+    "BROADCAST_LIMIT", "advance_ledger", "anti", "audit_nulls", "audit_partitions", "audit_result",
+    "audit_skew", "audit_sources", "audit_trend", "by_column", "checked_broadcast", "count_bitmaps",
+    "count_distinct_by", "count_rows", "dedup", "distinct_bitmaps", "duplicate_keys", "fallback_join",
+    "first_per_key", "fits", "hot_keys", "hot_keys_each", "join_when", "latest_per_key", "ledger_diff",
+    "left_join", "lookup", "mark", "measured_bytes", "merge_bitmaps", "merge_increment",
+    "month_to_date_bitmaps", "narrow", "persisted", "rebalance", "salted_join", "seen_by_ledger", "seen_on",
+    "semi", "snapshot_diff", "spread_join", "start_ledger", "to_n", "top_n",
 ]

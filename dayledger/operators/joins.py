@@ -3,22 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.operators.records import newest_partition
+from dayledger.operators.records import first_per_key
 from dayledger.operators.sizing import BROADCAST_LIMIT, fits
 from dayledger.operators.skew import (
     HOT_ROWS,
     HOT_SHARE,
-    copy,
-    deal,
-    first_slot,
-    has_null,
     hot_keys,
     hot_keys_each,
-    slot_count,
+    merged_hot,
     spread_join,
 )
 
@@ -114,44 +111,34 @@ def fallback_join(
     are measured to fit: worth it for a staged base and a source many times its size. `level`
     names a column for the rank of the source that matched, from 1.
 
-    Base rows of the `hot` keys, and with `spread_nulls` those with a NULL key, are dealt over
-    slots once for all sources, so they are shuffled once. Hot keys of the sources are looked for.
+    The sources are tagged with their rank and put in one relation; the rows of each key's first
+    source, and of its newest day, are the first of the key in that order. So however many sources there
+    are, their rows meet once and the base is joined, and shuffled, once. Base rows of the `hot` keys, and
+    with `spread_nulls` those with a NULL key, are dealt over slots. Hot keys of the sources are looked for.
     """
     keys = list(on)
     wanted = base.select(*keys).dropna().distinct() if prefilter else None
     if wanted is not None and fits(wanted, max_bytes):
         wanted = F.broadcast(wanted)
-    out = base.withColumns({
-        **{c: F.lit(None).cast(sources[0].schema[c].dataType) for c in cols},
-        "_level": F.lit(None).cast("int"),
-    })
-    new = {c: f"_new_{c}" for c in cols}
-    slots = ["_base_slot"] if hot or spread_nulls else []
-    if slots:
-        ways = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        over = slot_count(keys, hot, ways)
-        out = deal(out, *slots, F.when(has_null(keys), ways).otherwise(over) if spread_nulls else over)
     # hot keys are looked for in the sources as they are read, not behind the cuts
-    hot_matches = hot_keys_each([(source, keys) for source in sources])
-    matches = []
+    hot_matches = merged_hot(hot_keys_each([(source, keys) for source in sources]))
+    new = {c: f"_new_{c}" for c in cols}
+    types = {c: sources[0].schema[c].dataType for c in cols}
+    tagged = []
     for rank, source in enumerate(sources, start=1):
-        if wanted is not None:  # by key, so the newest day of a key is the same after it
+        if wanted is not None:
             source = source.join(wanted, keys, "left_semi")
+        row = [*keys, *[F.col(c).cast(types[c]).alias(n) for c, n in new.items()], F.lit(-rank).alias("_source")]
         if latest_only:
-            source = newest_partition(source, keys)
-        matches.append(source.select(
-            *keys, *[F.col(c).alias(n) for c, n in new.items()], F.lit(rank).alias("_rank")
-        ).dropna(subset=keys))
-    for rank, (match, hot_match) in enumerate(zip(matches, hot_matches), start=1):
-        if hot:
-            match = copy(match, *slots, slot_count(keys, hot, ways))
-        elif slots:
-            match = match.withColumn(*slots, first_slot(keys))
-        unmatched = F.col("_level").isNull() if rank > 1 else None
-        out = spread_join(out, match, [*keys, *slots], "left", when=unmatched, hot_right=hot_match)
-        out = out.withColumns({
-            **{c: F.coalesce(F.col(c), F.col(n)) for c, n in new.items()},
-            "_level": F.coalesce("_level", "_rank"),
-        }).drop(*new.values(), "_rank")
-    out = out.drop(*slots)
-    return out.drop("_level") if level is None else out.withColumnRenamed("_level", level)
+            row.append(F.col("ds").alias("_day"))
+        tagged.append(source.select(*row).dropna(subset=[*keys, "_day"] if latest_only else keys))
+    rows = reduce(DataFrame.unionByName, tagged)
+    if latest_only or len(sources) > 1:
+        by = ["_source", "_day"] if latest_only else ["_source"]
+        rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True)
+    out = spread_join(
+        base.drop(*cols), rows.select(*keys, *new.values(), "_source"), keys, "left",
+        hot_left=hot, hot_right=hot_matches, spread_nulls=spread_nulls,
+    )
+    out = out.withColumnsRenamed({n: c for c, n in new.items()})
+    return out.drop("_source") if level is None else out.withColumn("_source", -F.col("_source")).withColumnRenamed("_source", level)

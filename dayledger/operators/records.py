@@ -22,28 +22,34 @@ def first_per_key(
     ties: bool = False,
     tiebreak: Sequence[str] = (),
     hot: Sequence[tuple] | None = None,
+    keyed: bool = False,
+    descending: bool = False,
 ) -> DataFrame:
-    """The first row per key in ascending `order`, NULL first.
+    """The first row per key in ascending `order`, NULL first, or in descending order, NULL last.
 
     Without `ties` exactly one row per key stays, and `tiebreak` must order equal rows. Spark cuts
     each task's rows to one per key before the shuffle, so a hot key costs nothing.
 
     With `ties` all rows equal to the first stay, and those of one key would meet in one task. So
     the `hot` keys, looked for unless given, and keys with a NULL part take another way: the first
-    values, one per hot key and one per key with a NULL, are joined to the rows.
+    values, one per hot key and one per key with a NULL, are joined to the rows. `keyed` says that no
+    key has a NULL part.
     """
     if not ties and not tiebreak:
         raise ValueError("a single first row needs a tiebreak")
     by = order if ties else (*order, *tiebreak)
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in by])
+    order_by = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in by]
+    window = Window.partitionBy(*keys).orderBy(*order_by)
     if not ties:
         return _only(df, F.row_number().over(window))
     hot = hot_keys(df, keys) if hot is None else hot
+    if keyed and not hot:
+        return _only(df, F.rank().over(window))
     # a NULL key is never looked for and may be many rows: it is held apart too
     held = flag(is_hot(keys, hot)) | has_null(keys)
     value = F.struct(*order)
     held_rows = df.where(held)
-    firsts = held_rows.groupBy(*keys).agg(F.min(value).alias("_first"))
+    firsts = held_rows.groupBy(*keys).agg((F.max if descending else F.min)(value).alias("_first"))
     firsts = firsts.withColumnsRenamed({k: f"_held_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
     if len(keys) == 1:  # a row per hot key, and one for NULL

@@ -90,6 +90,15 @@ def hot_keys_each(
     return hot
 
 
+def merged_hot(found: Sequence[Sequence[tuple]]) -> list[tuple]:
+    """The hot keys of several relations that are read as one, each once, with its largest share."""
+    shares: dict[tuple, float] = {}
+    for keys in found:
+        for key in keys:
+            shares[tuple(key)] = max(shares.get(tuple(key), 0.0), getattr(key, "share", 1.0))
+    return [HotKey.of(key, share) for key, share in sorted(shares.items())]
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,

@@ -24,7 +24,8 @@ from dayledger.sources import Catalog
 @dataclass(frozen=True)
 class Job:
     """How to build a job and lay out its table. With `staged` its core is written out first,
-    because it is read several times, and the build gets those options."""
+    because it is read several times, and the build gets those options. A table in buckets is its own
+    source, and the build gets their number."""
 
     build: Callable[..., DataFrame]
     spec: TableSpec
@@ -52,6 +53,7 @@ JOBS: dict[str, Job] = {
     "order_material_staged": _order_material(om.order_material_staged, {}),
     "order_material_staged_nulls": _order_material(om.order_material_staged, {"materials": False}),
     "reward_merge": Job(reward_merge, schemas.REWARD_LOG),
+    "reward_merge_bucketed": Job(reward_merge, schemas.REWARD_LOG.bucketed(["id"], 512)),
     "relation_tags": Job(relation_tags, schemas.RELATION_TAGS),
 }
 
@@ -75,7 +77,10 @@ def run_job(
     if path is None:
         ensure_table(catalog.spark, spec)
     write = append_partition if append else write_partition
-    if job.staged is None:
+    if spec.buckets and not append:
+        rows = job.build(catalog, run, buckets=spec.buckets)
+        write_partition(rows, spec, run.ds, path, in_buckets=True)
+    elif job.staged is None:
         write(job.build(catalog, run), spec, run.ds, path, job.cluster_by)
     else:
         with staged(om.order_core(catalog, run), f"{name}-core") as core:

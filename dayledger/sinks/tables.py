@@ -12,7 +12,8 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayledger.functions.expressions import conform
@@ -22,7 +23,9 @@ from dayledger.rundate import RunDate
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A table partitioned by `ds`; `schema` holds its other columns, with comments."""
+    """A table partitioned by `ds`; `schema` holds its other columns, with comments. With `buckets`
+    each day lies in that many parts by the hash of the columns `bucket_by`, sorted by them: a join or
+    merge on these columns reads the day without a shuffle."""
 
     name: str
     schema: T.StructType
@@ -30,10 +33,15 @@ class TableSpec:
     retention_days: int = 3650
     fmt: str = "orc"
     compression: str = "snappy"
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     def named(self, name: str) -> TableSpec:
         return replace(self, name=name)
 
+    def bucketed(self, by: Sequence[str], buckets: int) -> TableSpec:
+        return replace(self, bucket_by=tuple(by), buckets=buckets)
+
 
 def column(name: str, type_: T.DataType, comment: str = "") -> T.StructField:
     return T.StructField(name, type_, True, {"comment": comment} if comment else {})
@@ -50,7 +58,7 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = No
         f"CREATE TABLE IF NOT EXISTS {spec.name} "
         f"({', '.join(cols)}, ds STRING COMMENT 'day, yyyyMMdd') "
         f"USING {spec.fmt} OPTIONS ('compression' = '{spec.compression}') "
-        f"PARTITIONED BY (ds) COMMENT {_text(spec.comment)}"
+        f"PARTITIONED BY (ds) {_buckets(spec)} COMMENT {_text(spec.comment)}"
         + (f" LOCATION {_text(location)}" if location else "")
     )
     there = {f.name: f.dataType for f in spark.table(spec.name).schema}
@@ -58,6 +66,11 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = No
     if there != wanted:
         odd = sorted(n for n in there.keys() | wanted.keys() if there.get(n) != wanted.get(n))
         raise ValueError(f"table {spec.name} is of another shape; see columns {', '.join(odd)}")
+    if spec.buckets:
+        about = dict(spark.sql(f"DESCRIBE TABLE EXTENDED {spec.name}").select("col_name", "data_type").collect())
+        lies = about.get("Num Buckets"), about.get("Bucket Columns")
+        if lies != (str(spec.buckets), str([f"`{c}`" for c in spec.bucket_by]).replace("'", "")):
+            raise ValueError(f"table {spec.name} does not lie in {spec.buckets} buckets by {', '.join(spec.bucket_by)}")
 
 
 def write_partition(
@@ -66,11 +79,20 @@ def write_partition(
     ds: str,
     path: str | None = None,
     cluster_by: Sequence[str] | None = None,
+    in_buckets: bool = False,
 ) -> None:
-    """Replace one day, even by nothing; other days stay. Running it again changes nothing."""
+    """Replace one day, even by nothing; other days stay. Running it again changes nothing.
+
+    For a table with buckets the rows are dealt to them first, unless they lie `in_buckets` already:
+    a bucket is then written by the tasks that hold its rows. Its rows may come from another day of
+    the same table."""
     day = RunDate.parse(ds).ds
     rows = _laid_out(df, spec, cluster_by)
-    if path:
+    if spec.buckets and path:
+        raise ValueError("only a table has buckets")
+    if spec.buckets:
+        _write_buckets(rows if in_buckets else rows.repartition(spec.buckets, *spec.bucket_by), spec, day)
+    elif path:
         _writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}")
     else:
         df.sparkSession.sql(
@@ -111,6 +133,17 @@ def append_partition(
         )
 
 
+def _write_buckets(rows: DataFrame, spec: TableSpec, day: str) -> None:
+    # by dynamic overwrite, which may read other days of its target but leaves a day without new rows
+    spark, seen = rows.sparkSession, Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("ds", F.lit(day))
+    with _dynamic_overwrite(spark):
+        there = spark.table(spec.name).columns
+        rows.select(*[f"`{c}`" for c in there]).write.insertInto(spec.name, overwrite=True)
+    if not seen.get["n"]:
+        spark.sql(f"ALTER TABLE {spec.name} DROP IF EXISTS PARTITION (ds = '{day}')")
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """`insertInto` ignores the writer's option; without the setting it would clear every day."""
@@ -133,6 +166,13 @@ def _laid_out(df: DataFrame, spec: TableSpec, cluster_by: Sequence[str] | None)
     return rows if cluster_by is None else rebalance(rows, *cluster_by)
 
 
+def _buckets(spec: TableSpec) -> str:
+    if not spec.buckets:
+        return ""
+    by = ", ".join(f"`{c}`" for c in spec.bucket_by)
+    return f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {spec.buckets} BUCKETS"
+
+
 def _with_ds(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("ds", T.StringType())])
 
