@@ -71,7 +71,7 @@ def _runs_of(words: np.ndarray, sizes: np.ndarray) -> Runs:
                 until[s:e][new], inside[s:e][new] = e, p
 
     held_at, held_period, held = [], [], 0
-    for at, period in _grid(text, int(sizes.max()) // 2):
+    for at, period in _grid(text, np.cumsum(text == EDGE), int(sizes.max()) // 2):
         held_at.append(at)
         held_period.append(period)
         held += len(at)
@@ -87,8 +87,9 @@ def _runs_of(words: np.ndarray, sizes: np.ndarray) -> Runs:
     return seq, start - begins[seq], end - start, np.array(list(found.values()), np.int64)
 
 
-def _grid(text: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions i, multiples of a period p, with equal words at i and i + p; periods ascend."""
+def _grid(text: np.ndarray, owner: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions i, multiples of a period p, with equal words at i and i + p of one sequence; periods
+    ascend. `owner` numbers the sequences."""
     n, p = len(text), 1
     while p <= longest:
         if p < 64:
@@ -102,7 +103,7 @@ def _grid(text: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarr
             equal = text[at] == text[at + period]
             at, period, p = at[equal], period[equal], int(periods[-1]) + 1
         if len(at):
-            enough = _enough(text, at, period)
+            enough = (owner[at] == owner[at + period]) & _enough(text, at, period)
             yield at[enough], period[enough]
 
 
