@@ -137,12 +137,15 @@ def leaves_of(docs: DataFrame) -> DataFrame:
 
 
 def ranked(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """`leaves` with rank (from 0, within their tree), n (leaves of the tree) and block (their builder),
-    staged. Rows are sorted by range, so one large tree is spread; equal rows are told apart by where they lie."""
+    """`leaves` with rank (from 0, within their tree, by `order` and then by digest), n (leaves of the
+    tree) and block (their builder), staged. Rows are sorted by range, so one large tree is spread, and
+    equal rows are told apart by where they lie. The driver gets a sample of the keys, of bounded size."""
     parts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["tree", *order, "_lies"]
-    spread = leaves.withColumn("_lies", F.monotonically_increasing_id()).repartitionByRange(parts, *keys)
-    rows = stage(spread.sortWithinPartitions(*keys).drop("_lies").withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    # sixty bits of the digest, in its order: the keys that are sampled stay short
+    keys = ["tree", *order, "_start", "_lies"]
+    leaves = leaves.withColumns({"_start": F.conv(F.substring("digest", 1, 15), 16, 10).cast("long"), "_lies": F.monotonically_increasing_id()})
+    spread = leaves.repartitionByRange(parts, *keys).sortWithinPartitions("tree", *order, "_start", "digest", "_lies")
+    rows = stage(spread.drop("_start", "_lies").withColumn("_at", F.monotonically_increasing_id()), "ranked")
     rows = rows.withColumn("_part", F.shiftright("_at", 33))
     counts = rows.groupBy("tree", "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     tree = Window.partitionBy("tree")  # one row per part of the shuffle at most
@@ -240,15 +243,18 @@ def leaf_steps(blocks: DataFrame) -> DataFrame:
     return blocks.select(*NAMES, "above").mapInArrow(read, f"tree string, rank long, steps {STEPS}")
 
 
-def with_above(low: list[DataFrame], tops: DataFrame) -> DataFrame:
+def with_above(low: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
     """The blocks of the lowest tier with `above`, the steps from their root to the last one, and the
-    other columns of `tops` (tree, above), which has one row per tree."""
+    other columns of `tops` (tree, above), which has one row per tree. Without it a tree's own root is
+    the last one."""
     out = None
     for blocks in reversed(low):
-        ended = blocks.where(F.col("n") <= SPAN).join(tops, "tree")
+        ended = blocks.where(F.col("n") <= SPAN)
+        ended = ended.join(tops, "tree") if tops is not None else ended.withColumn("above", F.array().cast(STEPS))
         if out is not None:
             steps = leaf_steps(out).withColumnRenamed("rank", "block").withColumnRenamed("steps", "above")
-            ended = ended.unionByName(blocks.where(F.col("n") > SPAN).join(steps, ["tree", "block"]).join(tops.drop("above"), "tree"))
+            lower = blocks.where(F.col("n") > SPAN).join(steps, ["tree", "block"])
+            ended = ended.unionByName(lower.join(tops.drop("above"), "tree") if tops is not None else lower)
         out = ended
     return out
 
@@ -300,15 +306,15 @@ def manifest(docs: DataFrame) -> DataFrame:
     folded_root and verified. Repeated rows are leaves of their own; no rows give no rows."""
     spark = docs.sparkSession
     folder = fresh_path(spark, "merkle")
-    leaves = stage(ranked(leaves_of(docs), ["doc_id", "digest"]), "leaves")
+    # written first: dealing by range looks at the rows twice, and no text is to be hashed twice
+    leaves = stage(ranked(stage(leaves_of(docs), "digests"), ["doc_id"]), "leaves")
     low = tiers(leaves, f"{folder}/trees")
     if not low:
         return spark.createDataFrame([], PROOFS)
     ends = [blocks.where(F.col("n") <= SPAN).select(F.lit("").alias("tree"), F.col("tree").alias("of"), F.col("top").alias("digest")) for blocks in low]
     subroots = stage(ranked(reduce(DataFrame.unionByName, ends), ["of"]), "subroots")
     high = tiers(subroots, f"{folder}/root")
-    none = spark.range(1).select(F.lit("").alias("tree"), F.array().cast(STEPS).alias("above"))
-    steps = leaf_steps(with_above(high, none)).select("rank", F.col("steps").alias("above"))
+    steps = leaf_steps(with_above(high)).select("rank", F.col("steps").alias("above"))
     root = high[-1].select("tree", F.col("top").alias("root"))
     tops = subroots.join(steps, "rank").join(root, "tree").select(F.col("of").alias("tree"), F.col("digest").alias("subroot"), "root", "above")
     return proofs(leaves, with_above(low, tops))
