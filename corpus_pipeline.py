@@ -36,7 +36,7 @@ def unlike_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents left, and where they lie in sequences of 4096 tokens."""
     # the workers hold what the stages before needed too, so they remember less text here
-    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, remembered=500_000)
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, remembered=48 << 20)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
