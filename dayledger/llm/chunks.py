@@ -1,14 +1,21 @@
 """Token ids of whole text columns, with each distinct chunk of text encoded once per batch.
 
-A chunk is a word with the space before it and the marks behind it. Cutting before a space that
-follows a visible character never changes a byte-level or word-level BPE result: no pre-token runs
-from a visible character over a space. Texts in which a cut could matter (white space other than
-single spaces and newlines, or a special token's string) are encoded whole.
+A chunk is a word with the space before it and what stands behind it up to the next space. Cutting
+before a space that follows a visible character never changes a byte-level or word-level BPE result:
+no pre-token runs from a visible character over a space. Texts in which a cut could matter (white
+space other than single spaces and newlines, or a special token's string) are encoded whole.
+
+A chunk of Latin letters, common marks and newlines alone is cut further, into words, runs of marks
+and newlines, each a pre-token of its own. What is remembered is pieces, so a word is encoded once
+whatever stands behind it, and words go to the library's model directly, without the steps that
+only find out that they are words.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
@@ -22,17 +29,27 @@ Encode = Callable[[list[str]], list[bytes]]  # texts -> their ids as unsigned 32
 WHOLE = "[\\x09\\x0b-\\x0d\\x1c-\\x1f\u0085   -     　]|  |<\\|"
 
 
-REMEMBERED = 1_000_000  # chunks, about 200 MB
-LONGEST = 64  # characters of a chunk that is remembered
+REMEMBERED = 96 << 20  # bytes, roughly, of remembered pieces and their ids
+ENTRY = 200  # bytes that an entry takes besides its characters and ids
+LONGEST = 64  # characters of a piece that is remembered
+
+# Letters that Unicode composition leaves alone and that have one lower-case letter
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+# of several newlines before a visible character the last one is a pre-token of its own
+PIECES = re.compile(f" ?[{LETTERS}]+|[.,;:!?]+|\\n+(?=\\n[^\\n])|\\n+")
+IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
 
 
 class ChunkEncoder:
-    """Encodes Arrow text columns. Ids of chunks are remembered up to `limit` chunks, then forgotten
-    all at once, so that a worker's memory stays bounded."""
+    """Encodes Arrow text columns. Pieces and their ids are remembered up to about `limit` bytes, then
+    forgotten all at once, so that a worker's memory stays bounded. `words` encodes pieces that are
+    words of LETTERS, with or without a space before; without it chunks are not cut."""
 
-    def __init__(self, encode: Encode, limit: int = REMEMBERED):
+    def __init__(self, encode: Encode, limit: int = REMEMBERED, words: Encode | None = None):
         self.encode = encode
+        self.words = words
         self.limit = limit
+        self.held = 0
         self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -48,21 +65,24 @@ class ChunkEncoder:
         words = split.flatten().dictionary_encode()
         n_words = len(words.dictionary)
         # after the words, each with its space: the first word of each text, then whole texts
-        strings = [f" {w}" for w in words.dictionary.to_pylist()]
+        strings = [f" {w}" for w in _strings(words.dictionary)]
         flat = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = first - (split.offsets[0].as_py() if len(split.offsets) else 0)
-        strings += words.dictionary.take(pa.array(flat[first])).to_pylist()
+        strings += _strings(words.dictionary.take(pa.array(flat[first])))
         flat[first] = n_words + np.arange(len(first))
-        strings += texts.filter(pa.array(whole)).to_pylist()
+        n_chunks = len(strings)
+        strings += _strings(texts.filter(pa.array(whole)))
 
         counts = np.ones(rows, np.int64)
         counts[~whole] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         of_chunk = np.empty(counts.sum(), np.int64)
         from_whole = np.repeat(whole, counts)
         of_chunk[~from_whole] = flat
-        of_chunk[from_whole] = len(strings) - whole.sum() + np.arange(whole.sum())
+        of_chunk[from_whole] = n_chunks + np.arange(whole.sum())
 
-        ids = self._ids(strings)
+        once = dict.fromkeys(strings[n_chunks:])
+        once = dict(zip(once, self.encode(list(once)) if once else [], strict=True))
+        ids = self._ids(strings[:n_chunks]) + [once[t] for t in strings[n_chunks:]]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(sizes) - sizes
         pool = np.frombuffer(b"".join(ids), np.uint32)
@@ -72,20 +92,51 @@ class ChunkEncoder:
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return out, bounds
 
-    def _ids(self, strings: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        if self.held > self.limit:
             self.known.clear()
+            self.held = 0
         known = self.known
-        out = list(map(known.get, strings))
+        out = list(map(known.get, chunks))
         new = [k for k, ids in enumerate(out) if ids is None]
-        found = dict.fromkeys(strings[k] for k in new)
-        found = dict(zip(found, self.encode(list(found)), strict=True))
+        words, rest = {}, {}
+        cut: list[tuple[int, list[str]]] = []
+        plain = []
         for k in new:
-            out[k] = found[strings[k]]
-        known.update(found if max(map(len, found), default=0) <= LONGEST else {s: i for s, i in found.items() if len(s) <= LONGEST})
+            chunk = chunks[k]
+            if self.words is None:
+                rest[chunk] = None
+            elif IS_WORD(chunk):
+                words[chunk] = None
+            else:
+                pieces = PIECES.findall(chunk)
+                if len("".join(pieces)) == len(chunk) and len(pieces) != 1:
+                    cut.append((k, pieces))
+                    for piece in pieces:
+                        if piece not in known:
+                            (words if IS_WORD(piece) else rest)[piece] = None
+                    continue
+                rest[chunk] = None  # marks alone, or other characters: not to be cut
+            plain.append(k)
+        found: dict[str, bytes] = {}
+        for some, encode in ((words, self.words), (rest, self.encode)):
+            if some:
+                found |= zip(some, encode(list(some)), strict=True)
+        for k in plain:
+            out[k] = found[chunks[k]]
+        for k, pieces in cut:
+            out[k] = b"".join([found[p] if p in found else known[p] for p in pieces])
+        if max(map(len, found), default=0) > LONGEST:
+            found = {s: i for s, i in found.items() if len(s) <= LONGEST}
+        known.update(found)
+        self.held += sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
         return out
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterable[pa.RecordBatch]:
     """The batches in pieces of about `most` bytes of the column, at least one row each."""
     for batch in batches:
@@ -117,4 +168,38 @@ def library_encoder(path: str, remembered: int = REMEMBERED) -> ChunkEncoder:
             out += [array("I", e.ids).tobytes() for e in found]
         return out
 
-    return ChunkEncoder(encode, remembered)
+    return ChunkEncoder(encode, remembered, _word_encoder(tokenizer))
+
+
+# steps before the model that words of LETTERS pass as `_word_encoder` says: byte-level BPE, and BPE of
+# lower-case words without the space before them
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLIT = [{"type": "Split", "pattern": {"Regex": PARTS}, "behavior": "Removed", "invert": True}, BYTES | {"use_regex": False}]
+
+
+def _word_encoder(tokenizer) -> Encode | None:
+    """Encodes words by the tokenizer's model alone, or nothing where the steps before it are others."""
+    steps = json.loads(tokenizer.to_str())
+    before = steps["normalizer"], steps["pre_tokenizer"]
+    lower = before == ({"type": "Sequence", "normalizers": LOWER}, {"type": "Sequence", "pretokenizers": SPLIT})
+    if steps["model"]["type"] != "BPE" or not (lower or before == (None, BYTES)):
+        return None
+    inside = re.compile(f"[ {LETTERS}.,;:!?\n]*")
+    if steps["model"].get("dropout") or any(inside.fullmatch(t["content"]) for t in steps["added_tokens"]):
+        return None
+    # bytes that byte-level BPE writes as characters from 256 on, in their order
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    spelled = [(chr(b), chr(256 + k)) for k, b in enumerate(hidden) if b == 0x20 or b >= 0x80]
+    tokenize = tokenizer.model.tokenize
+
+    def encode(words: list[str]) -> list[bytes]:
+        joined = "\n".join([w.removeprefix(" ") for w in words]).lower() if lower else "\n".join(words)
+        joined = joined.encode().decode("latin-1")
+        for byte, letter in spelled:
+            joined = joined.replace(byte, letter)
+        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in joined.split("\n")]
+
+    return encode

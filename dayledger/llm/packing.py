@@ -27,7 +27,7 @@ def pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, with_ids: bool = False, remembered: int = REMEMBERED
 ) -> DataFrame:
     """One row per piece of at most `capacity` ids of `text` and the end id. A null or empty text is
-    its end id alone. `with_ids` adds the ids. A worker remembers at most so many chunks of text.
+    its end id alone. `with_ids` adds the ids. A worker remembers about so many bytes of pieces of text.
     Other columns of `docs` are not read."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
