@@ -1,9 +1,10 @@
 """Packing of documents into training sequences by cutting-stock column generation.
 
-A document's ids are cut into full sequences and a rest. The lengths of all pieces, rounded up to a
-unit, form a histogram of at most capacity / unit sizes; the linear program over it runs on the
+A document's ids are cut into full sequences and a rest. The lengths of all pieces, rounded up a
+little, form a histogram of at most a few hundred sizes; the linear program over it runs on the
 driver and knows nothing else of the data. Its rounded patterns say how many pieces of which size
-share a sequence, and pieces are dealt to them by their rank within their size.
+share a sequence, and pieces are dealt to them by their rank within their size. What rounding adds is
+bounded by a share of all tokens: where short pieces make up much of them, sizes are finer.
 """
 
 from __future__ import annotations
@@ -53,21 +54,61 @@ def pieces(
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, unit: int = 16) -> DataFrame:
+COARSE = 16  # tokens: the widest size class
+EXACT = 128  # lengths up to it are exact where the unit is 1; classes beyond are at most a 64th of their size wide
+
+
+def size_classes(lengths: dict[int, int], capacity: int, rounding: float) -> list[tuple[int, int]]:
+    """(longest length, width) of ranges of lengths: a length is rounded up to a multiple of its range's
+    width. The unit, the least width, is the largest power of two up to COARSE by which rounding adds at
+    most `rounding` of all tokens."""
+    total = sum(length * n for length, n in lengths.items())
+    unit = COARSE
+    while True:
+        ranges = []
+        width = unit
+        while width < COARSE and EXACT * width < capacity:
+            ranges.append((EXACT * width, width))
+            width *= 2
+        ranges.append((capacity, width))
+        added = sum((rounded(length, ranges, capacity) - length) * n for length, n in lengths.items())
+        if unit == 1 or added <= rounding * total:
+            return ranges
+        unit //= 2
+
+
+def rounded(length: int, ranges: list[tuple[int, int]], capacity: int) -> int:
+    width = next(w for longest, w in ranges if length <= longest)
+    return min(capacity, -(-length // width) * width)
+
+
+def pack(pieces: DataFrame, capacity: int = 4096, rounding: float = 0.005) -> DataFrame:
     """`pieces` with sequence_id, offset and padded_length.
 
-    `pieces` needs doc_id, start and length (1 to `capacity`), and is read three times: stage it.
+    `pieces` needs doc_id, start and length (1 to `capacity`), and is read four times: stage it.
     Offsets are gapless from 0. A sequence is padded to `capacity`, or not at all where it holds a
-    power of two of ids. Repeated rows are pieces of their own. No pieces give no rows.
+    power of two of ids. Repeated rows are pieces of their own. No pieces give no rows. Rounding lengths
+    adds at most about `rounding` of all tokens to the sequences that are needed.
     """
     spark = pieces.sparkSession
     parts = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a row per length that occurs, `capacity` at most
+    lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    ranges = size_classes(lengths, capacity, rounding)
+    unit = ranges[0][1]
+    width = F.lit(ranges[-1][1])
+    for longest, w in ranges[-2::-1]:
+        width = F.when(F.col("length") <= longest, w).otherwise(width)
+    size = F.least(F.lit(capacity // unit), F.ceil(F.col("length") / width) * width / unit).cast("int")
     sized = pieces.withColumns({
-        "_size": F.ceil(F.col("length") / unit).cast("int"),
+        "_size": size,
         "_part": F.pmod(F.xxhash64("doc_id", "start", "length"), F.lit(parts)).cast("int"),
     })
     counts = sized.groupBy("_size", "_part").agg(F.count("*").alias("_n"))
-    histogram = {r["_size"]: r["n"] for r in counts.groupBy("_size").agg(F.sum("_n").alias("n")).collect()}
+    histogram: dict[int, int] = {}
+    for length, n in lengths.items():
+        at = min(capacity // unit, rounded(length, ranges, capacity) // unit)
+        histogram[at] = histogram.get(at, 0) + n
     slots = spark.createDataFrame(
         _slots(cutting_stock(histogram, capacity // unit)),
         "_size int, _from long, _to long, _copies long, _first long, _at long",

@@ -1,14 +1,16 @@
 """Re-Pair grammar compression of token ids, and the shard files that hold it.
 
-Frequent neighbouring ids are replaced by nonterminals, round after round; a round replaces many
-pairs at once, leftmost first where they overlap, and none across a document's end. A shard file
+Frequent neighbouring ids are replaced by nonterminals, round after round, until no pair occurs LEAST
+times in the shard; a round replaces many pairs at once, leftmost first where they overlap, and none
+across a document's end. So a passage that many documents of a shard share ends as one symbol in each. A shard file
 holds the rules, how many ids each expands to, and where each document starts, so that any document,
 or any range of ids in one, is decoded without the rest.
 
 Layout, little-endian: `RPR1`, then unsigned 64-bit counts of documents, rules, symbols and
 terminals, then arrays: document ids (int64; a null id is the smallest int64), first symbol of each
-document and the end (int64), ids of each document (int64), rules (two uint32 each), expansion lengths (uint32), symbols (uint16 if
-all fit, else uint32).
+document and the end (int64), ids of each document (int64), expansion lengths (uint32), rules (two
+symbols each), symbols. A symbol has as many bits as the largest needs, one behind the other, lowest
+bit first; rules and symbols begin with a byte each.
 """
 
 from __future__ import annotations
@@ -29,69 +31,75 @@ from dayledger.sinks.staging import fresh_path, stage
 
 MAGIC = b"RPR1"
 NULL_ID = np.iinfo(np.int64).min
-ROUNDS = 6
 LEAST = 16  # times a pair must occur in the shard
+BITS = 17  # of the table of pairs
+SHORT = 64  # ids of a rule that is expanded by a table
 SHARD_IDS = 1 << 21
 
 
 def compress(ids: np.ndarray, bounds: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (pairs) and the documents' bounds among the symbols."""
-    narrow = terminals < 1 << 16
-    room = (1 << 16) - terminals if narrow else 1 << 16
-    pair = np.uint32 if narrow else np.uint64  # a pair in one number: the left symbol in the upper half
-    half = pair(16 if narrow else 32)
-    seq, bounds = ids.astype(pair), bounds.astype(np.int64)
-    rules = np.empty((0, 2), np.uint32)
-    for _ in range(ROUNDS):
-        if len(seq) < 2 or len(rules) >= room:
-            break
-        pairs = (seq[:-1] << half) | seq[1:]
-        inside = np.ones(len(pairs), bool)
-        inside[bounds[(bounds > 0) & (bounds < len(seq))] - 1] = False
-        chosen = _frequent(pairs[inside], room - len(rules))
-        if not len(chosen):
-            break
-        at, which = _occurrences(pairs, inside, chosen)
+    seq, bounds = ids.astype(np.uint32), bounds.astype(np.int64)
+    rules: list[np.ndarray] = []
+    names, fresh = terminals, 0
+    waiting = np.zeros(1 << BITS, bool)  # slots of frequent pairs that were not replaced everywhere
+    while len(seq) > 1:
+        ends = bounds[(bounds > 0) & (bounds < len(seq))] - 1
+        inside = np.ones(len(seq) - 1, bool)
+        inside[ends] = False
+        if rules:
+            # only pairs with a new symbol can have become frequent; of the others some wait
+            new = seq >= fresh
+            inside &= new[:-1] | new[1:] | waiting[_slot(seq[:-1], seq[1:])]
+        at = np.flatnonzero(inside)
+        # a pair in one number, the left symbol in the upper half; wider once 16 bits do not hold a symbol
+        pair, half = (np.uint32, np.uint32(16)) if names <= 1 << 16 else (np.uint64, np.uint64(32))
+        pairs = (seq[at].astype(pair) << half) | seq[at + 1].astype(pair)
+        chosen = _frequent(pairs)
+        left, right = (chosen >> half).astype(np.uint32), (chosen & ((pair(1) << half) - pair(1))).astype(np.uint32)
+        slots = _slot(left, right)
+        at, which = _occurrences(at, _slot(seq[at], seq[at + 1]), pairs, chosen, slots)
+        often = np.bincount(which, minlength=len(chosen)) > 1  # the others met pairs before them
+        at, which = at[often[which]], which[often[which]]
         if not len(at):
             break
-        used = np.flatnonzero(np.bincount(which, minlength=len(chosen)))
-        number = np.zeros(len(chosen), pair)
-        number[used] = terminals + len(rules) + np.arange(len(used))
+        waiting[:] = False
+        waiting[slots] = True
+        used = np.flatnonzero(often)
+        number = np.zeros(len(chosen), np.uint32)
+        number[used] = names + np.arange(len(used))
+        fresh, names = names, names + len(used)
         seq[at] = number[which]
-        left, right = chosen[used] >> half, chosen[used] & ((pair(1) << half) - pair(1))
-        rules = np.vstack([rules, np.stack([left, right], 1).astype(np.uint32)])
+        rules.append(np.stack([left[used], right[used]], 1))
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         bounds = bounds - np.searchsorted(at + 1, bounds)
         seq = seq[keep]
-    return seq.astype(np.uint32), rules, bounds
+    return seq, np.concatenate([np.empty((0, 2), np.uint32), *rules]), bounds
+
 
+def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)
 
-def _frequent(pairs: np.ndarray, most: int) -> np.ndarray:
-    """The most frequent pairs that occur often enough, ascending."""
+
+def _frequent(pairs: np.ndarray) -> np.ndarray:
+    """The pairs that occur often enough, ascending."""
     if not len(pairs):
         return pairs
     ordered = np.sort(pairs)
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
-    often = counts >= LEAST
-    values, counts = ordered[starts[often]], counts[often]
-    share = -(-most // 2)  # the next rounds find longer pairs with what is left
-    if len(values) > share:
-        values = np.sort(values[np.argsort(-counts, kind="stable")[:share]])
-    return values
-
-
-def _occurrences(pairs: np.ndarray, inside: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the chosen pairs are replaced, without overlaps, and which pair it is."""
-    bits, kind = 17, pairs.dtype.type
-    mix, shift = (kind(0x9E3779B1), kind(32 - bits)) if kind is np.uint32 else (kind(0x9E3779B97F4A7C15), kind(64 - bits))
-    table = np.full(1 << bits, -1, np.int32)
-    table[(chosen * mix) >> shift] = np.arange(len(chosen), dtype=np.int32)
-    which = table[(pairs * mix) >> shift]
-    at = np.flatnonzero((which >= 0) & inside)
-    which = which[at]
-    same = chosen[which] == pairs[at]  # a pair that lost its place in the table waits a round
+    return ordered[starts[counts >= LEAST]]
+
+
+def _occurrences(at: np.ndarray, slot: np.ndarray, pairs: np.ndarray, chosen: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the places `at` are replaced, without overlaps, and by which pair of `chosen`."""
+    if not len(chosen):
+        return at[:0], at[:0]
+    table = np.full(1 << BITS, -1, np.int32)
+    table[slots] = np.arange(len(chosen), dtype=np.int32)
+    which = table[slot]
+    same = (which >= 0) & (chosen[which] == pairs)  # a pair that lost its slot waits a round
     at, which = at[same], which[same]
     if not len(at):
         return at, which
@@ -101,42 +109,79 @@ def _occurrences(pairs: np.ndarray, inside: np.ndarray, chosen: np.ndarray) -> t
     return at[first], which[first]
 
 
-def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths of what each rule stands for, and all of it one after the other."""
-    lengths = np.empty(len(rules), np.int64)
-    texts: list[np.ndarray] = []
-    for k, (left, right) in enumerate(rules.astype(np.int64).tolist()):
-        both = [np.array([s], np.uint32) if s < terminals else texts[s - terminals] for s in (left, right)]
-        texts.append(np.concatenate(both))
-        lengths[k] = len(texts[-1])
-    return lengths, np.concatenate(texts) if texts else np.empty(0, np.uint32)
-
-
-def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
-    """The ids the symbols stand for."""
-    lengths, flat = expansions(rules, terminals)
-    starts = np.cumsum(lengths) - lengths
-    symbols = symbols.astype(np.int64)
-    is_rule = symbols >= terminals
-    rule = symbols[is_rule] - terminals
-    taken = np.ones(len(symbols), np.int64)
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int) -> np.ndarray:
+    """The ids the symbols stand for. `lengths`: of what each rule stands for."""
+    seq = symbols.astype(np.int64)
+    long = np.concatenate((np.zeros(terminals, bool), lengths > SHORT))
+    while True:  # long rules give way to their pairs, level by level
+        is_long = long[seq]
+        if not is_long.any():
+            break
+        at = np.arange(len(seq)) + np.cumsum(is_long) - is_long
+        pairs = rules[seq[is_long] - terminals].astype(np.int64)
+        out = np.empty(len(seq) + len(pairs), np.int64)
+        out[at] = seq
+        out[at[is_long]], out[at[is_long] + 1] = pairs[:, 0], pairs[:, 1]
+        seq = out
+    starts, flat = _short_rules(rules, lengths, terminals)
+    is_rule = seq >= terminals
+    rule = seq[is_rule] - terminals
+    taken = np.ones(len(seq), np.int64)
     taken[is_rule] = lengths[rule]
     ends = np.cumsum(taken)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-    out[ends[~is_rule] - 1] = symbols[~is_rule]
+    out[ends[~is_rule] - 1] = seq[~is_rule]
     sizes = lengths[rule]
     within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out[np.repeat(ends[is_rule] - sizes, sizes) + within] = flat[np.repeat(starts[rule], sizes) + within]
     return out
 
 
+def _short_rules(rules: np.ndarray, lengths: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
+    """What rules of at most SHORT ids stand for, one after the other, and where each begins."""
+    short = lengths <= SHORT
+    texts: list[np.ndarray | None] = []
+    for (left, right), some in zip(rules.tolist(), short.tolist(), strict=True):
+        both = [np.array([s], np.uint32) if s < terminals else texts[s - terminals] for s in (left, right)] if some else None
+        texts.append(np.concatenate(both) if both else None)
+    sizes = np.where(short, lengths, 0)
+    kept = [t for t in texts if t is not None]
+    return np.cumsum(sizes) - sizes, np.concatenate(kept) if kept else np.empty(0, np.uint32)
+
+
+def packed(symbols: np.ndarray, bits: int) -> bytes:
+    """Numbers of so many bits, one behind the other."""
+    if bits == 16:
+        return symbols.astype("<u2").tobytes()
+    out = np.zeros(-(-len(symbols) // 8) * 8, np.uint32)
+    out[: len(symbols)] = symbols
+    spread = (out[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
+    return np.packbits(spread.astype(np.uint8).ravel(), bitorder="little").tobytes()[: -(-len(symbols) * bits // 8)]
+
+
+def unpacked(data: bytes, bits: int, first: int, n: int) -> np.ndarray:
+    """`n` numbers out of packed ones; `first` bits of the first byte are not theirs."""
+    raw = np.zeros(len(data) + 8, np.uint8)
+    raw[: len(data)] = np.frombuffer(data, np.uint8)
+    at = first + bits * np.arange(n)
+    byte, shift = at >> 3, (at & 7).astype(np.uint64)
+    word = np.zeros(n, np.uint64)
+    for k in range((bits + 14) // 8):
+        word |= raw[byte + k].astype(np.uint64) << np.uint64(8 * k)
+    return ((word >> shift) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+
+
+def symbol_bits(names: int) -> int:
+    return max(1, (names - 1).bit_length())
+
+
 def shard_bytes(doc_ids: np.ndarray, ids: np.ndarray, bounds: np.ndarray, terminals: int) -> bytes:
     symbols, rules, first = compress(ids, bounds, terminals)
     lengths = _rule_lengths(rules, terminals)
-    wide = "<u2" if terminals + len(rules) <= 1 << 16 else "<u4"
+    bits = symbol_bits(terminals + len(rules))
     head = MAGIC + struct.pack("<4Q", len(doc_ids), len(rules), len(symbols), terminals)
-    arrays = (doc_ids.astype("<i8"), first.astype("<i8"), np.diff(bounds).astype("<i8"), rules.astype("<u4"), lengths.astype("<u4"), symbols.astype(wide))
-    return head + b"".join(a.tobytes() for a in arrays)
+    arrays = (doc_ids.astype("<i8"), first.astype("<i8"), np.diff(bounds).astype("<i8"), lengths.astype("<u4"))
+    return head + b"".join(a.tobytes() for a in arrays) + packed(rules.ravel(), bits) + packed(symbols, bits)
 
 
 def _rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
@@ -158,10 +203,11 @@ class Shard:
         self.doc_ids = self._array("<i8", docs)
         self.first = self._array("<i8", docs + 1)
         self.sizes = self._array("<i8", docs)
-        self.rules = self._array("<u4", 2 * rules).reshape(-1, 2)
         self.lengths = self._array("<u4", rules).astype(np.int64)
-        self.wide = np.dtype("<u2" if self.terminals + rules <= 1 << 16 else "<u4")
+        self.bits = symbol_bits(self.terminals + rules)
         self.at = file.tell()
+        self.rules = self._numbers(0, 2 * rules).reshape(-1, 2)
+        self.at += -(-2 * rules * self.bits // 8)
         if self.first[-1] != self.n_symbols:
             raise ValueError("documents do not end where the symbols do")
 
@@ -171,13 +217,20 @@ class Shard:
             raise ValueError("shard file is cut off")
         return np.frombuffer(data, kind)
 
+    def _numbers(self, start: int, end: int) -> np.ndarray:
+        first, last = start * self.bits // 8, -(-end * self.bits // 8)
+        self.file.seek(self.at + first)
+        data = self.file.read(last - first)
+        if len(data) != last - first:
+            raise ValueError("shard file is cut off")
+        return unpacked(data, self.bits, start * self.bits - 8 * first, end - start)
+
     def symbols(self, start: int, end: int) -> np.ndarray:
-        self.file.seek(self.at + start * self.wide.itemsize)
-        return self._array(self.wide.str, end - start)
+        return self._numbers(start, end)
 
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the documents' bounds."""
-        ids = expand(self.symbols(0, self.n_symbols), self.rules, self.terminals)
+        ids = expand(self.symbols(0, self.n_symbols), self.rules, self.lengths, self.terminals)
         bounds = np.concatenate(([0], np.cumsum(self.sizes)))
         if len(ids) != bounds[-1]:
             raise ValueError("symbols do not expand to the stated ids")
@@ -243,9 +296,11 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, termin
             yield close()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # by range, as many parts as the session shuffles into; equal ids stay together
+    # by range, as many parts as the session shuffles into; rows of one id, or without one, may be many,
+    # and lie in several parts by where they were read
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    spread = texts.withColumn("lies", F.monotonically_increasing_id()).repartitionByRange(n, "doc_id", "lies")
+    ordered = spread.sortWithinPartitions("doc_id", "lies").select("doc_id", "text")
     return ordered.mapInArrow(write, "path string, part int, shard int, n_docs long, n_tokens long, bytes long")
 
 

@@ -14,9 +14,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import ODD, documents, prose
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
-from dayledger.llm import bpe, packing, patterns, repair, token_counts
+from dayledger.llm import bpe, chunks, packing, patterns, repair, token_counts
 from dayledger.llm.chunks import library_encoder, sliced
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,30 @@ def test_ranks_are_merged_as_tiktoken_does(tik, texts):
     assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [tik.encode_ordinary(t) for t in texts]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_every_letter_of_the_fast_path(path):
+    encode = library_encoder(path)
+    assert encode.words is not None
+    letters = [chr(c) for c in range(0x41, 0x250) if chunks.IS_WORD(chr(c))]
+    texts = [f"{a}{c}{b}" for c in letters for a in ("", "a", " b ", "x.") for b in ("", "a", ".\n", "B c", "\u0301", "'s")]
+    texts += ["", " ", ".", " .", "a\n\n\nb", "a.\n\n b", "\n", "a \nb", "\u00dfa \u00df", "x" * 3000, "a" + "." * 70 + "\n" * 70 + "b"]
+    for limit in (0, chunks.REMEMBERED):  # with nothing remembered from the first batch, too
+        encode.limit = limit
+        for _ in range(2):
+            flat, bounds = encode(pa.array(texts))
+            assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == library(path, texts)
+    encode.limit = chunks.REMEMBERED
+
+
+def test_other_tokenizers_are_left_to_the_library():
+    tokenizer = Tokenizer.from_file(BYTE)
+    tokenizer.add_tokens(["ing"])
+    assert chunks._word_encoder(tokenizer) is None
+    tokenizer = Tokenizer.from_file(BYTE)
+    tokenizer.normalizer = normalizers.StripAccents()
+    assert chunks._word_encoder(tokenizer) is None
+
+
 def test_a_word_longer_than_any_class(tik):
     word = ("thequickbrown" * 700).encode()
     assert np.frombuffer(bpe.load_ranks(MULTI).encode_words([word])[0], np.uint32).tolist() == tik.encode_ordinary(word.decode())
@@ -142,7 +166,7 @@ def test_packing_of_odd_rows(spark):
 def test_packing_pads_little_and_sequences_hold_the_ids(spark):
     texts = [(i, prose(5 + i * 37 % 400, i)) for i in range(600)]
     docs = documents(spark, texts)
-    packed = packing.pack(packing.pieces(docs, WORD, 2, 512, with_ids=True).cache(), 512, unit=4)
+    packed = packing.pack(packing.pieces(docs, WORD, 2, 512, with_ids=True).cache(), 512)
     rows = packed.collect()
     assert check_packing(rows, texts, 512) < 0.03
     first = packing.sequences(packed).orderBy("sequence_id").first()
@@ -150,6 +174,28 @@ def test_packing_pads_little_and_sequences_hold_the_ids(spark):
     assert first["ids"] == [i for r in mine for i in r["ids"]]
 
 
+@pytest.mark.parametrize("lengths", [[3], [10], [17], [40], [100], range(3, 63), [*range(3, 100), 4096, 2500, 700], [1]])
+def test_short_pieces_are_padded_little(spark, lengths):
+    n = 9_000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.get(F.array(*map(F.lit, lengths)), (F.col("id") % len(lengths)).cast("int")).cast("long").alias("length"))
+    packed = packing.pack(rows)
+    used = packed.groupBy("sequence_id", "padded_length").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["n"] == r["end"] <= r["padded_length"] for r in used) and packed.count() == n
+    full = [r for r in used if r["sequence_id"] != max(u["sequence_id"] for u in used)]
+    assert sum(r["padded_length"] - r["n"] for r in full) <= 0.03 * sum(r["n"] for r in full)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 4096), st.integers(1, 1000), min_size=1, max_size=60))
+def test_rounding_adds_little(lengths):
+    ranges = packing.size_classes(lengths, 4096, 0.005)
+    unit = ranges[0][1]
+    up = {n: packing.rounded(n, ranges, 4096) for n in lengths}
+    assert all(n <= r <= 4096 and r % unit == 0 for n, r in up.items())
+    added, total = sum((up[n] - n) * k for n, k in lengths.items()), sum(n * k for n, k in lengths.items())
+    assert added <= (0.005 if unit > 1 else 2 / packing.EXACT) * total
+
+
 def test_tables_without_rows(spark, tmp_path):
     none = documents(spark, [])
     assert packing.packed_documents(none, WORD, 2).count() == 0
@@ -201,6 +247,43 @@ def test_repeated_pairs_become_few_symbols():
     assert len(data) < 2 * len(ids) / 7
 
 
+def test_a_passage_of_many_documents_becomes_one_symbol_in_each():
+    passage = np.random.default_rng(1).integers(0, 50257, 2000).astype(np.uint32)
+    ids, bounds = np.tile(passage, 500), np.arange(501) * 2000
+    shard = repair.Shard(io.BytesIO(repair.shard_bytes(np.arange(500), ids, bounds, 50257)))
+    assert shard.n_symbols == 500 and (shard.documents()[0] == ids).all() and shard.ids(3, 700, 900).tolist() == passage[700:900].tolist()
+    one = repair.Shard(io.BytesIO(repair.shard_bytes(np.array([1]), np.zeros(100_000, np.uint32), np.array([0, 100_000]), 50257)))
+    assert one.n_symbols < 32 and not one.documents()[0].any()
+
+
+def test_no_frequent_pair_is_left_and_rules_outgrow_sixteen_bits():
+    rng = np.random.default_rng(2)
+    ids = (rng.zipf(1.2, 400_000) % 65_000).astype(np.uint32)
+    bounds = np.sort(np.concatenate(([0, len(ids)], rng.integers(0, len(ids), 500))))
+    symbols, rules, first = repair.compress(ids, bounds, 65_000)
+    assert 65_000 + len(rules) > 1 << 16
+    pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    inside = np.ones(len(pairs), bool)
+    inside[first[(first > 0) & (first < len(symbols))] - 1] = False
+    _, counts = np.unique(pairs[inside], return_counts=True)
+    # a run of one symbol overlaps itself: the count of such a pair may be twice what can be replaced
+    assert (counts >= 2 * repair.LEAST).sum() == 0 and (counts >= repair.LEAST).sum() <= 5
+    shard = repair.Shard(io.BytesIO(repair.shard_bytes(np.arange(len(bounds) - 1), ids, bounds, 65_000)))
+    assert shard.bits == 17 and (shard.documents()[0] == ids).all()
+    assert shard.ids(7).tolist() == ids[bounds[7] : bounds[8]].tolist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=40), st.data())
+def test_packed_numbers(bits, numbers, data):
+    numbers = np.array([n % (1 << bits) for n in numbers], np.uint32)
+    raw = repair.packed(numbers, bits)
+    a = data.draw(st.integers(0, len(numbers)))
+    b = data.draw(st.integers(a, len(numbers)))
+    start = a * bits // 8
+    assert repair.unpacked(raw[start : -(-b * bits // 8)], bits, a * bits - 8 * start, b - a).tolist() == numbers[a:b].tolist()
+
+
 def test_token_archive_of_odd_rows(spark):
     rows = repair.token_archive(documents(spark), BYTE, 0, 50257).collect()
     ids = {}
