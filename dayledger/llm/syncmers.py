@@ -2,8 +2,10 @@
 
 A k-mer of units (words, or characters of short texts and of texts without spaces) is an anchor if
 the least hash among its inner substrings stands first or last. That depends on the k-mer alone, so
-equal passages have equal anchors wherever they stand. A fingerprint holds all anchor hashes, each with
-the place it has first, and so grows with the text; likeness counts the shared anchors shifted like a neighbour of theirs.
+equal passages have equal anchors wherever they stand. A fingerprint holds all anchors with their
+places, and so grows with the text; likeness counts the shared anchors shifted like a neighbour of
+theirs. An anchor that a text has several times counts as often: the second is told from the first, the
+third from both, and the n-th of one text is compared with the n-th of the other.
 """
 
 from __future__ import annotations
@@ -14,11 +16,10 @@ from pyspark.sql import functions as F
 from dayledger.operators.sizing import checked_broadcast
 from dayledger.sinks.staging import stage
 
-KEPT = None  # anchors in a fingerprint: no bound, all of them
 DRIFT = 32  # units by which a matching anchor may be shifted against the one before or behind it
 SHORT, LONG = 300, 600  # characters: words count above the first, characters up to the second
 UNSPACED = 16  # characters a word, above which the text is taken by characters too
-WORDS, CHARACTERS = (2, 4), (2, 3)  # units in an inner substring, inner substrings in a k-mer
+WORDS, CHARACTERS = (2, 4), (4, 12)  # units in an inner substring, inner substrings in a k-mer
 BUCKET_BITS = 8  # a range holds 256 ids
 
 
@@ -57,20 +58,33 @@ def _anchors(df: DataFrame, units: str, text: str, inner: int, wide: int, out: s
         whole = F.xxhash64(*hashes[::inner], hashes[-1])
         return F.when(hashes[-1].isNotNull() & at_edge, whole.bitwiseAND(_bits(HASH)).bitwiseOR((i + 1).cast("long")))
 
-    # hash and place in one number: sorted, the first place of a hash stands before its others
+    # hash and place in one number: sorted, the places of one hash stand together
     df = df.withColumn(steps["sorted"], F.sort_array(F.array_compact(F.transform(zipped, anchor))))
-    low = F.zip_with(
-        F.col(steps["sorted"]), F.concat(F.array(F.lit(None).cast("long")), steps["sorted"]),
-        lambda x, before: F.when(before.isNull() | (F.shiftright(x, 32) != F.shiftright(before, 32)), x))
+    # the how-manieth of its hash each is: equal ones stand together, so they are found by halving
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(PLACE_BITS))])
+
+    def same(x: Column, i: Column) -> Column:
+        return F.coalesce(F.shiftright(F.get(steps["sorted"], i), 32) == F.shiftright(x, 32), F.lit(False))
+
+    def before(x: Column, i: Column) -> Column:
+        count = F.aggregate(halves, F.lit(0), lambda n, half: n + F.when(same(x, i - n - half), half).otherwise(0))
+        return F.when(same(x, i - 1), count).otherwise(0)
+
+    def numbered(x: Column, n: Column) -> Column:
+        again = F.xxhash64(F.shiftright(x, 32), n).bitwiseAND(_bits(HASH)).bitwiseOR(x.bitwiseAND(_bits(PLACE)))
+        return F.when(n == 0, x).otherwise(again)
+
+    each = F.zip_with(steps["sorted"], F.transform(steps["sorted"], before), numbered)
     # a text too short for a syncmer is one anchor as a whole
     alone = F.array(F.xxhash64(text).bitwiseAND(_bits(HASH)))
-    df = df.withColumn(steps["first"], F.when(F.size(steps["sorted"]) > 0, F.array_compact(low)).when(F.col(units).isNotNull(), alone))
+    df = df.withColumn(steps["first"], F.when(F.size(steps["sorted"]) > 0, each).when(F.col(units).isNotNull(), alone))
     return df.withColumns({
         out: F.transform(steps["first"], lambda x: F.shiftright(x, 32).cast("int")),
         f"{out}p": F.transform(steps["first"], lambda x: x.bitwiseAND(_bits(PLACE)).cast("int")),
     }).drop(*steps.values())
 
 
+PLACE_BITS = 31
 HASH, PLACE = -1 << 32, (1 << 32) - 1  # the halves of a number that holds both
 
 
@@ -83,12 +97,17 @@ def _from(array: str, start: int) -> Column:
 
 
 def fingerprint(name: str) -> Column:
-    """The fingerprint as text: hash and place of each anchor, in hexadecimal."""
+    """The fingerprint as text: for each unit its letter, the anchors' hashes in the order of their places
+    in base64, and a hexadecimal digit for how far each place is from the one before. That is less than
+    `wide`: of as many k-mers in a row one is an anchor."""
 
     def part(unit: str) -> Column:
-        spelled = F.zip_with(f"{name}_{unit}", f"{name}_{unit}p", lambda h, p: F.concat(
-            F.lower(F.hex(h.cast("long").bitwiseAND(_bits(PLACE)))), F.lit("@"), F.lower(F.hex(p))))
-        return F.when(F.col(f"{name}_{unit}").isNotNull(), F.concat(F.lit(f"{unit}:"), F.array_join(spelled, ",")))
+        placed = F.array_sort(F.zip_with(f"{name}_{unit}p", f"{name}_{unit}", lambda p, h: F.shiftleft(p.cast("long"), 32).bitwiseOR(
+            h.cast("long").bitwiseAND(_bits(PLACE)))))
+        hashes = F.transform(placed, lambda x: F.lpad(F.hex(x.bitwiseAND(_bits(PLACE))), 8, "0"))
+        steps = F.zip_with(placed, F.concat(F.array(F.lit(0).cast("long")), placed), lambda x, y: F.lower(F.hex(F.shiftright(x, 32) - F.shiftright(y, 32))))
+        return F.when(F.col(f"{name}_{unit}").isNotNull(), F.concat(
+            F.lit(f"{unit}:"), F.base64(F.unhex(F.array_join(hashes, ""))), F.lit(":"), F.array_join(steps, "")))
 
     return F.concat_ws(";", part("w"), part("c"))
 
@@ -100,7 +119,7 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
     A shared anchor is at a matching place if it is shifted like the shared anchor before or behind it,
     within DRIFT units: what is inserted or removed elsewhere does not matter, nor does a passage that
-    moved as a whole. A single shared anchor matches. As in `_anchors`, arrays are columns read twice."""
+    moved as a whole. The only shared anchor matches. As in `_anchors`, arrays are columns read twice."""
     steps = [f"_{out}_{step}" for step in ("both", "shared", "shifts", "agree")]
     both, shared, shifts, agree = steps
 
@@ -125,7 +144,7 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     df = df.withColumn(agree, F.zip_with(shifts, _from(shifts, 1), lambda x, y: F.abs(x - y) <= DRIFT))
     # of shared anchors, those that agree with the one before or behind; the last has none behind
     in_place = F.size(F.filter(F.zip_with(F.concat(F.array(F.lit(False)), agree), agree, lambda x, y: x | y), lambda x: x))
-    n = F.when(F.size(agree) > 0, F.greatest(in_place, F.lit(1))).otherwise(F.lit(0))
+    n = F.when(F.size(shared) == 1, F.lit(1)).otherwise(in_place)
     together = F.size(both) - F.size(shared)
     return df.withColumn(out, F.when(together > 0, n / together).otherwise(F.lit(0.0))).drop(*steps)
 
