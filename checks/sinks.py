@@ -1,5 +1,6 @@
 """Sinks, staging, retention and layout. Writing queries use a fresh folder each time."""
 
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import functions as F
@@ -11,11 +12,17 @@ from dayledger.operators import by_column, narrow, persisted, rebalance, to_n
 from dayledger.plans import monthly_apply_count, order_core, order_material_detail
 from dayledger.plans.schemas import APPLY_COUNT
 from dayledger.sinks import (
+    AuditFailed,
     TableSpec,
     append_partition,
+    drop_expired_path,
     ensure_table,
     expired_partitions,
+    figure_rows,
+    observed_sources,
+    publish_partition,
     stage,
+    write_audited,
     write_partition,
     write_partitions,
 )
@@ -86,6 +93,63 @@ def sink_append_partition(t: Tables):
     return read_path(t.spark, LINES, path)
 
 
+@query("""SELECT l_orderkey, l_partkey, l_quantity, '19980630' AS ds, 'returned' AS run FROM lineitem WHERE l_returnflag = 'R'
+          UNION ALL
+          SELECT l_orderkey, l_partkey, l_quantity, '19980630', 'others' FROM lineitem WHERE l_returnflag <> 'R'""")
+def sink_append_runs(t: Tables):
+    """Two runs add to a day; the first is tried twice, the first time with half its rows."""
+    path, spec = fresh_path(t.spark, "runs"), replace(LINES, by_run=True)
+    returned = t.lineitem.where("l_returnflag = 'R'")
+    append_partition(returned.where("l_orderkey % 2 = 0"), spec, RUN.ds, path, token="returned")
+    append_partition(t.lineitem.where("l_returnflag <> 'R'"), spec, RUN.ds, path, token="others")
+    append_partition(returned, spec, RUN.ds, path, token="returned")
+    return read_path(t.spark, spec, path)
+
+
+@query("""SELECT l_orderkey, l_partkey, l_quantity, '19980629' AS ds FROM lineitem WHERE l_returnflag = 'R'
+          UNION ALL
+          SELECT l_orderkey, l_partkey, l_quantity, '19980630' FROM lineitem WHERE l_returnflag = 'A'""")
+def sink_publish_partition(t: Tables):
+    """Days are shown when their figures pass; a day that fails leaves the one before in its place."""
+    spec = LINES.named(f"lines_{uuid4().hex}")
+    ensure_table(t.spark, spec, fresh_path(t.spark, "table"))
+    some = {"some rows": lambda f: f["record_count"] > 0, "keys": lambda f: f["null_l_orderkey_count"] == 0}
+    for ds, flag in ((RUN.prev_day, "R"), (RUN.ds, "N"), (RUN.ds, "A"), (RUN.ds, "none")):
+        rows = t.lineitem.where(F.col("l_returnflag") == flag)
+        try:
+            publish_partition(rows, spec, ds, some, nulls=["l_orderkey"])
+        except AuditFailed:
+            if flag != "none":
+                raise
+    return t.spark.table(spec.name)
+
+
+@query("""SELECT 'record_count' AS metric, count(*) AS value FROM lineitem
+          UNION ALL SELECT 'null_l_partkey_count', count(*) FILTER (l_partkey IS NULL) FROM lineitem
+          UNION ALL SELECT 'null_flag_count', count(*) FILTER (l_returnflag = 'N') FROM lineitem
+          UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lines', count(*) FROM lineitem""")
+def audit_in_write(t: Tables):
+    """Source counts, result count and NULL counts, all gathered while the day is written."""
+    own = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    spec = TableSpec("flags", T.StructType([*LINES.schema.fields[:2], column("flag", T.StringType())]))
+    sources, counted = observed_sources({"lines": t.lineitem, "orders": t.orders})
+    rows = sources["lines"].select("l_orderkey", "l_partkey", own).join(
+        sources["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey", "full_outer")
+    rows = rows.where("l_partkey IS NOT NULL")
+    figures = write_audited(rows, spec, RUN.ds, fresh_path(t.spark, "audited"), nulls=["l_partkey", "flag"])
+    return figure_rows(t.spark, spec, RUN.ds, figures | counted()).select("metric", "value")
+
+
+@query("""SELECT l_orderkey, l_partkey, l_quantity, ds
+          FROM lineitem, (VALUES ('19980623'), ('19980630')) AS days(ds) WHERE l_returnflag = 'R'""")
+def retention_path(t: Tables):
+    path = fresh_path(t.spark, "expiring")
+    for ds in ("19980101", "19980622", "19980623", RUN.ds):
+        write_partition(t.lineitem.where("l_returnflag = 'R'"), LINES, ds, path)
+    drop_expired_path(t.spark, path, RUN, 7)
+    return read_path(t.spark, LINES, path)
+
+
 @query(roles.ORDER_MATERIAL_SQL + " SELECT * FROM order_material_detail")
 def staged_result(t: Tables):
     catalog = roles.order_material(t)

@@ -30,9 +30,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     target.add_argument("--into", help="target table; by default the job's own name for it")
     target.add_argument("--path", help="target directory instead of a table")
     parser.add_argument("--append", action="store_true", help="add to the day instead of replacing it")
+    parser.add_argument("--token", help="name of the run, the same when it is tried again, where days are made of runs")
     parser.add_argument("--shuffle-gb", type=float, help="size of the job's largest shuffle; by default told from its largest table's day")
     parser.add_argument("--time-zone", help="zone of days and months, where the session has none set")
-    parser.add_argument("--expire", action="store_true", help="drop days past the table's retention afterwards")
+    parser.add_argument("--expire", action="store_true", help="drop days past the retention afterwards")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"{args.job} {args.ds.ds}").getOrCreate()
@@ -47,7 +48,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     spec = JOBS[args.job].spec
     spec = spec.named(args.into) if args.into else spec
-    run_job(args.job, catalog, args.ds, spec, args.path, args.append, args.expire)
+    run_job(args.job, catalog, args.ds, spec, args.path, args.append, args.expire, args.token)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from dayledger.plans.render_flags import render_flags
 from dayledger.plans.reward_merge import reward_merge
 from dayledger.rundate import RunDate
 from dayledger.settings import apply_settings, require_time_zone
-from dayledger.sinks import TableSpec, append_partition, drop_expired, ensure_table, staged, write_partition
+from dayledger.sinks import TableSpec, append_partition, drop_expired, drop_expired_path, ensure_table, staged, write_partition
 from dayledger.sources import Catalog
 
 
@@ -66,17 +67,18 @@ def run_job(
     path: str | None = None,
     append: bool = False,
     expire: bool = False,
+    token: str | None = None,
 ) -> None:
     """Build one day of a job and write it: to the table of `spec`, made if absent, or under
-    `path`. `append` adds to the day instead of replacing it; `expire` then drops the table's days
-    past its retention. The session gets the recommended settings, and must have a time zone."""
+    `path`. `append` adds to the day instead of replacing it, with a `token` that names the run where
+    days are made of runs; `expire` then drops the days past the table's retention, there or under the path. The session gets the recommended settings, and must have a time zone."""
     require_time_zone(catalog.spark)
     apply_settings(catalog.spark)
     job = JOBS[name]
     spec = spec or job.spec
     if path is None:
         ensure_table(catalog.spark, spec)
-    write = append_partition if append else write_partition
+    write = partial(append_partition, token=token) if append else write_partition
     if spec.buckets and not append:
         rows = job.build(catalog, run, buckets=spec.buckets)
         write_partition(rows, spec, run.ds, path, in_buckets=True)
@@ -87,3 +89,5 @@ def run_job(
             write(job.build(catalog, run, core=core, **job.staged), spec, run.ds, path, job.cluster_by)
     if expire and path is None:
         drop_expired(catalog.spark, spec.name, run, spec.retention_days)
+    elif expire:
+        drop_expired_path(catalog.spark, path, run, spec.retention_days)

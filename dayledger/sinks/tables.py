@@ -8,6 +8,7 @@ those columns (by none: just even files). Days are never gathered in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -25,7 +26,8 @@ from dayledger.rundate import RunDate
 class TableSpec:
     """A table partitioned by `ds`; `schema` holds its other columns, with comments. With `buckets`
     each day lies in that many parts by the hash of the columns `bucket_by`, sorted by them: a join or
-    merge on these columns reads the day without a shuffle."""
+    merge on these columns reads the day without a shuffle. With `by_run` a day is made of runs that add
+    to it, each in a part of its own that a second attempt replaces."""
 
     name: str
     schema: T.StructType
@@ -35,6 +37,7 @@ class TableSpec:
     compression: str = "snappy"
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
+    by_run: bool = False
 
     def named(self, name: str) -> TableSpec:
         return replace(self, name=name)
@@ -56,13 +59,13 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str | None = No
     ]
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {spec.name} "
-        f"({', '.join(cols)}, ds STRING COMMENT 'day, yyyyMMdd') "
+        f"({', '.join(cols)}, ds STRING COMMENT 'day, yyyyMMdd'{', run STRING' if spec.by_run else ''}) "
         f"USING {spec.fmt} OPTIONS ('compression' = '{spec.compression}') "
-        f"PARTITIONED BY (ds) {_buckets(spec)} COMMENT {_text(spec.comment)}"
+        f"PARTITIONED BY (ds{', run' if spec.by_run else ''}) {_buckets(spec)} COMMENT {_text(spec.comment)}"
         + (f" LOCATION {_text(location)}" if location else "")
     )
     there = {f.name: f.dataType for f in spark.table(spec.name).schema}
-    wanted = {f.name: f.dataType for f in _with_ds(spec.schema)}
+    wanted = {f.name: f.dataType for f in _with_ds(spec)}
     if there != wanted:
         odd = sorted(n for n in there.keys() | wanted.keys() if there.get(n) != wanted.get(n))
         raise ValueError(f"table {spec.name} is of another shape; see columns {', '.join(odd)}")
@@ -87,13 +90,15 @@ def write_partition(
     a bucket is then written by the tasks that hold its rows. Its rows may come from another day of
     the same table."""
     day = RunDate.parse(ds).ds
-    rows = _laid_out(df, spec, cluster_by)
+    if spec.by_run:
+        raise ValueError("a day made of runs is added to, run by run")
+    rows = laid_out(df, spec, cluster_by)
     if spec.buckets and path:
         raise ValueError("only a table has buckets")
     if spec.buckets:
         _write_buckets(rows if in_buckets else rows.repartition(spec.buckets, *spec.bucket_by), spec, day)
     elif path:
-        _writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}")
+        table_writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}")
     else:
         df.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {spec.name} PARTITION (ds = '{day}') BY NAME SELECT * FROM {{rows}}",
@@ -104,9 +109,9 @@ def write_partition(
 def write_partitions(df: DataFrame, spec: TableSpec, path: str | None = None) -> None:
     """Replace the days that occur in the data; other days stay. Rows are gathered by day, a large
     day over many tasks, so that not every task writes a file per day."""
-    rows = rebalance(conform(df, _with_ds(spec.schema)), "ds")
+    rows = rebalance(conform(df, _with_ds(spec)), "ds")
     if path:
-        writer = _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = table_writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("ds").save(path)
     else:
         with _dynamic_overwrite(df.sparkSession):
@@ -120,15 +125,26 @@ def append_partition(
     ds: str,
     path: str | None = None,
     cluster_by: Sequence[str] | None = None,
+    token: str | None = None,
 ) -> None:
-    """Add rows to one day. Running it again adds them again: prefer `write_partition`."""
+    """Add rows to one day. Running it again adds them again: prefer `write_partition`, or a table
+    `by_run`. There a run is named by `token`, letters, digits and dashes, the same whenever it is tried
+    again: it then replaces its own rows, and those of other runs stay."""
     day = RunDate.parse(ds).ds
-    rows = _laid_out(df, spec, cluster_by)
-    if path:
-        _writer(rows, spec).mode("append").save(f"{path}/ds={day}")
+    rows = laid_out(df, spec, cluster_by)
+    if spec.by_run:
+        if not re.fullmatch(r"[A-Za-z0-9-]+", token or ""):
+            raise ValueError("a run needs a token of letters, digits and dashes")
+        into = "OVERWRITE", f"ds = '{day}', run = '{token}'"
+    else:
+        into = "INTO", f"ds = '{day}'"
+    if path and spec.by_run:
+        table_writer(rows, spec).mode("overwrite").save(f"{path}/ds={day}/run={token}")
+    elif path:
+        table_writer(rows, spec).mode("append").save(f"{path}/ds={day}")
     else:
         df.sparkSession.sql(
-            f"INSERT INTO TABLE {spec.name} PARTITION (ds = '{day}') BY NAME SELECT * FROM {{rows}}",
+            f"INSERT {into[0]} TABLE {spec.name} PARTITION ({into[1]}) BY NAME SELECT * FROM {{rows}}",
             rows=rows,
         )
 
@@ -158,10 +174,11 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 def read_path(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The days written under a path; the given schema keeps `ds` a string."""
-    return spark.read.schema(_with_ds(spec.schema)).format(spec.fmt).load(path)
+    return spark.read.schema(_with_ds(spec)).format(spec.fmt).load(path)
 
 
-def _laid_out(df: DataFrame, spec: TableSpec, cluster_by: Sequence[str] | None) -> DataFrame:
+def laid_out(df: DataFrame, spec: TableSpec, cluster_by: Sequence[str] | None) -> DataFrame:
+    """The columns of `spec`, gathered by `cluster_by` if it is given."""
     rows = conform(df, spec.schema)
     return rows if cluster_by is None else rebalance(rows, *cluster_by)
 
@@ -173,11 +190,12 @@ def _buckets(spec: TableSpec) -> str:
     return f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {spec.buckets} BUCKETS"
 
 
-def _with_ds(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("ds", T.StringType())])
+def _with_ds(spec: TableSpec) -> T.StructType:
+    parts = ["ds", "run"] if spec.by_run else ["ds"]
+    return T.StructType([*spec.schema.fields, *[T.StructField(p, T.StringType()) for p in parts]])
 
 
-def _writer(rows: DataFrame, spec: TableSpec):
+def table_writer(rows: DataFrame, spec: TableSpec):
     return rows.write.format(spec.fmt).option("compression", spec.compression)
 
 
