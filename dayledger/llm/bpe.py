@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import ChunkEncoder, sliced
+from dayledger.llm.workers import in_arrow, kept
 
 NONE = np.iinfo(np.int64).max
 CELLS = 1 << 22  # tree nodes held at once
@@ -150,12 +151,14 @@ class Ranks:
             width >>= 1
 
 
+@kept
 @lru_cache(maxsize=4)
 def load_ranks(path: str) -> Ranks:
     with open(path, "rb") as file:
         return Ranks({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file) if token})
 
 
+@kept
 @lru_cache(maxsize=4)
 def rank_encoder(path: str, pattern: str) -> ChunkEncoder:
     """The encoder of a rank file, one per Python worker."""
@@ -191,7 +194,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, with_ids: bool =
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(arrays)])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema, "bpe")
 
 
 def decode(ids: list[int], bytes_of: list[bytes]) -> bytes:

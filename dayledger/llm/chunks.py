@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from dayledger.llm.workers import kept
+
 Encode = Callable[[list[str]], list[bytes]]  # texts -> their ids as unsigned 32-bit integers
 
 WHOLE = "[\\x09\\x0b-\\x0d\\x1c-\\x1f\u0085   -     　]|  |<\\|"
@@ -150,6 +152,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = 8 << 20)
             start = end
 
 
+@kept
 @lru_cache(maxsize=4)
 def library_encoder(path: str, remembered: int = REMEMBERED) -> ChunkEncoder:
     """The encoder of a tokenizers file, one per Python worker. Special tokens in a text are found as

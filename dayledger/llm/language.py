@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import sliced
+from dayledger.llm.workers import in_arrow
 
 UNDETERMINED = "und"
 SLICE = 4 << 20  # bytes of text worked on at once
@@ -93,7 +94,7 @@ def learn(labelled: DataFrame, settings: Settings | None = None) -> Model:
                 columns = [pa.array(np.full(len(at), k), pa.int32()), pa.array(np.full(len(at), kind), pa.int32()), pa.array(at, pa.int32()), pa.array(table[at])]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "kind", "at", "n"])
 
-    found = rows.where(draw).mapInArrow(count, "lang int, kind int, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))
+    found = in_arrow(rows.where(draw), count, "lang int, kind int, at int, n long", "language").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))
     grams, scripts = np.zeros((s.buckets, len(languages))), np.zeros((N_SCRIPTS, len(languages)))
     for row in found.toLocalIterator():
         (scripts if row["kind"] else grams)[row["at"], row["lang"]] = row["n"]
@@ -235,7 +236,7 @@ def predict(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFram
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "spans"][: len(arrays)])
 
     schema = "doc_id long, lang_pred string, score double" + (", spans array<struct<lang:string,first:long,words:long>>" if with_spans else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema, "language")
 
 
 def with_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -250,4 +251,4 @@ def with_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFram
             languages, share, _ = judge(batch.column("text"), shared.value)
             yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(languages, share, strict=True)]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema, "language")

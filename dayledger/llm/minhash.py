@@ -6,6 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from dayledger.llm.workers import kept
+
 UNIVERSE_BITS = 21
 SEED = 20240229
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -92,6 +94,7 @@ def shingle_hashes(texts: list[list[bytes]], size: int) -> list[np.ndarray]:
     return out
 
 
+@kept
 @lru_cache(maxsize=2)
 def permutations(coordinates: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """The first permutation, and the second with its start repeated behind its end, so that its

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from dayledger.llm import minhash
 from dayledger.llm.chunks import sliced
 from dayledger.llm.components import components
+from dayledger.llm.workers import in_arrow
 from dayledger.sinks.staging import stage
 
 
@@ -72,7 +73,7 @@ def signed(docs: DataFrame, settings: Settings) -> DataFrame:
             ], ["doc_id", "n_shingles", "class", "keys", "signature"])
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, class binary, keys array<long>, signature binary")
+    return in_arrow(texts, run, "doc_id long, n_shingles long, class binary, keys array<long>, signature binary", "near_dedup")
 
 
 def near_dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -132,7 +133,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(alike))
 
     sized = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * s.percent)
-    return sized.select("a", "b", "s_a", "s_b").mapInArrow(keep, "a long, b long").distinct()
+    return in_arrow(sized.select("a", "b", "s_a", "s_b"), keep, "a long, b long", "near_dedup").distinct()
 
 
 def _matrix(column: pa.Array, s: Settings) -> np.ndarray:
@@ -206,10 +207,10 @@ def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, s: Settings)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([int(p[x]) for p in found], pa.int64()) for x in (0, 1)], ["a", "b"])
 
-    together = dealt.repartition(parts, *GROUP).sortWithinPartitions(*GROUP).mapInArrow(candidates, MEMBER)
+    together = in_arrow(dealt.repartition(parts, *GROUP).sortWithinPartitions(*GROUP), candidates, MEMBER, "near_dedup")
     with_text = stage(together, "candidates").join(texts, "node")
     grouped = with_text.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
-    return grouped.mapInArrow(links, "a long, b long").where("a < b").distinct()
+    return in_arrow(grouped, links, "a long, b long", "near_dedup").where("a < b").distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -252,7 +253,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long").distinct()
+    return in_arrow(pairs.select("a", "b", "text_a", "text_b"), confirm, "a long, b long", "near_dedup").distinct()
 
 
 def deduplicated(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

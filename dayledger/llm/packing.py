@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import REMEMBERED, library_encoder, sliced
 from dayledger.llm.patterns import Pattern, cutting_stock
+from dayledger.llm.workers import in_arrow
 from dayledger.sinks.staging import stage
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -48,7 +49,7 @@ def pieces(
             yield pa.RecordBatch.from_arrays(arrays, NAMES[: len(arrays)])
 
     schema = PIECES + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), cut, schema, "packing")
 
 
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]

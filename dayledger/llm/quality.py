@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import sliced
+from dayledger.llm.workers import in_arrow
 from dayledger.sinks.staging import stage
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
@@ -210,7 +211,7 @@ def votes(docs: DataFrame, settings: Settings) -> DataFrame:
             ], ["votes", "at", "share", "draw"])
 
     texts = docs.select(F.col("text").cast("string"), F.pmod(F.xxhash64("text"), F.lit(1_000_000)).cast("int").alias("draw"))
-    return texts.mapInArrow(run, "votes string, at array<int>, share array<float>, draw int")
+    return in_arrow(texts, run, "votes string, at array<int>, share array<float>, draw int", "quality")
 
 
 def accuracies(patterns: dict[str, int], settings: Settings) -> tuple[dict[str, float], dict[str, dict[str, float]]]:
@@ -311,8 +312,9 @@ def judged(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(good), pa.array(weak), pa.array(good >= least)], ["doc_id", "score", "weak_posterior", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, score double, weak_posterior double, kept boolean")
+    return in_arrow(
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+        "doc_id long, score double, weak_posterior double, kept boolean", "quality")
 
 
 def good_texts(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -323,4 +325,4 @@ def good_texts(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
         for batch in sliced(batches, "text", SLICE):
             yield batch.filter(pa.array(score(batch.column("text"), shared.value)[0] >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema, "quality")

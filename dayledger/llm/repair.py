@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import library_encoder, sliced
 from dayledger.llm.files import open_file, write_file
+from dayledger.llm.workers import in_arrow
 from dayledger.sinks.staging import fresh_path, stage
 
 MAGIC = b"RPR1"
@@ -301,7 +302,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, termin
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = texts.withColumn("lies", F.monotonically_increasing_id()).repartitionByRange(n, "doc_id", "lies")
     ordered = spread.sortWithinPartitions("doc_id", "lies").select("doc_id", "text")
-    return ordered.mapInArrow(write, "path string, part int, shard int, n_docs long, n_tokens long, bytes long")
+    return in_arrow(ordered, write, "path string, part int, shard int, n_docs long, n_tokens long, bytes long", "repair")
 
 
 NAMES = ["path", "part", "shard", "n_docs", "n_tokens", "bytes"]
@@ -335,7 +336,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
     spread = placed.select("path", (F.col("before") + F.col("within")).alias("base")).repartition(
         int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path"
     )
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, path string")
+    return in_arrow(spread, read, "doc_id long, start long, n_tokens long, ids_crc32 long, path string", "repair")
 
 
 def token_archive(docs: DataFrame, tokenizer: str, end_id: int, terminals: int) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import sliced
 from dayledger.llm.recompression import EDGE, Grammar
+from dayledger.llm.workers import in_arrow
 
 LEAST = 12  # words of a run
 SPACES = "\t\n\x0b\x0c\r"  # and the space itself
@@ -165,7 +166,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
                 collapsed.cast(pa.string()),
             ], ["doc_id", "n_words", "runs", "collapsed"])
 
-    return docs.select(F.col("doc_id").cast("long"), spaced().alias("text")).mapInArrow(run, SCHEMA)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), spaced().alias("text")), run, SCHEMA, "runs")
 
 
 def with_planted_runs(docs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import library_encoder, sliced
+from dayledger.llm.workers import in_arrow, kept
 from dayledger.sinks.staging import stage
 
 CACHE = "tokenizer string, content binary, n_tokens long"
@@ -33,6 +34,7 @@ def content_digest(text: str | object):
     return F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
 
 
+@kept
 @lru_cache(maxsize=4)
 def _counter(path: str):
     """Texts -> token counts, one per Python worker."""
@@ -58,7 +60,7 @@ def counted(texts: DataFrame, path: str) -> DataFrame:
         for batch in sliced(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(count(batch.column("text")))], ["content", "n_tokens"])
 
-    return texts.select("content", "text").mapInArrow(run, "content binary, n_tokens long")
+    return in_arrow(texts.select("content", "text"), run, "content binary, n_tokens long", "token_counts")
 
 
 def open_cache(spark: SparkSession, path: str) -> DataFrame:
