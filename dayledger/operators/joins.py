@@ -103,6 +103,8 @@ def fallback_join(
     spread_nulls: bool = False,
     level: str | None = None,
     max_bytes: int = BROADCAST_LIMIT,
+    hot_sources: Sequence[tuple] | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """Left join `base` to the first of the ranked sources that has a match, base row by base row.
 
@@ -114,14 +116,21 @@ def fallback_join(
     The sources are tagged with their rank and put in one relation; the rows of each key's first
     source, and of its newest day, are the first of the key in that order. So however many sources there
     are, their rows meet once and the base is joined, and shuffled, once. Base rows of the `hot` keys, and
-    with `spread_nulls` those with a NULL key, are dealt over slots. Hot keys of the sources are looked for.
+    with `spread_nulls` those with a NULL key, are dealt over slots. Hot keys of the sources are looked for
+    unless `hot_sources` has them. `broadcast` says that all sources together were measured to fit: the base
+    is then not shuffled at all.
     """
     keys = list(on)
     wanted = base.select(*keys).dropna().distinct() if prefilter else None
     if wanted is not None and fits(wanted, max_bytes):
         wanted = F.broadcast(wanted)
     # hot keys are looked for in the sources as they are read, not behind the cuts
-    hot_matches = merged_hot(hot_keys_each([(source, keys) for source in sources]))
+    if broadcast:
+        hot_matches = []
+    elif hot_sources is None:
+        hot_matches = merged_hot(hot_keys_each([(source, keys) for source in sources]))
+    else:
+        hot_matches = list(hot_sources)
     new = {c: f"_new_{c}" for c in cols}
     types = {c: sources[0].schema[c].dataType for c in cols}
     tagged = []
@@ -136,9 +145,13 @@ def fallback_join(
     if latest_only or len(sources) > 1:
         by = ["_source", "_day"] if latest_only else ["_source"]
         rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True)
-    out = spread_join(
-        base.drop(*cols), rows.select(*keys, *new.values(), "_source"), keys, "left",
-        hot_left=hot, hot_right=hot_matches, spread_nulls=spread_nulls,
-    )
+    rows = rows.select(*keys, *new.values(), "_source")
+    if broadcast:
+        base = base.drop(*cols)
+        joined = base.join(F.broadcast(rows), keys, "left")
+        out = joined.select(*[f"`{c}`" for c in [*base.columns, *new.values(), "_source"]])
+    else:
+        out = spread_join(base.drop(*cols), rows, keys, "left",
+                          hot_left=hot, hot_right=hot_matches, spread_nulls=spread_nulls)
     out = out.withColumnsRenamed({n: c for c, n in new.items()})
     return out.drop("_source") if level is None else out.withColumn("_source", -F.col("_source")).withColumnRenamed("_source", level)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from dayledger.operators import (
     first_per_key,
     fits,
     hot_keys_each,
+    merged_hot,
     spread_join,
 )
 from dayledger.plans.schemas import ORDER_MATERIAL
@@ -44,20 +46,25 @@ MATERIAL = ["brandgood_id", "dhd_type", CNT]
 OUTPUT = ORDER_MATERIAL.schema.names
 
 
+Keyed = tuple[DataFrame, Sequence[str]]
+
+
 def order_core(
-    catalog: Catalog, run: RunDate, ties: bool = False, distinct: bool = False
+    catalog: Catalog,
+    run: RunDate,
+    ties: bool = False,
+    distinct: bool = False,
+    found: Sequence[Sequence[tuple]] | None = None,
 ) -> DataFrame:
     """First submission of each design, with its live order and audit numbers.
 
     With `ties` all submissions at the first moment count, else the one with the lowest order id.
-    `distinct` drops repeated rows; without it every audit number of an order gives a row.
+    `distinct` drops repeated rows; without it every audit number of an order gives a row. `found` has
+    the hot keys of `_core_keys` where they are known.
     """
-    submissions = snapshot(catalog.table("order_design"), run.ds).where(
-        eq("deleted", False)).select("design_id", "order_id", "created")
-    audits = snapshot(catalog.table("order_item"), run.ds).where(
-        eq("item_key", AUDIT_ITEM)).select("order_id", "value")
-    hot_designs, hot_orders, hot_audits = hot_keys_each([
-        (submissions, ["design_id"]), (submissions, ["order_id"]), (audits, ["order_id"])])
+    keyed = _core_keys(catalog, run)
+    (submissions, _), _, (audits, _) = keyed
+    hot_designs, hot_orders, hot_audits = hot_keys_each(keyed) if found is None else found
     if ties:
         first = first_per_key(submissions, ["design_id"], ["created"], ties=True, hot=hot_designs)
     else:
@@ -77,20 +84,39 @@ def order_core(
     return dedup(core.select(*CORE)) if distinct else core.select(*CORE)
 
 
+def _core_keys(catalog: Catalog, run: RunDate) -> list[Keyed]:
+    """The relations of the core that are shuffled by a key that may be hot, with the key."""
+    submissions = snapshot(catalog.table("order_design"), run.ds).where(
+        eq("deleted", False)).select("design_id", "order_id", "created")
+    audits = snapshot(catalog.table("order_item"), run.ds).where(
+        eq("item_key", AUDIT_ITEM)).select("order_id", "value")
+    return [(submissions, ["design_id"]), (submissions, ["order_id"]), (audits, ["order_id"])]
+
+
+def _with_core(
+    catalog: Catalog, run: RunDate, core: DataFrame | None, others: list[Keyed], **kwargs: bool
+) -> tuple[DataFrame, list[list[tuple]]]:
+    """The staged core, `core` if it was given, and the hot keys of `others`. One job looks for the hot
+    keys of all relations."""
+    if core is not None:
+        return core, hot_keys_each(others) if others else []
+    own = _core_keys(catalog, run)
+    hot = hot_keys_each([*own, *others])
+    return stage(order_core(catalog, run, found=hot[: len(own)], **kwargs), "core"), hot[len(own):]
+
+
 def order_material_detail(
     catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """Tied first submissions, distinct core rows, all materials of the day."""
-    core = stage(order_core(catalog, run, ties=True, distinct=True), "core") if core is None else core
-    return _with_materials(core, _relation(catalog, run), _names(catalog, run), max_bytes)
+    return _with_materials(catalog, run, core, _relation(catalog, run), max_bytes, ties=True, distinct=True)
 
 
 def order_material_onepass(
     catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """One first submission per design, core rows as they come, materials with both keys set."""
-    core = stage(order_core(catalog, run), "core") if core is None else core
-    return _with_materials(core, _keyed(_relation(catalog, run)), _names(catalog, run), max_bytes)
+    return _with_materials(catalog, run, core, _keyed(_relation(catalog, run)), max_bytes)
 
 
 def order_material_fallback(
@@ -105,10 +131,9 @@ def order_material_fallback(
     History may hold a key on several days, and each gives a row unless `latest_only`. The core is
     staged unless a staged one is given.
     """
-    core = stage(order_core(catalog, run), "core") if core is None else core
     sources = [_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS)]
     names = [_names(catalog, run, days) for days in (0, HISTORY_DAYS)]
-    return _fallback(core, sources, names, latest_only=latest_only, max_bytes=max_bytes)
+    return _fallback(catalog, run, core, sources, names, latest_only=latest_only, max_bytes=max_bytes)
 
 
 def order_material_three_level(
@@ -116,7 +141,6 @@ def order_material_three_level(
 ) -> DataFrame:
     """Materials of the day, else of the seven days before, else of the designs' own detail table;
     names likewise, and at last a constant for material 0. The count is the day's own or 1."""
-    core = stage(order_core(catalog, run), "core") if core is None else core
     today, history = (_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS))
     no_count = F.lit(None).cast("bigint")
     sources = [
@@ -128,7 +152,7 @@ def order_material_three_level(
         *[_names(catalog, run, days) for days in (0, HISTORY_DAYS)],
         constant_row(catalog.spark, **UNKNOWN_MATERIAL),
     ]
-    out = _fallback(core, sources, names, max_bytes=max_bytes)
+    out = _fallback(catalog, run, core, sources, names, max_bytes=max_bytes)
     return out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
 
 
@@ -145,8 +169,7 @@ def order_material_nulls(catalog: Catalog, run: RunDate) -> DataFrame:
 def order_material_detail_source(catalog: Catalog, run: RunDate) -> DataFrame:
     """Materials from the designs' own detail table, each counted once."""
     detail = _design_detail(catalog, run).where(F.col("brandgood_id").isNotNull())
-    core = stage(order_core(catalog, run), "core")
-    out = _with_materials(core, detail, _names(catalog, run))
+    out = _with_materials(catalog, run, None, detail)
     return fill_defaults(out, {CNT: 1}, ORDER_MATERIAL.schema).select(*OUTPUT)
 
 
@@ -156,7 +179,7 @@ def order_material_staged(
     """From a core that was staged: the day's materials of its designs, or NULLs without them."""
     if not materials:
         return fill_missing(core, ORDER_MATERIAL.schema)
-    return _with_materials(core, _relation(catalog, run), _names(catalog, run))
+    return _with_materials(catalog, run, core, _relation(catalog, run))
 
 
 def _relation(catalog: Catalog, run: RunDate, history: int = 0) -> DataFrame:
@@ -191,33 +214,56 @@ def _cut(relation: DataFrame, staged: DataFrame, key: str, max_bytes: int) -> Da
 
 
 def _with_materials(
-    core: DataFrame, relation: DataFrame, names: DataFrame, max_bytes: int = BROADCAST_LIMIT
+    catalog: Catalog,
+    run: RunDate,
+    core: DataFrame | None,
+    relation: DataFrame,
+    max_bytes: int = BROADCAST_LIMIT,
+    **kwargs: bool,
 ) -> DataFrame:
-    """Add materials and their names to a staged core. The relations are cut to its designs, and the
-    names to the materials found, before they are shuffled. A design without a material has a NULL
-    key for the name, a popular material many rows, and both may be many: they are spread."""
-    hot_designs, hot_materials, hot_names = hot_keys_each([
-        (relation, ["design_id"]), (relation, ["brandgood_id"]), (names, ["brandgood_id"])])
+    """Add materials and their names to the core, staged unless one is given. The relations are cut to
+    its designs before they are shuffled. Names that are measured to fit are broadcast; else they are cut
+    to the materials found, and rows without a material and of popular ones, both many, are spread."""
+    names = _names(catalog, run)
+    small = fits(names.drop("ds"), max_bytes)
+    others: list[Keyed] = [(relation, ["design_id"])]
+    if not small:
+        others += [(relation, ["brandgood_id"]), (names, ["brandgood_id"])]
+    core, (hot_designs, *hot) = _with_core(catalog, run, core, others, **kwargs)
     cut = _cut(relation.drop("ds"), core, "design_id", max_bytes)
-    out = stage(spread_join(core, cut, ["design_id"], "left", hot_right=hot_designs), "materials")
-    named = spread_join(out, _cut(names.drop("ds"), out, "brandgood_id", max_bytes), ["brandgood_id"],
-                        "left", hot_left=hot_materials, hot_right=hot_names, spread_nulls=True)
+    out = spread_join(core, cut, ["design_id"], "left", hot_right=hot_designs)
+    if small:
+        named = out.join(F.broadcast(names.drop("ds")), "brandgood_id", "left")
+    else:
+        out = stage(out, "materials")
+        named = spread_join(out, _cut(names.drop("ds"), out, "brandgood_id", max_bytes), ["brandgood_id"],
+                            "left", hot_left=hot[0], hot_right=hot[1], spread_nulls=True)
     return named.select(*[c for c in OUTPUT if c in named.columns])
 
 
 def _fallback(
-    core: DataFrame,
+    catalog: Catalog,
+    run: RunDate,
+    core: DataFrame | None,
     relations: Sequence[DataFrame],
     names: Sequence[DataFrame],
     latest_only: bool = False,
     max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Materials from the first relation that has any, names likewise; each source is cut to the keys
-    that are asked of it."""
-    hot = hot_keys_each([(relation, ["brandgood_id"]) for relation in relations])
-    out = stage(fallback_join(core, relations, ["design_id"], MATERIAL, latest_only=latest_only,
-                              prefilter=True, max_bytes=max_bytes), "materials")
+    """Materials from the first relation that has any, names likewise. Each relation is cut to the
+    designs asked of it, and so are names that do not fit a broadcast."""
+    all_names = reduce(DataFrame.unionByName, [n.select("brandgood_id", "brandgood_name") for n in names])
+    small = fits(all_names, max_bytes)
+    others: list[Keyed] = [(relation, ["design_id"]) for relation in relations]
+    if not small:
+        others += [*((relation, ["brandgood_id"]) for relation in relations), *((n, ["brandgood_id"]) for n in names)]
+    core, hot = _with_core(catalog, run, core, others)
+    n = len(relations)
+    out = fallback_join(core, relations, ["design_id"], MATERIAL, latest_only=latest_only, prefilter=True,
+                        hot_sources=merged_hot(hot[:n]), max_bytes=max_bytes)
+    if small:
+        return fallback_join(out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, broadcast=True).select(*OUTPUT)
     return fallback_join(
-        out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, prefilter=True,
-        hot=sorted({key for keys in hot for key in keys}), spread_nulls=True, max_bytes=max_bytes,
+        stage(out, "materials"), names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, prefilter=True,
+        hot=merged_hot(hot[n : 2 * n]), hot_sources=merged_hot(hot[2 * n :]), spread_nulls=True, max_bytes=max_bytes,
     ).select(*OUTPUT)
