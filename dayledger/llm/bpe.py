@@ -3,7 +3,8 @@
 The tree stands over the word's byte positions. A live position holds the rank of the pair that
 starts there, a dead one infinity; ranks carry their position, so the root is the leftmost minimum.
 A merge changes three leaves (the merged pair, its live neighbour to the left, the one swallowed)
-and their ancestors. All words of one length class go through the same steps at once.
+and their ancestors. All words of one length class go through the same steps at once, as arrays; where
+a class has few words, long ones mostly, each goes through them alone, which is the faster way there.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from dayledger.llm.workers import in_arrow, kept
 
 NONE = np.iinfo(np.int64).max
 CELLS = 1 << 22  # tree nodes held at once
+FEW = 32  # words that are not worth a step of arrays
 
 
 class Ranks:
@@ -83,11 +85,49 @@ class Ranks:
         for width, members in classes.items():
             rows = max(1, CELLS // (2 * width))
             for at in range(0, len(members), rows):
-                some = members[at : at + rows]
-                for k, ids in zip(some, self._merge([words[k] for k in some], width), strict=True):
+                some = [words[k] for k in members[at : at + rows]]
+                found = self._merge(some, width) if len(some) > FEW else [self._merge_alone(w, width) for w in some]
+                for k, ids in zip(members[at : at + rows], found, strict=True):
                     out[k] = ids
         return out
 
+    def _merge_alone(self, word: bytes, width: int) -> bytes:
+        n = len(word)
+        first = self.byte_ids[np.frombuffer(word, np.uint8)]
+        leaves = np.full(width, NONE)
+        leaves[: n - 1] = self._leaf(first[:-1], first[1:], np.arange(n - 1), width)
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+        tree = [NONE, *np.concatenate(levels[::-1]).tolist()]
+        ids, following, before = first.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        rank_of, bytes_of, none = self.ranks.get, self.bytes_of, int(NONE)
+
+        def put(at: int, pair: bytes | None) -> None:
+            rank = None if pair is None else rank_of(pair)
+            node = at + width
+            tree[node] = none if rank is None else rank * width + at
+            while node > 1:  # up to the first ancestor that stays as it is
+                node >>= 1
+                a, b = tree[2 * node], tree[2 * node + 1]
+                low = a if a < b else b
+                if tree[node] == low:
+                    break
+                tree[node] = low
+
+        while tree[1] != none:
+            merged, at = divmod(tree[1], width)
+            swallowed = following[at]
+            right = following[swallowed]
+            ids[at], ids[swallowed], following[at] = merged, -1, right
+            put(swallowed, None)
+            if right < n:
+                before[right] = at
+            put(at, bytes_of[merged] + bytes_of[ids[right]] if right < n else None)
+            if before[at] >= 0:
+                put(before[at], bytes_of[ids[before[at]]] + bytes_of[merged])
+        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
+
     def _merge(self, words: list[bytes], width: int) -> list[bytes]:
         n = len(words)
         sizes = np.fromiter(map(len, words), np.int64, n)

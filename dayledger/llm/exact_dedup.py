@@ -5,6 +5,10 @@ keeps. In each round the runs of FAN_IN neighbouring partitions meet and are mer
 exchange is keyed by the node and the digest, so one node's merge is itself spread over tasks and a
 digest with very many copies arrives as one row per run. `max` over a struct makes Spark aggregate by
 sorting, on both sides of the exchange: the runs are sorted runs.
+
+Two things differ from a binomial merge of runs in place. DataFrame functions cannot hand a sorted run to
+another task, so a round deals digests by hash and sorts what arrives; and since the digests without a
+copy move in every round, FAN_IN partitions meet at a time instead of two: log8 rounds, not log2.
 """
 
 from __future__ import annotations

@@ -41,8 +41,10 @@ NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 @dataclass(frozen=True)
 class Settings:
     """`sample` bounds the labelled texts learned from, per language and on average: a text is taken if
-    a hash of it falls below sample / number of texts of the language. `buckets` bounds the model."""
+    a hash of it falls below sample / number of texts of the language. `buckets` and `languages` bound the
+    model: with more distinct values of `lang`, learning fails and says so."""
 
+    languages: int = 256
     sample: int = 2000
     buckets: int = 1 << 16
     smoothing: float = 0.5
@@ -69,7 +71,9 @@ def learn(labelled: DataFrame, settings: Settings | None = None) -> Model:
     on the executors; the driver gets `buckets` numbers per language."""
     s = settings or Settings()
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = dict(rows.groupBy("lang").count().collect())  # one row per language
+    counts = dict(rows.groupBy("lang").count().limit(s.languages + 1).collect())
+    if len(counts) > s.languages:
+        raise ValueError(f"lang has more than {s.languages} values: not a column of languages, or raise Settings.languages")
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((s.buckets, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool), s)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.chunks import library_encoder, sliced
 from dayledger.llm.workers import in_arrow, kept
-from dayledger.sinks.staging import stage
+from dayledger.sinks.staging import path_exists, stage
 
 CACHE = "tokenizer string, content binary, n_tokens long"
 
@@ -64,16 +64,18 @@ def counted(texts: DataFrame, path: str) -> DataFrame:
 
 
 def open_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The cache's rows; makes an empty cache where there is none."""
-    spark.createDataFrame([], CACHE).write.mode("append").parquet(path)
-    return spark.read.schema(CACHE).parquet(path).distinct()  # two runs may have added the same row
+    """The cache's rows; makes an empty cache where there is none. Two runs may have added the same row."""
+    if not path_exists(spark, path):
+        spark.createDataFrame([], CACHE).write.mode("append").parquet(path)
+    return spark.read.schema(CACHE).parquet(path)
 
 
 def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of `docs` (doc_id, text).
 
-    Distinct contents that the cache at folder `cache` lacks are encoded once each and appended to it;
-    all rows then take their count from it. Equal texts share a count whatever their ids; rows without
+    Distinct contents that the cache at folder `cache` lacks are encoded once each and appended to it.
+    The cache is read once, but for files of other tokenizers, which their statistics rule out, and only
+    what is asked for goes on from there. Equal texts share a count whatever their ids; rows without
     an id and repeated rows are answered like any other. Null text counts as empty. Other columns are
     not read.
     """
@@ -81,17 +83,15 @@ def count_tokens(docs: DataFrame, path: str, cache: str, limit: int = 2048) -> D
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = texts.withColumn("content", content_digest("text"))
     rows = stage(texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content"), "contents")
-    stored = open_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
-    missing = (
-        rows.groupBy("content").agg(F.min("doc_id").alias("of"))
-        .join(stored, "content", "left_anti")
+    wanted = rows.groupBy("content").agg(F.min("doc_id").alias("of"))
+    stored = open_cache(spark, cache).where(F.col("tokenizer") == version)
+    hits = stage(
+        stored.join(wanted, "content", "left_semi").groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "hits"
     )
+    missing = wanted.join(hits, "content", "left_anti").withColumnRenamed("content", "_content")
     # one text per content: the row of its smallest id; rows that repeat both are encoded each
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("content") == F.col("_content"))
-    encoded = counted(texts.join(missing.withColumnRenamed("content", "_content"), same, "left_semi"), path)
-    (
-        encoded.distinct().select(F.lit(version).alias("tokenizer"), "content", "n_tokens")
-        .write.mode("append").parquet(cache)
-    )
-    counts = open_cache(spark, cache).where(F.col("tokenizer") == version).select("content", "n_tokens")
+    new = stage(counted(texts.join(missing, same, "left_semi"), path).distinct(), "counted")
+    new.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache)
+    counts = hits.unionByName(new)
     return rows.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -145,6 +145,14 @@ def test_languages_of_odd_rows(spark, model):
     assert kept.columns == documents(spark).columns and 2 not in {r["doc_id"] for r in kept.collect()}
 
 
+def test_a_column_that_is_no_language_is_refused(spark):
+    rows = [(i, f"text {i}", f"l{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 10 values"):
+        language.learn(docs, language.Settings(languages=10))
+    assert len(language.learn(docs, language.Settings(languages=12)).languages) == 12
+
+
 def test_em_finds_the_accuracies_of_labellers():
     rng = np.random.default_rng(6)
     good = rng.random(20_000) < 0.85

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import time
 import zlib
 
 import numpy as np
@@ -77,6 +78,23 @@ def test_other_tokenizers_are_left_to_the_library():
     assert chunks._word_encoder(tokenizer) is None
 
 
+@settings(max_examples=80, deadline=None)
+@given(words=st.lists(st.text(st.sampled_from(list("abcthe eingé日 ")), min_size=1, max_size=60).map(str.encode), max_size=8))
+def test_words_are_merged_alone_as_together(words):
+    ranks = bpe.load_ranks(MULTI)
+    for word in words:
+        width = max(2, 1 << (len(word) - 1).bit_length())
+        assert ranks._merge_alone(word, width) == ranks._merge([word], width)[0]
+
+
+def test_a_very_long_word(tik):
+    rng = np.random.default_rng(3)
+    word = "".join(rng.choice(list("etaoinshrdlu"), 200_000))
+    began = time.process_time()
+    assert np.frombuffer(bpe.load_ranks(MULTI).encode_words([word.encode()])[0], np.uint32).tolist() == tik.encode_ordinary(word)
+    assert time.process_time() - began < 20
+
+
 def test_a_word_longer_than_any_class(tik):
     word = ("thequickbrown" * 700).encode()
     assert np.frombuffer(bpe.load_ranks(MULTI).encode_words([word])[0], np.uint32).tolist() == tik.encode_ordinary(word.decode())
