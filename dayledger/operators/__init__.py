@@ -30,7 +30,7 @@ from dayledger.operators.records import (
     snapshot_diff,
 )
 from dayledger.operators.sizing import BROADCAST_LIMIT, checked_broadcast, fits, measured_bytes
-from dayledger.operators.skew import hot_keys, hot_keys_each, merged_hot, spread_join
+from dayledger.operators.skew import hot_keys, hot_keys_each, merged_hot, sketch_days, spread_join
 
 __all__ = [
     "BROADCAST_LIMIT", "advance_ledger", "anti", "audit_nulls", "audit_partitions", "audit_result",
@@ -39,5 +39,5 @@ __all__ = [
     "first_per_key", "fits", "hot_keys", "hot_keys_each", "join_when", "latest_per_key", "ledger_diff",
     "left_join", "lookup", "mark", "measured_bytes", "merge_bitmaps", "merge_increment", "merged_hot",
     "month_to_date_bitmaps", "narrow", "persisted", "rebalance", "salted_join", "seen_by_ledger", "seen_on",
-    "semi", "snapshot_diff", "spread_join", "start_ledger", "to_n", "top_n",
+    "semi", "sketch_days", "snapshot_diff", "spread_join", "start_ledger", "to_n", "top_n",
 ]

@@ -52,28 +52,31 @@ def hot_keys_each(
     relations: Sequence[tuple[DataFrame, Sequence[str]]],
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    stored: Sequence[DataFrame | None] | None = None,
 ) -> list[list[tuple]]:
     """`hot_keys` of several relations, each with its keys; one job sketches them all, and a
     relation given with several keys is read once for them. The tasks' sketches are merged in
-    groups and the groups' then, so that no task merges one of every task."""
+    groups and the groups' then, so that no task merges one of every task.
+
+    A relation that has `stored` sketches (n, sketch; together of all its rows, from `sketch_days` with
+    the same `share`) is not read for one. Candidates are counted in the relation in any case."""
+    if not relations:
+        return []
     most = ceil(1 / share)
-    tracked = F.lit(8 * most)
+    stored = stored or [None] * len(relations)
     digests: dict[int, list[Column]] = {}  # number and digest of each key, by relation
-    for i, (df, keys) in enumerate(relations):
-        digest = F.when(~has_null(keys), F.xxhash64(*keys))
-        digests.setdefault(id(df), []).extend([F.lit(i), digest])
+    for i, ((df, keys), kept) in enumerate(zip(relations, stored, strict=True)):
+        if kept is None:
+            digest = F.when(~has_null(keys), F.xxhash64(*keys))
+            digests.setdefault(id(df), []).extend([F.lit(i), digest])
     scanned = {id(df): df for df, _ in relations}
-    grouped = reduce(DataFrame.unionByName, [
-        scanned[key].select(F.stack(F.lit(len(cols) // 2), *cols).alias("i", "digest")).dropna()
-        for key, cols in digests.items()
-    ]).withColumn("part", F.spark_partition_id() % MERGE_GROUPS).groupBy("i", "part").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.call_function("approx_top_k_accumulate", F.col("digest"), tracked).alias("sketch"),
-    )
-    merged = grouped.groupBy("i").agg(
-        F.sum("n").alias("n"),
-        F.call_function("approx_top_k_combine", F.col("sketch"), tracked).alias("sketch"),
-    )
+    sketches = [kept.select(F.lit(i).alias("i"), "n", "sketch") for i, kept in enumerate(stored) if kept is not None]
+    if digests:
+        sketches.append(_sketched(reduce(DataFrame.unionByName, [
+            scanned[key].select(F.stack(F.lit(len(cols) // 2), *cols).alias("i", "digest")).dropna()
+            for key, cols in digests.items()
+        ]), ["i"], share))
+    merged = _combined(reduce(DataFrame.unionByName, sketches), ["i"], share)
     sketched = merged.select(
         "i", "n",
         F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most)).alias("top"))
@@ -90,6 +93,34 @@ def hot_keys_each(
     return hot
 
 
+def _sketched(digests: DataFrame, by: Sequence[str], share: float) -> DataFrame:
+    """n and sketch of the column `digest` for each group and part: a task's rows, or several tasks'."""
+    grouped = digests.withColumn("part", F.spark_partition_id() % MERGE_GROUPS).groupBy(*by, "part").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.call_function("approx_top_k_accumulate", F.col("digest"), F.lit(8 * ceil(1 / share))).alias("sketch"),
+    )
+    return grouped.drop("part")
+
+
+def _combined(sketches: DataFrame, by: Sequence[str], share: float) -> DataFrame:
+    return sketches.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(8 * ceil(1 / share))).alias("sketch"),
+    )
+
+
+def sketch_days(
+    df: DataFrame, relation: str, keys: Sequence[str], days: Sequence[str], share: float = HOT_SHARE
+) -> DataFrame:
+    """A row for each day: relation, keys, ds, n, and a sketch of the day's keys (null without rows), to be kept
+    with those of other days. `relation` names the table and the filter that `df`, with `ds`, is made by."""
+    digest = F.when(~has_null(keys), F.xxhash64(*keys)).alias("digest")
+    rows = df.where(F.col("ds").isin(*days)).select("ds", digest).dropna()
+    found = _combined(_sketched(rows, ["ds"], share), ["ds"], share)
+    listed = df.sparkSession.createDataFrame([(ds,) for ds in days], "ds string").join(found, "ds", "left")
+    return listed.select(F.lit(relation).alias("relation"), F.lit(",".join(keys)).alias("keys"), "ds", F.coalesce("n", F.lit(0)).alias("n"), "sketch")
+
+
 def merged_hot(found: Sequence[Sequence[tuple]]) -> list[tuple]:
     """The hot keys of several relations that are read as one, each once, with its largest share."""
     shares: dict[tuple, float] = {}

@@ -9,6 +9,7 @@ from dayledger.plans.order_material import (
     order_material_fallback,
     order_material_nulls,
     order_material_onepass,
+    order_material_sketches,
     order_material_staged,
     order_material_three_level,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "JOBS", "account_apply_detail", "account_apply_detail_plain", "daily_apply_count",
     "monthly_apply_count", "order_core", "order_material_defaults", "order_material_detail",
     "order_material_detail_source", "order_material_fallback", "order_material_nulls",
-    "order_material_onepass", "order_material_staged", "order_material_three_level",
+    "order_material_onepass", "order_material_sketches", "order_material_staged",
+    "order_material_three_level",
     "relation_tags", "render_flags", "reward_merge", "run_job",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from dayledger.operators import (
     fits,
     hot_keys_each,
     merged_hot,
+    sketch_days,
     spread_join,
 )
 from dayledger.plans.schemas import ORDER_MATERIAL
@@ -46,7 +48,46 @@ MATERIAL = ["brandgood_id", "dhd_type", CNT]
 OUTPUT = ORDER_MATERIAL.schema.names
 
 
-Keyed = tuple[DataFrame, Sequence[str]]
+@dataclass(frozen=True)
+class Keyed:
+    """A relation that is shuffled by keys that may be hot, the name of what it is, and its days."""
+
+    rows: DataFrame
+    keys: list[str]
+    relation: str
+    days: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Source:
+    """Rows that materials or names come from, what they are, and their days."""
+
+    rows: DataFrame
+    relation: str
+    days: tuple[str, ...]
+
+    def by(self, key: str) -> Keyed:
+        return Keyed(self.rows, [key], self.relation, self.days)
+
+    def without(self, col: str) -> Source:
+        return replace(self, rows=self.rows.withColumn(col, F.lit(None).cast(self.rows.schema[col].dataType)))
+
+
+def _hot(catalog: Catalog, keyed: Sequence[Keyed]) -> list[list[tuple]]:
+    """The hot keys of each relation, told from the catalog's sketches where all its days have one."""
+    stored = [catalog.sketch(k.relation, k.keys, k.days) for k in keyed]
+    return hot_keys_each([(k.rows, k.keys) for k in keyed], stored=stored)
+
+
+def order_material_sketches(catalog: Catalog, run: RunDate) -> DataFrame:
+    """The run day's key sketches of all relations of these jobs, to be kept and given to later runs'
+    `Catalog`: relations of seven days are then told from the sketches of their days."""
+    sources = [_relation(catalog, run), _relation(catalog, run, keyed=True), _names(catalog, run)]
+    if catalog.has("order_design_detail"):
+        sources.insert(0, Source(_keyed(_design_detail(catalog, run)), "order_design_detail, keyed", (run.ds,)))
+    keyed = [*_core_keys(catalog, run), *(x.by("brandgood_id") for x in sources), *(x.by("design_id") for x in sources[:-1])]
+    days = [sketch_days(k.rows.withColumn("ds", F.lit(run.ds)), k.relation, k.keys, [run.ds]) for k in keyed]
+    return reduce(DataFrame.unionByName, days)
 
 
 def order_core(
@@ -63,8 +104,8 @@ def order_core(
     the hot keys of `_core_keys` where they are known.
     """
     keyed = _core_keys(catalog, run)
-    (submissions, _), _, (audits, _) = keyed
-    hot_designs, hot_orders, hot_audits = hot_keys_each(keyed) if found is None else found
+    submissions, audits = keyed[0].rows, keyed[2].rows
+    hot_designs, hot_orders, hot_audits = _hot(catalog, keyed) if found is None else found
     if ties:
         first = first_per_key(submissions, ["design_id"], ["created"], ties=True, hot=hot_designs)
     else:
@@ -90,7 +131,12 @@ def _core_keys(catalog: Catalog, run: RunDate) -> list[Keyed]:
         eq("deleted", False)).select("design_id", "order_id", "created")
     audits = snapshot(catalog.table("order_item"), run.ds).where(
         eq("item_key", AUDIT_ITEM)).select("order_id", "value")
-    return [(submissions, ["design_id"]), (submissions, ["order_id"]), (audits, ["order_id"])]
+    day = (run.ds,)
+    return [
+        Keyed(submissions, ["design_id"], "order_design, live", day),
+        Keyed(submissions, ["order_id"], "order_design, live", day),
+        Keyed(audits, ["order_id"], "order_item, audits", day),
+    ]
 
 
 def _with_core(
@@ -99,9 +145,9 @@ def _with_core(
     """The staged core, `core` if it was given, and the hot keys of `others`. One job looks for the hot
     keys of all relations."""
     if core is not None:
-        return core, hot_keys_each(others) if others else []
+        return core, _hot(catalog, others)
     own = _core_keys(catalog, run)
-    hot = hot_keys_each([*own, *others])
+    hot = _hot(catalog, [*own, *others])
     return stage(order_core(catalog, run, found=hot[: len(own)], **kwargs), "core"), hot[len(own):]
 
 
@@ -116,7 +162,7 @@ def order_material_onepass(
     catalog: Catalog, run: RunDate, core: DataFrame | None = None, max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
     """One first submission per design, core rows as they come, materials with both keys set."""
-    return _with_materials(catalog, run, core, _keyed(_relation(catalog, run)), max_bytes)
+    return _with_materials(catalog, run, core, _relation(catalog, run, keyed=True), max_bytes)
 
 
 def order_material_fallback(
@@ -131,7 +177,7 @@ def order_material_fallback(
     History may hold a key on several days, and each gives a row unless `latest_only`. The core is
     staged unless a staged one is given.
     """
-    sources = [_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS)]
+    sources = [_relation(catalog, run, days, keyed=True) for days in (0, HISTORY_DAYS)]
     names = [_names(catalog, run, days) for days in (0, HISTORY_DAYS)]
     return _fallback(catalog, run, core, sources, names, latest_only=latest_only, max_bytes=max_bytes)
 
@@ -141,16 +187,12 @@ def order_material_three_level(
 ) -> DataFrame:
     """Materials of the day, else of the seven days before, else of the designs' own detail table;
     names likewise, and at last a constant for material 0. The count is the day's own or 1."""
-    today, history = (_keyed(_relation(catalog, run, days)) for days in (0, HISTORY_DAYS))
-    no_count = F.lit(None).cast("bigint")
-    sources = [
-        today,
-        history.withColumn(CNT, no_count),
-        _keyed(_design_detail(catalog, run)).withColumn(CNT, no_count),
-    ]
+    today, history = (_relation(catalog, run, days, keyed=True) for days in (0, HISTORY_DAYS))
+    detail = _keyed(_design_detail(catalog, run)).withColumn(CNT, F.lit(None).cast("bigint"))
+    sources = [today, history.without(CNT), Source(detail, "order_design_detail, keyed", (run.ds,))]
     names = [
         *[_names(catalog, run, days) for days in (0, HISTORY_DAYS)],
-        constant_row(catalog.spark, **UNKNOWN_MATERIAL),
+        Source(constant_row(catalog.spark, **UNKNOWN_MATERIAL), "one constant row", (run.ds,)),
     ]
     out = _fallback(catalog, run, core, sources, names, max_bytes=max_bytes)
     return out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
@@ -169,7 +211,7 @@ def order_material_nulls(catalog: Catalog, run: RunDate) -> DataFrame:
 def order_material_detail_source(catalog: Catalog, run: RunDate) -> DataFrame:
     """Materials from the designs' own detail table, each counted once."""
     detail = _design_detail(catalog, run).where(F.col("brandgood_id").isNotNull())
-    out = _with_materials(catalog, run, None, detail)
+    out = _with_materials(catalog, run, None, Source(detail, "order_design_detail, with a material", (run.ds,)))
     return fill_defaults(out, {CNT: 1}, ORDER_MATERIAL.schema).select(*OUTPUT)
 
 
@@ -182,14 +224,20 @@ def order_material_staged(
     return _with_materials(catalog, run, core, _relation(catalog, run))
 
 
-def _relation(catalog: Catalog, run: RunDate, history: int = 0) -> DataFrame:
-    """The day's relations, or those of the `history` days before it."""
-    return _days(catalog.table("bridge"), run, history).select("design_id", *MATERIAL, "ds")
+def _relation(catalog: Catalog, run: RunDate, history: int = 0, keyed: bool = False) -> Source:
+    """The day's relations, or those of the `history` days before it; `keyed` with both keys set."""
+    rows = _days(catalog.table("bridge"), run, history).select("design_id", *MATERIAL, "ds")
+    return Source(_keyed(rows) if keyed else rows, "bridge, keyed" if keyed else "bridge", _named(run, history))
 
 
-def _names(catalog: Catalog, run: RunDate, history: int = 0) -> DataFrame:
-    return _days(catalog.table("material"), run, history).where(
+def _names(catalog: Catalog, run: RunDate, history: int = 0) -> Source:
+    rows = _days(catalog.table("material"), run, history).where(
         F.col("brandgood_id").isNotNull()).select("brandgood_id", "brandgood_name", "ds")
+    return Source(rows, "material, with a key", _named(run, history))
+
+
+def _named(run: RunDate, history: int) -> tuple[str, ...]:
+    return tuple(run.days_before(n) for n in range(history, 0, -1)) if history else (run.ds,)
 
 
 def _design_detail(catalog: Catalog, run: RunDate) -> DataFrame:
@@ -217,26 +265,27 @@ def _with_materials(
     catalog: Catalog,
     run: RunDate,
     core: DataFrame | None,
-    relation: DataFrame,
+    relation: Source,
     max_bytes: int = BROADCAST_LIMIT,
     **kwargs: bool,
 ) -> DataFrame:
     """Add materials and their names to the core, staged unless one is given. The relations are cut to
     its designs before they are shuffled. Names that are measured to fit are broadcast; else they are cut
     to the materials found, and rows without a material and of popular ones, both many, are spread."""
-    names = _names(catalog, run)
-    small = fits(names.drop("ds"), max_bytes)
-    others: list[Keyed] = [(relation, ["design_id"])]
+    source = _names(catalog, run)
+    names = source.rows.drop("ds")
+    small = fits(names, max_bytes)
+    others = [relation.by("design_id")]
     if not small:
-        others += [(relation, ["brandgood_id"]), (names, ["brandgood_id"])]
+        others += [relation.by("brandgood_id"), source.by("brandgood_id")]
     core, (hot_designs, *hot) = _with_core(catalog, run, core, others, **kwargs)
-    cut = _cut(relation.drop("ds"), core, "design_id", max_bytes)
+    cut = _cut(relation.rows.drop("ds"), core, "design_id", max_bytes)
     out = spread_join(core, cut, ["design_id"], "left", hot_right=hot_designs)
     if small:
-        named = out.join(F.broadcast(names.drop("ds")), "brandgood_id", "left")
+        named = out.join(F.broadcast(names), "brandgood_id", "left")
     else:
         out = stage(out, "materials")
-        named = spread_join(out, _cut(names.drop("ds"), out, "brandgood_id", max_bytes), ["brandgood_id"],
+        named = spread_join(out, _cut(names, out, "brandgood_id", max_bytes), ["brandgood_id"],
                             "left", hot_left=hot[0], hot_right=hot[1], spread_nulls=True)
     return named.select(*[c for c in OUTPUT if c in named.columns])
 
@@ -245,25 +294,25 @@ def _fallback(
     catalog: Catalog,
     run: RunDate,
     core: DataFrame | None,
-    relations: Sequence[DataFrame],
-    names: Sequence[DataFrame],
+    relations: Sequence[Source],
+    names: Sequence[Source],
     latest_only: bool = False,
     max_bytes: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Materials from the first relation that has any, names likewise. Each relation is cut to the
     designs asked of it, and so are names that do not fit a broadcast."""
-    all_names = reduce(DataFrame.unionByName, [n.select("brandgood_id", "brandgood_name") for n in names])
-    small = fits(all_names, max_bytes)
-    others: list[Keyed] = [(relation, ["design_id"]) for relation in relations]
+    name_rows = [x.rows for x in names]
+    small = fits(reduce(DataFrame.unionByName, [x.select("brandgood_id", "brandgood_name") for x in name_rows]), max_bytes)
+    others = [x.by("design_id") for x in relations]
     if not small:
-        others += [*((relation, ["brandgood_id"]) for relation in relations), *((n, ["brandgood_id"]) for n in names)]
+        others += [x.by("brandgood_id") for x in [*relations, *names]]
     core, hot = _with_core(catalog, run, core, others)
     n = len(relations)
-    out = fallback_join(core, relations, ["design_id"], MATERIAL, latest_only=latest_only, prefilter=True,
+    out = fallback_join(core, [x.rows for x in relations], ["design_id"], MATERIAL, latest_only=latest_only, prefilter=True,
                         hot_sources=merged_hot(hot[:n]), max_bytes=max_bytes)
     if small:
-        return fallback_join(out, names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, broadcast=True).select(*OUTPUT)
+        return fallback_join(out, name_rows, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, broadcast=True).select(*OUTPUT)
     return fallback_join(
-        stage(out, "materials"), names, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, prefilter=True,
+        stage(out, "materials"), name_rows, ["brandgood_id"], ["brandgood_name"], latest_only=latest_only, prefilter=True,
         hot=merged_hot(hot[n : 2 * n]), hot_sources=merged_hot(hot[2 * n :]), spread_nulls=True, max_bytes=max_bytes,
     ).select(*OUTPUT)
