@@ -114,16 +114,8 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminal
     """The ids the symbols stand for. `lengths`: of what each rule stands for."""
     seq = symbols.astype(np.int64)
     long = np.concatenate((np.zeros(terminals, bool), lengths > SHORT))
-    while True:  # long rules give way to their pairs, level by level
-        is_long = long[seq]
-        if not is_long.any():
-            break
-        at = np.arange(len(seq)) + np.cumsum(is_long) - is_long
-        pairs = rules[seq[is_long] - terminals].astype(np.int64)
-        out = np.empty(len(seq) + len(pairs), np.int64)
-        out[at] = seq
-        out[at[is_long]], out[at[is_long] + 1] = pairs[:, 0], pairs[:, 1]
-        seq = out
+    while (is_long := long[seq]).any():  # long rules give way to their pairs, level by level
+        seq = _opened(seq, is_long, rules, terminals)
     starts, flat = _short_rules(rules, lengths, terminals)
     is_rule = seq >= terminals
     rule = seq[is_rule] - terminals
@@ -138,16 +130,25 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminal
     return out
 
 
+def _opened(seq: np.ndarray, which: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
+    """The sequence with some of its rules replaced by their pairs."""
+    at = np.arange(len(seq)) + np.cumsum(which) - which
+    pairs = rules[seq[which] - terminals].astype(np.int64)
+    out = np.empty(len(seq) + len(pairs), np.int64)
+    out[at] = seq
+    out[at[which]], out[at[which] + 1] = pairs[:, 0], pairs[:, 1]
+    return out
+
+
 def _short_rules(rules: np.ndarray, lengths: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
     """What rules of at most SHORT ids stand for, one after the other, and where each begins."""
     short = lengths <= SHORT
-    texts: list[np.ndarray | None] = []
-    for (left, right), some in zip(rules.tolist(), short.tolist(), strict=True):
-        both = [np.array([s], np.uint32) if s < terminals else texts[s - terminals] for s in (left, right)] if some else None
-        texts.append(np.concatenate(both) if both else None)
     sizes = np.where(short, lengths, 0)
-    kept = [t for t in texts if t is not None]
-    return np.cumsum(sizes) - sizes, np.concatenate(kept) if kept else np.empty(0, np.uint32)
+    starts = np.cumsum(sizes) - sizes
+    seq = rules[short].astype(np.int64).ravel()
+    while (is_rule := seq >= terminals).any():  # all of them at once
+        seq = _opened(seq, is_rule, rules, terminals)
+    return starts, seq.astype(np.uint32)
 
 
 def packed(symbols: np.ndarray, bits: int) -> bytes:
@@ -186,10 +187,10 @@ def shard_bytes(doc_ids: np.ndarray, ids: np.ndarray, bounds: np.ndarray, termin
 
 
 def _rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
-    lengths: list[int] = []
+    lengths = [1] * terminals  # of every symbol: rules name symbols before them only
     for left, right in rules.tolist():
-        lengths.append(sum(1 if s < terminals else lengths[s - terminals] for s in (left, right)))
-    return np.array(lengths, np.int64)
+        lengths.append(lengths[left] + lengths[right])
+    return np.array(lengths[terminals:], np.int64)
 
 
 class Shard:

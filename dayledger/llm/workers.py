@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 Run = Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]
