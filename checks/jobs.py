@@ -1,13 +1,10 @@
 """The jobs on the test tables."""
 
-from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
-
 from checks import roles
 from checks.registry import RUN, Tables, query
-from dayledger import RunDate, plans
+from dayledger import plans
 from dayledger.plans.schemas import REWARD_LOG
 from dayledger.sinks import ensure_table, stage, write_partition
 from dayledger.sinks.staging import fresh_path
@@ -173,8 +170,7 @@ def job_order_material_fallback_shuffled(t: Tables):
 def job_order_material_sketched(t: Tables):
     """The job where each day's key sketches were kept: its relations are not read for hot keys."""
     catalog = roles.order_material(t)
-    days = [RunDate.parse(RUN.days_before(n)) for n in range(7, -1, -1)]
-    kept = stage(reduce(DataFrame.unionByName, [plans.order_material_sketches(catalog, day) for day in days]), "sketches")
+    kept = stage(plans.order_material_sketches(catalog, RUN, before=7), "sketches")
     own = Catalog(t.spark, catalog.tables, sketches=kept)
     return plans.order_material_three_level(own, RUN, max_bytes=0)
 

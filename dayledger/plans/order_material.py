@@ -79,15 +79,21 @@ def _hot(catalog: Catalog, keyed: Sequence[Keyed]) -> list[list[tuple]]:
     return hot_keys_each([(k.rows, k.keys) for k in keyed], stored=stored)
 
 
-def order_material_sketches(catalog: Catalog, run: RunDate) -> DataFrame:
+def order_material_sketches(catalog: Catalog, run: RunDate, before: int = 0) -> DataFrame:
     """The run day's key sketches of all relations of these jobs, to be kept and given to later runs'
-    `Catalog`: relations of seven days are then told from the sketches of their days."""
+    `Catalog`: relations of seven days are then told from the sketches of their days. `before` adds the
+    sketches of so many days before, for the first run."""
     sources = [_relation(catalog, run), _relation(catalog, run, keyed=True), _names(catalog, run)]
+    if before:
+        sources += [_relation(catalog, run, before, keyed=True), _names(catalog, run, before)]
     if catalog.has("order_design_detail"):
-        sources.insert(0, Source(_keyed(_design_detail(catalog, run)), "order_design_detail, keyed", (run.ds,)))
-    keyed = [*_core_keys(catalog, run), *(x.by("brandgood_id") for x in sources), *(x.by("design_id") for x in sources[:-1])]
-    days = [sketch_days(k.rows.withColumn("ds", F.lit(run.ds)), k.relation, k.keys, [run.ds]) for k in keyed]
-    return reduce(DataFrame.unionByName, days)
+        sources.append(Source(_keyed(_design_detail(catalog, run)), "order_design_detail, keyed", (run.ds,)))
+    keyed = [*_core_keys(catalog, run), *(x.by("brandgood_id") for x in sources)]
+    keyed += [x.by("design_id") for x in sources if "design_id" in x.rows.columns]
+    return reduce(DataFrame.unionByName, [
+        sketch_days(k.rows if "ds" in k.rows.columns else k.rows.withColumn("ds", F.lit(run.ds)), k.relation, k.keys, k.days)
+        for k in keyed
+    ])
 
 
 def order_core(
@@ -192,7 +198,7 @@ def order_material_three_level(
     sources = [today, history.without(CNT), Source(detail, "order_design_detail, keyed", (run.ds,))]
     names = [
         *[_names(catalog, run, days) for days in (0, HISTORY_DAYS)],
-        Source(constant_row(catalog.spark, **UNKNOWN_MATERIAL), "one constant row", (run.ds,)),
+        Source(constant_row(catalog.spark, **UNKNOWN_MATERIAL), "one constant row", ()),
     ]
     out = _fallback(catalog, run, core, sources, names, max_bytes=max_bytes)
     return out.withColumn(CNT, F.coalesce(CNT, F.lit(1)))
@@ -305,7 +311,7 @@ def _fallback(
     small = fits(reduce(DataFrame.unionByName, [x.select("brandgood_id", "brandgood_name") for x in name_rows]), max_bytes)
     others = [x.by("design_id") for x in relations]
     if not small:
-        others += [x.by("brandgood_id") for x in [*relations, *names]]
+        others += [x.by("brandgood_id") for x in [*relations, *names] if x.days]  # a constant has no hot key
     core, hot = _with_core(catalog, run, core, others)
     n = len(relations)
     out = fallback_join(core, [x.rows for x in relations], ["design_id"], MATERIAL, latest_only=latest_only, prefilter=True,
