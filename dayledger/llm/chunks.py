@@ -13,11 +13,13 @@ only find out that they are words.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +41,7 @@ LONGEST = 64  # characters of a piece that is remembered
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 # of several newlines before a visible character the last one is a pre-token of its own
 PIECES = re.compile(f" ?[{LETTERS}]+|[.,;:!?]+|\\n+(?=\\n[^\\n])|\\n+")
+MARKS = frozenset(".,;:!?")
 IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
 
 
@@ -84,7 +87,8 @@ class ChunkEncoder:
 
         once = dict.fromkeys(strings[n_chunks:])
         once = dict(zip(once, self.encode(list(once)) if once else [], strict=True))
-        ids = self._ids(strings[:n_chunks]) + [once[t] for t in strings[n_chunks:]]
+        with _uncollected():
+            ids = self._ids(strings[:n_chunks]) + [once[t] for t in strings[n_chunks:]]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(sizes) - sizes
         pool = np.frombuffer(b"".join(ids), np.uint32)
@@ -111,8 +115,10 @@ class ChunkEncoder:
             elif IS_WORD(chunk):
                 words[chunk] = None
             else:
-                pieces = PIECES.findall(chunk)
-                if len("".join(pieces)) == len(chunk) and len(pieces) != 1:
+                # a word and one mark behind it, most often
+                ended = chunk[-1:] in MARKS and IS_WORD(chunk[:-1])
+                pieces = [chunk[:-1], chunk[-1]] if ended else PIECES.findall(chunk)
+                if ended or len("".join(pieces)) == len(chunk) and len(pieces) != 1:
                     cut.append((k, pieces))
                     for piece in pieces:
                         if piece not in known:
@@ -135,6 +141,18 @@ class ChunkEncoder:
         return out
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """No search for garbage cycles while very many small objects are made, of which none is in a cycle."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _strings(texts: pa.Array) -> list[str]:
     return texts.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
 
