@@ -109,9 +109,11 @@ def fallback_join(
     """Left join `base` to the first of the ranked sources that has a match, base row by base row.
 
     Every base row stays. `latest_only` keeps only the newest `ds` of each key in each source,
-    else all matches count. `prefilter` first cuts each source to the base's keys, by a broadcast if they
-    are measured to fit: worth it for a staged base and a source many times its size. `level`
-    names a column for the rank of the source that matched, from 1.
+    else all matches count. `prefilter` first cuts each source to the base's keys if they are measured to fit a
+    broadcast: worth it for a staged base and a source many times its size. Keys that do not fit would
+    have to meet every source in a shuffled join of its own, all of them in one task, only to drop rows that the
+    join with the base drops: the sources are then not cut. `level` names a column for the rank of the source
+    that matched, from 1.
 
     The sources are tagged with their rank and put in one relation; the rows of each key's first
     source, and of its newest day, are the first of the key in that order. So however many sources there
@@ -122,8 +124,8 @@ def fallback_join(
     """
     keys = list(on)
     wanted = base.select(*keys).dropna().distinct() if prefilter else None
-    if wanted is not None and fits(wanted, max_bytes):
-        wanted = F.broadcast(wanted)
+    if wanted is not None and not fits(wanted, max_bytes):
+        wanted = None
     # hot keys are looked for in the sources as they are read, not behind the cuts
     if broadcast:
         hot_matches = []
@@ -136,7 +138,7 @@ def fallback_join(
     tagged = []
     for rank, source in enumerate(sources, start=1):
         if wanted is not None:
-            source = source.join(wanted, keys, "left_semi")
+            source = source.join(F.broadcast(wanted), keys, "left_semi")
         row = [*keys, *[F.col(c).cast(types[c]).alias(n) for c, n in new.items()], F.lit(-rank).alias("_source")]
         if latest_only:
             row.append(F.col("ds").alias("_day"))
@@ -144,7 +146,8 @@ def fallback_join(
     rows = reduce(DataFrame.unionByName, tagged)
     if latest_only or len(sources) > 1:
         by = ["_source", "_day"] if latest_only else ["_source"]
-        rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True)
+        # a task's rows are of one source, so none could go before the shuffle unless days differ
+        rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True, cut=latest_only)
     rows = rows.select(*keys, *new.values(), "_source")
     if broadcast:
         base = base.drop(*cols)

@@ -24,6 +24,7 @@ def first_per_key(
     hot: Sequence[tuple] | None = None,
     keyed: bool = False,
     descending: bool = False,
+    cut: bool = True,
 ) -> DataFrame:
     """The first row per key in ascending `order`, NULL first, or in descending order, NULL last.
 
@@ -33,7 +34,8 @@ def first_per_key(
     With `ties` all rows equal to the first stay, and those of one key would meet in one task. So
     the `hot` keys, looked for unless given, and keys with a NULL part take another way: the first
     values, one per hot key and one per key with a NULL, are joined to the rows. `keyed` says that no
-    key has a NULL part.
+    key has a NULL part. Without `cut` no task cuts, and so sorts, its rows before the shuffle: for ties
+    in which that would drop next to nothing.
     """
     if not ties and not tiebreak:
         raise ValueError("a single first row needs a tiebreak")
@@ -43,20 +45,28 @@ def first_per_key(
     if not ties:
         return _only(df, F.row_number().over(window))
     hot = hot_keys(df, keys) if hot is None else hot
+    value = F.struct(*order)
+    best = F.max if descending else F.min
+
+    def first(rows: DataFrame) -> DataFrame:
+        if cut:
+            return _only(rows, F.rank().over(window))
+        rows = rows.withColumn("_first", best(value).over(Window.partitionBy(*keys)))
+        return rows.where(value.eqNullSafe(F.col("_first"))).drop("_first")
+
     if keyed and not hot:
-        return _only(df, F.rank().over(window))
+        return first(df)
     # a NULL key is never looked for and may be many rows: it is held apart too
     held = flag(is_hot(keys, hot)) | has_null(keys)
-    value = F.struct(*order)
     held_rows = df.where(held)
-    firsts = held_rows.groupBy(*keys).agg((F.max if descending else F.min)(value).alias("_first"))
+    firsts = held_rows.groupBy(*keys).agg(best(value).alias("_first"))
     firsts = firsts.withColumnsRenamed({k: f"_held_{k}" for k in keys})
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
     if len(keys) == 1:  # a row per hot key, and one for NULL
         firsts = F.broadcast(firsts)
     held_first = held_rows.join(firsts, same & value.eqNullSafe(F.col("_first")))
     held_first = held_first.drop("_first", *[f"_held_{k}" for k in keys])
-    return _only(df.where(~held), F.rank().over(window)).unionByName(held_first)
+    return first(df.where(~held)).unionByName(held_first)
 
 
 def latest_per_key(

@@ -206,3 +206,20 @@ def test_names_come_last_whichever_way_they_are_joined(frame):
     outs = [lookup(df, dim, "k", "v", {"a": "an", "b": "bn"}, max_bytes=n) for n in (0, 10**6)]
     assert outs[0].columns == outs[1].columns == ["id", "a", "b", "an", "bn"]
     assert got(outs[0]) == got(outs[1]) == [(1, 7, 8, "seven", None), (2, None, 9, None, "nine")]
+
+
+@pytest.mark.parametrize("hot", [[], [(7,), (8,)]])
+def test_sources_that_no_broadcast_cuts_meet_the_base_once(spark, frame, hot):
+    base = frame("k long", (1,), (2,), (7,), (8,), (None,))
+    one = frame("k long, v string", (7, "a"), (7, "a"), (None, "x"), (9, "far"), (1, None))
+    two = frame("k long, v string", (7, "b"), (2, "c"), (2, "d"), (8, "e"), (8, "e"), (10, "far"), (1, "late"))
+    three = frame("k long, v string", (2, "f"), (8, "g"), (None, "y"))
+    sources = [one, two, three]
+    out = fallback_join(base, sources, ["k"], ["v"], level="level", prefilter=True, max_bytes=0, hot_sources=hot)
+    physical = plan(out).split("== Physical Plan ==")[1]
+    # a task holds neither the keys beside each source nor a scan's rows in order
+    assert "LeftSemi" not in physical and "WindowGroupLimit" not in physical
+    cut = fallback_join(base, sources, ["k"], ["v"], level="level", prefilter=True, max_bytes=10**6, hot_sources=hot)
+    assert plan(cut).split("== Physical Plan ==")[1].count("LeftSemi") >= 3
+    want = [(None, None, None), (1, None, 1), (2, "c", 2), (2, "d", 2), (7, "a", 1), (7, "a", 1), (8, "e", 2), (8, "e", 2)]
+    assert got(out) == got(cut) == want
