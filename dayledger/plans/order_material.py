@@ -75,8 +75,11 @@ class Source:
 
 def _hot(catalog: Catalog, keyed: Sequence[Keyed]) -> list[list[tuple]]:
     """The hot keys of each relation, told from the catalog's sketches where all its days have one."""
+    relations = [(k.rows, k.keys) for k in keyed]
     stored = [catalog.sketch(k.relation, k.keys, k.days) for k in keyed]
-    return hot_keys_each([(k.rows, k.keys) for k in keyed], stored=stored)
+    if all(kept is None for kept in stored):
+        return hot_keys_each(relations)
+    return hot_keys_each(relations, stored=stored)
 
 
 def order_material_sketches(catalog: Catalog, run: RunDate, before: int = 0) -> DataFrame:
