@@ -21,22 +21,30 @@ SHORT, LONG = 300, 600  # characters: words count above the first, characters up
 UNSPACED = 16  # characters a word, above which the text is taken by characters too
 WORDS, CHARACTERS = (2, 4), (4, 12)  # units in an inner substring, inner substrings in a k-mer
 BUCKET_BITS = 8  # a range holds 256 ids
+ANCHORS = ["own_a", "own_ap", "own_c", "own_cp"]
 
 
 def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
     """`df` with arrays {name}_w, {name}_wp, {name}_c, {name}_cp: hashes and places of the anchors by
     words and by characters; null where that unit is not used. {name}_a, {name}_ap: those by words of
     every text, short ones too. `text` must not be null."""
+    return _by_words(_anchored(df, text, name), text, name)
+
+
+def _anchored(df: DataFrame, text: str, name: str) -> DataFrame:
     length, units = F.char_length(text), f"_{name}_words"
     df = df.withColumn(units, F.split(text, "\\s+"))
-    by_words = length > SHORT
     by_characters = (length <= LONG) | (F.size(units) * UNSPACED < length)
     characters = f"_{name}_characters"
     df = df.withColumn(characters, F.when(by_characters, F.split(text, "")))
     for column, (inner, wide), short in ((units, WORDS, "a"), (characters, CHARACTERS, "c")):
         df = _anchors(df, column, text, inner, wide, f"{name}_{short}")
-    used = {f"{name}_{w}": F.when(by_words, F.col(f"{name}_{a}")) for w, a in (("w", "a"), ("wp", "ap"))}
-    return df.withColumns(used).drop(units, characters)
+    return df.drop(units, characters)
+
+
+def _by_words(df: DataFrame, text: str, name: str) -> DataFrame:
+    by_words = F.char_length(text) > SHORT
+    return df.withColumns({f"{name}_{w}": F.when(by_words, F.col(f"{name}_{a}")) for w, a in (("w", "a"), ("wp", "ap"))})
 
 
 def _anchors(df: DataFrame, units: str, text: str, inner: int, wide: int, out: str) -> DataFrame:
@@ -151,8 +159,9 @@ def likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 def followed(docs: DataFrame) -> DataFrame:
     """doc_id, text (null: empty) and next_text, the text of the next row in ascending doc_id, of the
-    first row after the last. Rows of one id follow each other by text; a row without an id has no
-    next text, which counts as empty.
+    first row after the last, and the anchors of both: own_a, own_ap, own_c, own_cp and next_a and so on, found
+    once for each row, which then goes to the one before with them. Rows of one id follow each other by text;
+    a row without an id has no next text, which counts as empty.
 
     Ids are cut into ranges of 256; a range is ordered in one task, with the first row of the next
     range that has any as a guest at its end.
@@ -168,11 +177,19 @@ def followed(docs: DataFrame) -> DataFrame:
     guests = has_id.join(hosts, F.col("doc_id") == F.col("first")).select("bucket", "doc_id", "text", F.lit(True).alias("guest"))
     # rows without an id are spread by their text and ordered with nothing
     own = rows.select(F.coalesce(bucket, F.xxhash64("text")).alias("bucket"), "doc_id", "text", F.lit(False).alias("guest"))
-    order = Window.partitionBy(F.col("doc_id").isNull(), "bucket").orderBy("guest", "doc_id", "text")
-    following = F.when(F.col("doc_id").isNotNull(), F.lead("text").over(order))
+    places, order = ["loose", "bucket"], ["guest", "doc_id", "text"]
+    # anchors are found behind the shuffle, which moves the texts alone, and before the window
+    dealt = own.unionByName(guests).withColumn("loose", F.col("doc_id").isNull()).repartition(*places)
+    told = _anchored(dealt.sortWithinPartitions(*places, *order), "text", "own")
+    order = Window.partitionBy(*places).orderBy(*order)
+    following = F.when(F.col("doc_id").isNotNull(), F.lead(F.struct("text", *ANCHORS)).over(order))
+    # the empty text is too short for a syncmer: one anchor as a whole, by either unit
+    whole, place = F.array(F.shiftright(F.xxhash64(F.lit("")), 32).cast("int")), F.array(F.lit(0))
+    empty = F.struct(F.lit("").alias("text"), *[(place if c.endswith("p") else whole).alias(c) for c in ANCHORS])
     return (
-        own.unionByName(guests).withColumn("next_text", F.coalesce(following, F.lit("")))
-        .where("NOT guest").select("doc_id", "text", "next_text")
+        told.withColumn("_next", F.coalesce(following, empty)).where("NOT guest")
+        .select("doc_id", "text", *ANCHORS, F.col("_next.text").alias("next_text"),
+                *[F.col(f"_next.{c}").alias(c.replace("own", "next")) for c in ANCHORS])
     )
 
 
@@ -204,8 +221,7 @@ def compared(docs: DataFrame) -> DataFrame:
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.substring("next_text", F.lit(1), cut))
     df = df.withColumn("edited", edited)
-    for text, name in (("text", "own"), ("edited", "edited"), ("next_text", "next")):
-        df = fingerprinted(df, text, name)
+    df = fingerprinted(_by_words(df, "text", "own"), "edited", "edited")
     df = likeness(likeness(df, "own", "edited", "near_edited"), "own", "next", "near_next")
     return df.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),

@@ -304,6 +304,16 @@ def test_a_single_document_follows_itself(spark):
     assert syncmers.compared(documents(spark, [])).count() == 0
 
 
+def test_anchors_of_a_text_are_found_once(spark, monkeypatch):
+    """They go to the row before with the text. A row without an id has the empty text behind it."""
+    found, real = [], syncmers._anchors
+    monkeypatch.setattr(syncmers, "_anchors", lambda df, units, text, *rest: found.append(text) or real(df, units, text, *rest))
+    rows = [(None, ""), (None, "some words"), (7, "some words"), (7, "some words"), (300, ""), (900, "some words")]
+    got = sorted((r["doc_id"] or 0, r["n_chars"], r["near_next"]) for r in syncmers.compared(documents(spark, rows)).collect())
+    assert sorted(found) == ["edited", "edited", "text", "text"]
+    assert got == [(0, 0, 1.0), (0, 10, 0.0), (7, 10, 0.0), (7, 10, 1.0), (300, 0, 0.0), (900, 10, 1.0)]
+
+
 def test_fingerprints_run_no_python(spark):
     text = syncmers.compared(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text
