@@ -45,6 +45,12 @@ MARKS = frozenset(".,;:!?")
 IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
 
 
+def is_word(piece: str) -> bool:
+    """Letters with or without a space before; most are ASCII, which needs no pattern."""
+    letters = piece[1:] if piece[:1] == " " else piece
+    return letters.isalpha() if letters.isascii() else IS_WORD(piece) is not None
+
+
 class ChunkEncoder:
     """Encodes Arrow text columns. Pieces and their ids are remembered up to about `limit` bytes, then
     forgotten all at once, so that a worker's memory stays bounded. `words` encodes pieces that are
@@ -112,17 +118,17 @@ class ChunkEncoder:
             chunk = chunks[k]
             if self.words is None:
                 rest[chunk] = None
-            elif IS_WORD(chunk):
+            elif is_word(chunk):
                 words[chunk] = None
             else:
                 # a word and one mark behind it, most often
-                ended = chunk[-1:] in MARKS and IS_WORD(chunk[:-1])
+                ended = chunk[-1:] in MARKS and is_word(chunk[:-1])
                 pieces = [chunk[:-1], chunk[-1]] if ended else PIECES.findall(chunk)
                 if ended or len("".join(pieces)) == len(chunk) and len(pieces) != 1:
                     cut.append((k, pieces))
                     for piece in pieces:
                         if piece not in known:
-                            (words if IS_WORD(piece) else rest)[piece] = None
+                            (words if is_word(piece) else rest)[piece] = None
                     continue
                 rest[chunk] = None  # marks alone, or other characters: not to be cut
             plain.append(k)
@@ -221,6 +227,12 @@ def _word_encoder(tokenizer) -> Encode | None:
         joined = joined.encode().decode("latin-1")
         for byte, letter in spelled:
             joined = joined.replace(byte, letter)
-        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in joined.split("\n")]
+        ids: list[int] = []
+        ends = [0]
+        for w in joined.split("\n"):
+            ids += [t.id for t in tokenize(w)]
+            ends.append(len(ids))
+        data = array("I", ids).tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)]
 
     return encode

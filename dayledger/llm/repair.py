@@ -100,8 +100,10 @@ def _occurrences(at: np.ndarray, slot: np.ndarray, pairs: np.ndarray, chosen: np
     table = np.full(1 << BITS, -1, np.int32)
     table[slots] = np.arange(len(chosen), dtype=np.int32)
     which = table[slot]
-    same = (which >= 0) & (chosen[which] == pairs)  # a pair that lost its slot waits a round
-    at, which = at[same], which[same]
+    hit = np.flatnonzero(which >= 0)
+    which = which[hit]
+    same = chosen[which] == pairs[hit]  # a pair that lost its slot waits a round
+    at, which = at[hit[same]], which[same]
     if not len(at):
         return at, which
     new_run = np.concatenate(([True], np.diff(at) > 1))
@@ -187,10 +189,14 @@ def shard_bytes(doc_ids: np.ndarray, ids: np.ndarray, bounds: np.ndarray, termin
 
 
 def _rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
-    lengths = [1] * terminals  # of every symbol: rules name symbols before them only
-    for left, right in rules.tolist():
-        lengths.append(lengths[left] + lengths[right])
-    return np.array(lengths[terminals:], np.int64)
+    lengths = np.ones(terminals + len(rules), np.int64)  # of every symbol
+    highest = np.maximum.accumulate(rules.max(axis=1)) if len(rules) else rules
+    done = 0
+    while done < len(rules):  # rules name symbols before them only: as many at once as name known ones
+        end = int(np.searchsorted(highest, terminals + done))
+        lengths[terminals + done : terminals + end] = lengths[rules[done:end]].sum(axis=1)
+        done = end
+    return lengths[terminals:]
 
 
 class Shard:

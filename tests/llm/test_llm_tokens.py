@@ -322,3 +322,11 @@ def test_a_text_read_back_from_its_file(spark):
         shard = repair.Shard(file)
         k = shard.doc_ids.tolist().index(1)
         assert crc(shard.ids(k)) == row["ids_crc32"] and shard.ids(k, 10, 20).tolist() == shard.ids(k).tolist()[10:20]
+
+
+def test_words_and_rule_lengths_are_found_as_by_their_definition():
+    for piece in ["", " ", "a", " a", "  a", "a b", " \u00e9", "\u00aa", "a\u00aa", "\u01c5", " Ab", "a1", "\n", "a.", "\u0130", "\u0131"]:
+        assert chunks.is_word(piece) == (chunks.IS_WORD(piece) is not None), piece
+    rules = np.array([[0, 1], [2, 2], [4, 0], [5, 6], [1, 1], [7, 8]], np.uint32)
+    assert repair._rule_lengths(rules, 4).tolist() == [2, 2, 3, 5, 2, 7]
+    assert repair._rule_lengths(rules[:0], 4).tolist() == []
