@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.operators.records import first_per_key
-from dayledger.operators.sizing import BROADCAST_LIMIT, fits
+from dayledger.operators.sizing import BROADCAST_LIMIT, fits, task_parts
 from dayledger.operators.skew import (
     HOT_ROWS,
     HOT_SHARE,
@@ -119,7 +119,8 @@ def fallback_join(
     source, and of its newest day, are the first of the key in that order. So however many sources there
     are, their rows meet once and the base is joined, and shuffled, once. Base rows of the `hot` keys, and
     with `spread_nulls` those with a NULL key, are dealt over slots. Hot keys of the sources are looked for
-    unless `hot_sources` has them. `broadcast` says that all sources together were measured to fit: the base
+    unless `hot_sources` has them. The rows of the sources, and of a staged base, are measured, and dealt into as many
+    parts as keep a task small, unless `latest_only`. `broadcast` says that all sources together were measured to fit: the base
     is then not shuffled at all.
     """
     keys = list(on)
@@ -144,17 +145,20 @@ def fallback_join(
             row.append(F.col("ds").alias("_day"))
         tagged.append(source.select(*row).dropna(subset=[*keys, "_day"] if latest_only else keys))
     rows = reduce(DataFrame.unionByName, tagged)
-    if latest_only or len(sources) > 1:
+    parts = None if broadcast or latest_only else task_parts(rows, *([base] if prefilter else []))
+    ranked = latest_only or len(sources) > 1
+    if ranked:
         by = ["_source", "_day"] if latest_only else ["_source"]
         # a task's rows are of one source, so none could go before the shuffle unless days differ
-        rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True, cut=latest_only)
+        rows = first_per_key(rows, keys, by, ties=True, hot=hot_matches, keyed=True, descending=True, cut=latest_only, parts=parts)
     rows = rows.select(*keys, *new.values(), "_source")
     if broadcast:
         base = base.drop(*cols)
         joined = base.join(F.broadcast(rows), keys, "left")
         out = joined.select(*[f"`{c}`" for c in [*base.columns, *new.values(), "_source"]])
     else:
-        out = spread_join(base.drop(*cols), rows, keys, "left",
-                          hot_left=hot, hot_right=hot_matches, spread_nulls=spread_nulls)
+        slotted = hot or hot_matches or spread_nulls
+        out = spread_join(base.drop(*cols), rows, keys, "left", hot_left=hot, hot_right=hot_matches, spread_nulls=spread_nulls,
+                          parts=parts if slotted or not ranked else None)  # ranked rows lie by key already
     out = out.withColumnsRenamed({n: c for c, n in new.items()})
     return out.drop("_source") if level is None else out.withColumn("_source", -F.col("_source")).withColumnRenamed("_source", level)

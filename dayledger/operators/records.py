@@ -25,6 +25,7 @@ def first_per_key(
     keyed: bool = False,
     descending: bool = False,
     cut: bool = True,
+    parts: int | None = None,
 ) -> DataFrame:
     """The first row per key in ascending `order`, NULL first, or in descending order, NULL last.
 
@@ -35,7 +36,8 @@ def first_per_key(
     the `hot` keys, looked for unless given, and keys with a NULL part take another way: the first
     values, one per hot key and one per key with a NULL, are joined to the rows. `keyed` says that no
     key has a NULL part. Without `cut` no task cuts, and so sorts, its rows before the shuffle: for ties
-    in which that would drop next to nothing.
+    in which that would drop next to nothing; the rows are then shuffled into `parts`, if given, which
+    adaptive execution does not merge.
     """
     if not ties and not tiebreak:
         raise ValueError("a single first row needs a tiebreak")
@@ -51,6 +53,7 @@ def first_per_key(
     def first(rows: DataFrame) -> DataFrame:
         if cut:
             return _only(rows, F.rank().over(window))
+        rows = rows if parts is None else rows.repartition(parts, *keys)
         rows = rows.withColumn("_first", best(value).over(Window.partitionBy(*keys)))
         return rows.where(value.eqNullSafe(F.col("_first"))).drop("_first")
 

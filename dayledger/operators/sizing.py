@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 100 * 1024 * 1024
+TASK_BYTES = 32 * 1024 * 1024
 
 _FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
 
@@ -28,6 +29,14 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
+def task_parts(*dfs: DataFrame) -> int | None:
+    """Into how many parts rows that meet by key are dealt, so that a task sorts about TASK_BYTES of them
+    whatever the session's shuffle partitions; nothing where one part holds them all. Runs each of
+    `dfs` once, as `fits` does."""
+    parts = -(-sum(measured_bytes(df) for df in dfs) // TASK_BYTES)
+    return parts if parts > 1 else None
+
+
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """`df` hinted for a broadcast if it is small enough, else `df` for a shuffled join."""
     return F.broadcast(df) if fits(df, max_bytes) else df

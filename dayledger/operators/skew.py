@@ -141,6 +141,7 @@ def spread_join(
     hot_right: Sequence[tuple[Any, ...]] = (),
     spread_nulls: bool = False,
     ways: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Equi-join on shared column names (`inner`, `left`, `left_semi`, `left_anti`).
 
@@ -153,6 +154,8 @@ def spread_join(
     A key has slots by its share of the rows, at most `ways` (the session's shuffle partitions,
     unless given). So copies are few beside the result: a copied row meets every row of the hot
     key, of which there are many more.
+
+    Both sides are shuffled into `parts`, if given, which adaptive execution neither merges nor splits.
     """
     keys = list(on)
     if how in ("left_semi", "left_anti"):
@@ -188,6 +191,8 @@ def spread_join(
     right = right.withColumnsRenamed(names)
     if hot_right and how == "left":
         right = right.withColumn("_hit", F.lit(True))
+    if parts is not None:
+        right = right.repartition(parts, *names.values())
     cond = reduce(and_, [F.col(a) == F.col(b) for a, b in names.items()])
     out = left.join(right, cond if when is None else cond & when, how)
     if hot_right and how == "left":  # of the copies, those that met rows of their slot

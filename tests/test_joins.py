@@ -223,3 +223,20 @@ def test_sources_that_no_broadcast_cuts_meet_the_base_once(spark, frame, hot):
     assert plan(cut).split("== Physical Plan ==")[1].count("LeftSemi") >= 3
     want = [(None, None, None), (1, None, 1), (2, "c", 2), (2, "d", 2), (7, "a", 1), (7, "a", 1), (8, "e", 2), (8, "e", 2)]
     assert got(out) == got(cut) == want
+
+
+@pytest.mark.parametrize("hot", [[], [(7,)]])
+def test_fallback_tasks_stay_small_however_few_parts_the_session_has(spark, shuffled, monkeypatch, hot):
+    base = spark.range(0, 4000).selectExpr("IF(id % 50 = 0, 7, id) AS k", "id AS x")
+    one = spark.range(0, 3000, 1, 4).selectExpr("id AS k", "concat('one', id) AS v")
+    two = spark.range(1000, 3500, 1, 4).selectExpr("id AS k", "concat('two', id) AS v")
+
+    def join():
+        return fallback_join(base, [one, two], ["k"], ["v"], prefilter=True, max_bytes=0, hot_sources=hot)
+
+    plain = join()
+    want, before = got(plain), tasks(plain)
+    monkeypatch.setattr("dayledger.operators.sizing.TASK_BYTES", 16 * 1024)
+    dealt = join()
+    assert got(dealt) == want and len(want) == 4000
+    assert before <= 4 < 10 < tasks(dealt)
