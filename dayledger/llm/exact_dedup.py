@@ -18,9 +18,11 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.operators.sizing import checked_broadcast
 from dayledger.sinks.staging import stage
 
 FAN_IN = 8
+GONE_BYTES = 32 << 20  # of what goes: a broadcast takes some times that in the driver
 KEY = ["text_sha256", "n_bytes", "check"]  # equal digests with another length or check hash stay apart
 
 
@@ -70,14 +72,15 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of `docs` per text, with all its columns: that of the largest doc_id. Of rows that share
-    id and text too, any one."""
+    id and text too, any one. What goes is broadcast where it was measured to fit, so that the documents
+    are not shuffled to drop a few."""
     marked = exact_dedup(docs).groupBy("doc_id", "text_sha256", "kept").agg(F.count("*").alias("rows"))
-    marked = stage(marked.where("NOT kept OR rows > 1"), "marked")
+    marked = stage(marked.where("NOT kept OR rows > 1").withColumn("sha256", F.unhex("text_sha256")), "marked")
     # the rows of `docs` travel whole, in one column, so that no name of theirs can clash
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(), 256).alias("digest"))
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("text_sha256"))
-    out = rows.join(marked.where("NOT kept"), same, "left_anti")
-    again = marked.where("kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.sha2(normalised(), 256)).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("digest") == F.col("sha256"))
+    gone, again = (marked.where(which).select("doc_id", "sha256") for which in ("NOT kept", "kept"))
+    out = rows.join(checked_broadcast(gone, GONE_BYTES), same, "left_anti")
     if not again.isEmpty():
         repeated = out.join(again, same, "left_semi").dropDuplicates(["id", "digest"])
         out = out.join(again, same, "left_anti").unionByName(repeated)

@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from dayledger.llm import minhash
 from dayledger.llm.chunks import sliced
 from dayledger.llm.components import components
+from dayledger.llm.exact_dedup import GONE_BYTES
 from dayledger.llm.workers import in_arrow
+from dayledger.operators.sizing import checked_broadcast
 from dayledger.sinks.staging import stage
 
 
@@ -258,7 +260,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
 def deduplicated(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The rows of `docs`, all columns as they are, that `near_dedup` keeps: one id of each component.
-    Rows without an id stay."""
-    gone = near_dedup(docs, settings).where("NOT kept").select("doc_id").distinct()
+    Rows without an id stay. What goes is broadcast where it was measured to fit, so that the documents
+    are not shuffled to drop a few."""
+    gone = stage(near_dedup(docs, settings).where("NOT kept").select("doc_id").distinct(), "gone")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return rows.join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("row.*")
+    return rows.join(checked_broadcast(gone, GONE_BYTES), F.col("id") == F.col("doc_id"), "left_anti").select("row.*")

@@ -363,3 +363,16 @@ def test_short_texts_are_compared_with_long_ones(spark):
     assert len(short) == 300 and len(long) == 601
     assert 0.4 < near_next(spark, short, long) < 0.6 and 0.4 < near_next(spark, long, short) < 0.6
     assert near_next(spark, "", long) == 0.0 and near_next(spark, "", "") == 1.0
+
+
+@pytest.mark.parametrize("dedup", [exact_dedup.deduplicated, near_dedup.deduplicated])
+def test_documents_are_not_shuffled_to_drop_a_few(spark, dedup):
+    docs = documents(spark, near_copies())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a list of ids that is over it
+    try:
+        left = dedup(docs)
+        assert re.search("BroadcastHashJoin.*LeftAnti", left._jdf.queryExecution().toString())
+        assert 0 < left.count() <= docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
