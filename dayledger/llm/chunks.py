@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,10 @@ LONGEST = 64  # characters of a piece that is remembered
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 # of several newlines before a visible character the last one is a pre-token of its own
 PIECES = re.compile(f" ?[{LETTERS}]+|[.,;:!?]+|\\n+(?=\\n[^\\n])|\\n+")
-MARKS = frozenset(".,;:!?")
 IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
+# the same, and a word with one mark behind it, for a whole Arrow column at once
+WORDS = f"^ ?[{LETTERS}]+\\z"
+ENDED = f"^ ?[{LETTERS}]+[.,;:!?]\\z"
 
 
 def is_word(piece: str) -> bool:
@@ -100,7 +103,12 @@ class ChunkEncoder:
         pool = np.frombuffer(b"".join(ids), np.uint32)
         taken = sizes[of_chunk]
         ends = np.cumsum(taken)
-        out = pool[np.arange(ends[-1]) + np.repeat(starts[of_chunk] - (ends - taken), taken)]
+        shift = starts[of_chunk] - (ends - taken)
+        if ends[-1] < 1 << 31 and len(pool) < 1 << 31:  # half the bytes to move
+            shift = shift.astype(np.int32)
+        places = np.repeat(shift, taken)
+        places += np.arange(len(places), dtype=places.dtype)
+        out = pool[places]
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return out, bounds
 
@@ -111,42 +119,58 @@ class ChunkEncoder:
         known = self.known
         out = list(map(known.get, chunks))
         new = [k for k, ids in enumerate(out) if ids is None]
-        words, rest = {}, {}
+        words: dict[str, None] = {}
+        rest: dict[str, None] = {}
         cut: list[tuple[int, list[str]]] = []
-        plain = []
-        for k in new:
-            chunk = chunks[k]
-            if self.words is None:
-                rest[chunk] = None
-            elif is_word(chunk):
-                words[chunk] = None
-            else:
-                # a word and one mark behind it, most often
-                ended = chunk[-1:] in MARKS and is_word(chunk[:-1])
-                pieces = [chunk[:-1], chunk[-1]] if ended else PIECES.findall(chunk)
-                if ended or len("".join(pieces)) == len(chunk) and len(pieces) != 1:
+        plain, ended, stems, marks = new, [], [], []
+        if self.words is None:
+            rest = dict.fromkeys([chunks[k] for k in new])
+        else:
+            plain, ended, others = _sorted_out(chunks, new)
+            words = dict.fromkeys([chunks[k] for k in plain])
+            # a word and one mark behind it
+            stems, marks = [chunks[k][:-1] for k in ended], [chunks[k][-1] for k in ended]
+            words |= dict.fromkeys([stem for stem in dict.fromkeys(stems) if stem not in known])
+            rest = dict.fromkeys([mark for mark in dict.fromkeys(marks) if mark not in known])
+            for k in others:
+                chunk = chunks[k]
+                pieces = PIECES.findall(chunk)
+                if len("".join(pieces)) == len(chunk) and len(pieces) != 1:
                     cut.append((k, pieces))
                     for piece in pieces:
                         if piece not in known:
                             (words if is_word(piece) else rest)[piece] = None
-                    continue
-                rest[chunk] = None  # marks alone, or other characters: not to be cut
-            plain.append(k)
+                else:
+                    rest[chunk] = None  # marks alone, or other characters: not to be cut
+                    plain.append(k)
         found: dict[str, bytes] = {}
         for some, encode in ((words, self.words), (rest, self.encode)):
             if some:
                 found |= zip(some, encode(list(some)), strict=True)
+        known.update(found)
         for k in plain:
-            out[k] = found[chunks[k]]
+            out[k] = known[chunks[k]]
+        ids_of = known.__getitem__
+        for k, ids in zip(ended, map(add, map(ids_of, stems), map(ids_of, marks)), strict=True):
+            out[k] = ids
         for k, pieces in cut:
-            out[k] = b"".join([found[p] if p in found else known[p] for p in pieces])
+            out[k] = b"".join([known[p] for p in pieces])
         if max(map(len, found), default=0) > LONGEST:
-            found = {s: i for s, i in found.items() if len(s) <= LONGEST}
-        known.update(found)
+            for long in [s for s in found if len(s) > LONGEST]:
+                del known[long], found[long]
         self.held += sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
         return out
 
 
+def _sorted_out(chunks: list[str], which: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """Those of the chunks that are words, that are words with one mark behind, and the others."""
+    if not which:
+        return [], [], []
+    some, at = pa.array([chunks[k] for k in which], pa.large_string()), np.array(which)
+    word, ended = (pc.match_substring_regex(some, p).to_numpy(zero_copy_only=False) for p in (WORDS, ENDED))
+    return at[word].tolist(), at[ended].tolist(), at[~word & ~ended].tolist()
+
+
 @contextmanager
 def _uncollected() -> Iterator[None]:
     """No search for garbage cycles while very many small objects are made, of which none is in a cycle."""

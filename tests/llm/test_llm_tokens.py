@@ -330,3 +330,16 @@ def test_words_and_rule_lengths_are_found_as_by_their_definition():
     rules = np.array([[0, 1], [2, 2], [4, 0], [5, 6], [1, 1], [7, 8]], np.uint32)
     assert repair._rule_lengths(rules, 4).tolist() == [2, 2, 3, 5, 2, 7]
     assert repair._rule_lengths(rules[:0], 4).tolist() == []
+
+
+def test_words_and_words_with_a_mark_are_told_by_column(monkeypatch):
+    pieces = ["a", " Ab", " \u00e9t\u00e9,", "a.", " a", "a1", ".", " .", "a.!", "\u0130", " b\n", "\u00aa", "a\n", "", " "]
+    word, ended, others = chunks._sorted_out(["known", *pieces], list(range(1, len(pieces) + 1)))
+    assert word == [k for k, x in enumerate(pieces, 1) if chunks.IS_WORD(x)]
+    assert ended == [k for k, x in enumerate(pieces, 1) if x[-1:] in set(".,;:!?") and chunks.IS_WORD(x[:-1])]
+    assert sorted(word + ended + others) == list(range(1, len(pieces) + 1))
+    library_encoder.cache_clear()
+    encoder = library_encoder(WORD)
+    monkeypatch.setattr(chunks, "is_word", None)  # no piece of such a text is looked at alone
+    flat, _ = encoder(pa.array(["Some words, some more! And the words."]))
+    assert flat.tolist() == Tokenizer.from_file(WORD).encode("Some words, some more! And the words.", add_special_tokens=False).ids
