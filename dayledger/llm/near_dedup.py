@@ -99,7 +99,7 @@ def near_dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     hubs = member.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
     shared = stage(member.join(hubs, "key").select("key", "hub", "node"), "buckets")
     # ids that stand for several classes are linked to themselves by their id
-    stars = shared.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    stars = _once(shared.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")))
     # of the whole texts only those of documents that share a bucket move, once
     texts = stage(texts.join(shared.select("node").distinct(), "node", "left_semi"), "texts")
     links = stage(_confirmed(_alike(stars, nodes, s), texts, s), "links")
@@ -108,12 +108,15 @@ def near_dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     labelled = shared.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.where("low < high").select("key", "members")
-    across = _confirmed(_across(labelled.join(mixed, "key"), nodes, texts, s), texts, s)
-    links = links.union(stage(across, "links"))
-
-    label = components(links)
-    found = nodes.join(label, "node", "left").where("copies > 1 OR component IS NOT NULL")
-    found = stage(found.select("class", F.coalesce("component", "node").alias("component")), "components")
+    across = stage(_confirmed(_across(labelled.join(mixed, "key"), nodes, texts, s), texts, s), "links")
+
+    # these links join whole components: only the ends of theirs and what those stand in go on
+    ends = across.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    joined = stage(across.union(label.join(ends, "node", "left_semi").select("node", "component")), "links")
+    whole = components(joined).select(F.col("node").alias("first"), F.col("component").alias("whole"))
+    found = nodes.join(label, "node", "left").select("class", "copies", "node", F.coalesce("component", "node").alias("first"), "component")
+    found = found.join(whole, "first", "left").where("copies > 1 OR component IS NOT NULL OR whole IS NOT NULL")
+    found = stage(found.select("class", F.coalesce("whole", "first").alias("component")), "components")
     out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
     component = F.coalesce("component", "doc_id")
     return out.join(found, "class", "left").select(
@@ -124,7 +127,7 @@ def near_dedup(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
 def _alike(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     """Pairs (a, b) whose sizes and signatures allow a link."""
     of = nodes.select("node", "n", "signature")
-    for side in "ab":
+    for side in "ba":  # dealt by b as they come
         pairs = pairs.join(of.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}")), side)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +138,12 @@ def _alike(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(alike))
 
     sized = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * s.percent)
-    return in_arrow(sized.select("a", "b", "s_a", "s_b"), keep, "a long, b long", "near_dedup").distinct()
+    return _once(in_arrow(sized.select("a", "b", "s_a", "s_b"), keep, "a long, b long", "near_dedup"))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) once, dealt by b, the larger id, as the join with b wants it: hubs are an a."""
+    return pairs.repartition("b").distinct()
 
 
 def _matrix(column: pa.Array, s: Settings) -> np.ndarray:
@@ -212,7 +220,8 @@ def _across(members: DataFrame, nodes: DataFrame, texts: DataFrame, s: Settings)
     together = in_arrow(dealt.repartition(parts, *GROUP).sortWithinPartitions(*GROUP), candidates, MEMBER, "near_dedup")
     with_text = stage(together, "candidates").join(texts, "node")
     grouped = with_text.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
-    return in_arrow(grouped, links, "a long, b long", "near_dedup").where("a < b").distinct()
+    pairs = in_arrow(grouped, links, "a long, b long", "near_dedup").where("a < b")
+    return _once(pairs)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -237,7 +246,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar."""
+    """The pairs (a, b) whose full shingle sets are similar; some more than once where ids repeat."""
     for side in "ba":  # a is the smaller id, a hub perhaps: its rows come last and lie together
         pairs = pairs.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
 
@@ -255,7 +264,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return in_arrow(pairs.select("a", "b", "text_a", "text_b"), confirm, "a long, b long", "near_dedup").distinct()
+    return in_arrow(pairs.select("a", "b", "text_a", "text_b"), confirm, "a long, b long", "near_dedup")
 
 
 def deduplicated(docs: DataFrame, settings: Settings | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from odd import LONG, ODD, documents, prose
 from pyspark.sql import functions as F
 
 from dayledger.llm import components, exact_dedup, minhash, near_dedup, syncmers
+from dayledger.sinks.staging import stage
 
 
 def lower(text):
@@ -181,6 +182,28 @@ def test_components_of_long_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_take_no_round_and_chains_few(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components, "stage", lambda df, name: rounds.append(name) or stage(df, name))
+    stars = [(1000 * k, 1000 * k + i) for k in range(1, 4) for i in range(1, 40)]
+    found = components.components(stage(spark.createDataFrame([*stars, *stars, (7, 7)], "a long, b long"), "stars"))
+    assert {tuple(r) for r in found.collect()} == {(b, a) for a, b in stars} | {(a, a) for a, _ in stars} and not rounds
+    found = components.components(stage(spark.createDataFrame([(2, 1), (2, 3), (9, 8)], "a long, b long"), "chain"))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)} and len(rounds) == 1
+
+
+def test_links_found_before_are_not_joined_again(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(near_dedup, "components", lambda links: seen.append(links.count()) or components.components(links))
+    rows = []
+    for base in range(6):
+        text = prose(150, 900 + base)
+        rows += [(10 * base + k, f"{text} end{k}") for k in range(1, 5)]
+    got = near_dedup.near_dedup(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near(rows)
+    assert seen[0] >= 18 and seen[1] == 0
+
+
 def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
