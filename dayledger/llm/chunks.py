@@ -41,11 +41,12 @@ LONGEST = 64  # characters of a piece that is remembered
 # Letters that Unicode composition leaves alone and that have one lower-case letter
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 # of several newlines before a visible character the last one is a pre-token of its own
-PIECES = re.compile(f" ?[{LETTERS}]+|[.,;:!?]+|\\n+(?=\\n[^\\n])|\\n+")
+MARKS = ".,;:!?$%&*#"
+PIECES = re.compile(f" ?[{LETTERS}]+|[{MARKS}]+|\\n+(?=\\n[^\\n])|\\n+")
 IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
-# the same, and a word with one mark behind it, for a whole Arrow column at once
+# the same, and a word with marks behind it, for a whole Arrow column at once
 WORDS = f"^ ?[{LETTERS}]+\\z"
-ENDED = f"^ ?[{LETTERS}]+[.,;:!?]\\z"
+ENDED = f"^ ?[{LETTERS}]+[{MARKS}]+\\z"
 
 
 def is_word(piece: str) -> bool:
@@ -78,12 +79,13 @@ class ChunkEncoder:
         first = np.asarray(split.offsets)[:-1]
         words = split.flatten().dictionary_encode()
         n_words = len(words.dictionary)
-        # after the words, each with its space: the first word of each text, then whole texts
-        strings = [f" {w}" for w in _strings(words.dictionary)]
+        # after the words, each with its space: the first words of texts, then whole texts
+        strings = _strings(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.dictionary, pa.scalar(" ", pa.large_string())))
         flat = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = first - (split.offsets[0].as_py() if len(split.offsets) else 0)
-        strings += _strings(words.dictionary.take(pa.array(flat[first])))
-        flat[first] = n_words + np.arange(len(first))
+        firsts, which = np.unique(flat[first], return_inverse=True)
+        strings += _strings(words.dictionary.take(pa.array(firsts)))
+        flat[first] = n_words + which
         n_chunks = len(strings)
         strings += _strings(texts.filter(pa.array(whole)))
 
@@ -113,25 +115,42 @@ class ChunkEncoder:
         return out, bounds
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks, of which none comes twice."""
         if self.held > self.limit:
             self.known.clear()
             self.held = 0
         known = self.known
         out = list(map(known.get, chunks))
         new = [k for k, ids in enumerate(out) if ids is None]
-        words: dict[str, None] = {}
-        rest: dict[str, None] = {}
-        cut: list[tuple[int, list[str]]] = []
-        plain, ended, stems, marks = new, [], [], []
+        long: list[str] = []
+
+        def learn(pieces: list[str], encode: Encode) -> list[bytes]:
+            if not pieces:
+                return []
+            found = encode(pieces)
+            known.update(zip(pieces, found, strict=True))
+            sizes = list(map(len, pieces))
+            if max(sizes) > LONGEST:
+                long.extend([p for p in pieces if len(p) > LONGEST])
+            self.held += sum(sizes) + sum(map(len, found)) + ENTRY * len(found)
+            return found
+
+        def put(places: list[int], found: list[bytes]) -> None:
+            for k, ids in zip(places, found, strict=True):
+                out[k] = ids
+
         if self.words is None:
-            rest = dict.fromkeys([chunks[k] for k in new])
+            put(new, learn([chunks[k] for k in new], self.encode))
         else:
             plain, ended, others = _sorted_out(chunks, new)
-            words = dict.fromkeys([chunks[k] for k in plain])
-            # a word and one mark behind it
-            stems, marks = [chunks[k][:-1] for k in ended], [chunks[k][-1] for k in ended]
-            words |= dict.fromkeys([stem for stem in dict.fromkeys(stems) if stem not in known])
+            put(plain, learn([chunks[k] for k in plain], self.words))
+            # a word and marks behind it
+            stems = [chunks[k].rstrip(MARKS) for k in ended]
+            marks = [chunks[k][len(stem) :] for k, stem in zip(ended, stems, strict=True)]
+            words = dict.fromkeys([stem for stem in stems if stem not in known])
             rest = dict.fromkeys([mark for mark in dict.fromkeys(marks) if mark not in known])
+            cut: list[tuple[int, list[str]]] = []
+            whole: list[int] = []
             for k in others:
                 chunk = chunks[k]
                 pieces = PIECES.findall(chunk)
@@ -141,34 +160,34 @@ class ChunkEncoder:
                         if piece not in known:
                             (words if is_word(piece) else rest)[piece] = None
                 else:
-                    rest[chunk] = None  # marks alone, or other characters: not to be cut
-                    plain.append(k)
-        found: dict[str, bytes] = {}
-        for some, encode in ((words, self.words), (rest, self.encode)):
-            if some:
-                found |= zip(some, encode(list(some)), strict=True)
-        known.update(found)
-        for k in plain:
-            out[k] = known[chunks[k]]
-        ids_of = known.__getitem__
-        for k, ids in zip(ended, map(add, map(ids_of, stems), map(ids_of, marks)), strict=True):
-            out[k] = ids
-        for k, pieces in cut:
-            out[k] = b"".join([known[p] for p in pieces])
-        if max(map(len, found), default=0) > LONGEST:
-            for long in [s for s in found if len(s) > LONGEST]:
-                del known[long], found[long]
-        self.held += sum(map(len, found)) + sum(map(len, found.values())) + ENTRY * len(found)
+                    whole.append(k)  # marks alone, or other characters: not to be cut
+            learn(list(words), self.words)
+            learn(list(rest), self.encode)
+            unknown = [k for k in whole if chunks[k] not in known]  # marks may have come as a piece
+            learn([chunks[k] for k in unknown], self.encode)
+            ids_of = known.__getitem__
+            put(whole, [ids_of(chunks[k]) for k in whole])
+            put(ended, list(map(add, map(ids_of, stems), map(ids_of, marks))))
+            for k, pieces in cut:
+                out[k] = b"".join(map(ids_of, pieces))
+        for piece in long:
+            self.held -= len(piece) + len(known.pop(piece)) + ENTRY
         return out
 
 
 def _sorted_out(chunks: list[str], which: list[int]) -> tuple[list[int], list[int], list[int]]:
-    """Those of the chunks that are words, that are words with one mark behind, and the others."""
+    """Those of the chunks that are words, that are words with marks behind, and the others."""
     if not which:
         return [], [], []
     some, at = pa.array([chunks[k] for k in which], pa.large_string()), np.array(which)
-    word, ended = (pc.match_substring_regex(some, p).to_numpy(zero_copy_only=False) for p in (WORDS, ENDED))
-    return at[word].tolist(), at[ended].tolist(), at[~word & ~ended].tolist()
+    # most are ASCII letters behind a space, which needs no pattern: no chunk has two spaces before it
+    word = pc.ascii_is_alpha(pc.ascii_ltrim(some, " ")).to_numpy(zero_copy_only=False)
+    some, left = some.filter(pa.array(~word)), np.flatnonzero(~word)
+    ended = pc.match_substring_regex(some, ENDED).to_numpy(zero_copy_only=False)
+    others = left[~ended]
+    late = pc.match_substring_regex(some.filter(pa.array(~ended)), WORDS).to_numpy(zero_copy_only=False)
+    word[others[late]] = True
+    return at[word].tolist(), at[left[ended]].tolist(), at[others[~late]].tolist()
 
 
 @contextmanager
@@ -237,7 +256,7 @@ def _word_encoder(tokenizer) -> Encode | None:
     lower = before == ({"type": "Sequence", "normalizers": LOWER}, {"type": "Sequence", "pretokenizers": SPLIT})
     if steps["model"]["type"] != "BPE" or not (lower or before == (None, BYTES)):
         return None
-    inside = re.compile(f"[ {LETTERS}.,;:!?\n]*")
+    inside = re.compile(f"[ {LETTERS}{MARKS}\n]*")
     if steps["model"].get("dropout") or any(inside.fullmatch(t["content"]) for t in steps["added_tokens"]):
         return None
     # bytes that byte-level BPE writes as characters from 256 on, in their order

@@ -55,11 +55,13 @@ def compress(ids: np.ndarray, bounds: np.ndarray, terminals: int) -> tuple[np.nd
         at = np.flatnonzero(inside)
         # a pair in one number, the left symbol in the upper half; wider once 16 bits do not hold a symbol
         pair, half = (np.uint32, np.uint32(16)) if names <= 1 << 16 else (np.uint64, np.uint64(32))
-        pairs = (seq[at].astype(pair) << half) | seq[at + 1].astype(pair)
+        # nearly all places in the first round, few in later ones
+        first, second = (seq[:-1][inside], seq[1:][inside]) if 2 * len(at) > len(seq) else (seq[at], seq[at + 1])
+        pairs = (first.astype(pair) << half) | second.astype(pair)
         chosen = _frequent(pairs)
         left, right = (chosen >> half).astype(np.uint32), (chosen & ((pair(1) << half) - pair(1))).astype(np.uint32)
         slots = _slot(left, right)
-        at, which = _occurrences(at, _slot(seq[at], seq[at + 1]), pairs, chosen, slots)
+        at, which = _occurrences(at, _slot(first, second), pairs, chosen, slots)
         often = np.bincount(which, minlength=len(chosen)) > 1  # the others met pairs before them
         at, which = at[often[which]], which[often[which]]
         if not len(at):
@@ -106,9 +108,13 @@ def _occurrences(at: np.ndarray, slot: np.ndarray, pairs: np.ndarray, chosen: np
     at, which = at[hit[same]], which[same]
     if not len(at):
         return at, which
-    new_run = np.concatenate(([True], np.diff(at) > 1))
-    run_start = at[new_run][np.cumsum(new_run) - 1]
-    first = (at - run_start) % 2 == 0
+    # every second place of a run of neighbours: places and numbers of places rise alike in one
+    number = np.arange(len(at), dtype=np.int32 if len(at) < 1 << 31 else np.int64)
+    run_start = np.zeros_like(number)
+    new_run = at[1:] - at[:-1] > 1
+    run_start[1:][new_run] = number[1:][new_run]
+    np.maximum.accumulate(run_start, out=run_start)
+    first = ((number - run_start) & 1) == 0
     return at[first], which[first]
 
 
@@ -157,10 +163,15 @@ def packed(symbols: np.ndarray, bits: int) -> bytes:
     """Numbers of so many bits, one behind the other."""
     if bits == 16:
         return symbols.astype("<u2").tobytes()
-    out = np.zeros(-(-len(symbols) // 8) * 8, np.uint32)
-    out[: len(symbols)] = symbols
-    spread = (out[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(spread.astype(np.uint8).ravel(), bitorder="little").tobytes()[: -(-len(symbols) * bits // 8)]
+    eights = np.zeros((-(-len(symbols) // 8), 8), np.uint64)
+    eights.ravel()[: len(symbols)] = symbols
+    out = np.zeros((bits, len(eights)), np.uint8)  # of eight numbers so many bytes
+    for k in range(8):
+        byte, shift = divmod(k * bits, 8)
+        shifted = eights[:, k] << np.uint64(shift)
+        for j in range(-(-(shift + bits) // 8)):
+            out[byte + j] |= (shifted >> np.uint64(8 * j)).astype(np.uint8)
+    return out.T.tobytes()[: -(-len(symbols) * bits // 8)]
 
 
 def unpacked(data: bytes, bits: int, first: int, n: int) -> np.ndarray:

@@ -69,6 +69,29 @@ def test_every_letter_of_the_fast_path(path):
     encode.limit = chunks.REMEMBERED
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_words_with_marks_do_not_go_to_the_library_whole(path, monkeypatch):
+    texts = [f"{a}{w}{marks}" for w in ("orther", "sandé", "B") for marks in ("$$$", "###", "!?", "&", ".\nOn%%%", "'s$", "...") for a in ("", "x ")]
+    encode, whole = library_encoder(path), []
+    plain = encode.encode
+    encode.known.clear()
+    monkeypatch.setattr(encode, "encode", lambda pieces: whole.extend(pieces) or plain(pieces))
+    flat, bounds = encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == library(path, texts)
+    assert whole and not [p for p in whole if any(map(str.isalpha, p)) and "'" not in p]
+
+
+def test_symbols_of_any_width_are_packed_in_order():
+    rng = np.random.default_rng(5)
+    for bits in range(1, 33):
+        for n in (0, 1, 7, 8, 29):
+            symbols = rng.integers(0, 1 << bits, n).astype(np.uint32)
+            data = repair.packed(symbols, bits)
+            assert int.from_bytes(data, "little") == sum(int(x) << bits * k for k, x in enumerate(symbols))
+            assert len(data) == -(-n * bits // 8)
+            assert repair.unpacked(data, bits, 0, n).tolist() == symbols.tolist()
+
+
 def test_other_tokenizers_are_left_to_the_library():
     tokenizer = Tokenizer.from_file(BYTE)
     tokenizer.add_tokens(["ing"])
