@@ -44,9 +44,9 @@ LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 MARKS = ".,;:!?$%&*#"
 PIECES = re.compile(f" ?[{LETTERS}]+|[{MARKS}]+|\\n+(?=\\n[^\\n])|\\n+")
 IS_WORD = re.compile(f" ?[{LETTERS}]+").fullmatch
-# the same, and a word with marks behind it, for a whole Arrow column at once
+# the same, and a word with one of the common marks or a run of the others behind it, for a whole Arrow column
 WORDS = f"^ ?[{LETTERS}]+\\z"
-ENDED = f"^ ?[{LETTERS}]+[{MARKS}]+\\z"
+ENDED = f"^ ?[{LETTERS}]+([.,;:!?]|[$%&*#]+)\\z"
 
 
 def is_word(piece: str) -> bool:
